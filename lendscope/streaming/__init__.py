@@ -1,0 +1,8 @@
+"""Streaming: nothing to build.
+
+The reference workload is a batch feature-engineering and scoring job over
+static monthly snapshots; it has no watermarks, windows over event time,
+sessions or state. Every builder in `lendscope.plans` is a plain DataFrame
+plan, so it can be applied to a micro-batch inside `foreachBatch` unchanged if
+a user ever feeds the tables incrementally; no dedicated operator exists here.
+"""
