@@ -36,9 +36,10 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 # -- oracle-side SQL helpers ----------------------------------------------
 
 def r(expr: str, digits: int = DIGITS) -> str:
-    """Round like Spark does (half-up on the shortest decimal form of the double):
-    go through DECIMAL first so exact-half ties resolve the same way."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
+    """Round like Spark does: Spark rounds the double's shortest decimal text
+    half-up (away from zero); DuckDB's VARCHAR form of a double is that same
+    text, and DECIMAL rounding is half away from zero, so ties agree."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,15)), {digits}) AS DOUBLE)"
 
 
 def sql_stat(col: str, stat: str, is_int: bool | None = None, src: str | None = None) -> str:

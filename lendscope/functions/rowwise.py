@@ -1,8 +1,11 @@
 """Horizontal (row-wise) statistics over a list of columns (H-1..H-5, K-12).
 
 pandas skips missing values in `sum/mean/std/kurtosis(axis=1)`; these are the
-same statistics written as closed-form column expressions, so they run inside
-codegen with no Python in the row path.
+same statistics written as column expressions. The moment-based statistics
+work on the array of non-missing values with `aggregate`, which keeps the
+expression size linear in the number of columns (an inlined closed form over
+20 columns repeats the mean inside every squared term and overflows the 64 KB
+generated-method limit, dropping the whole stage out of codegen).
 """
 
 from __future__ import annotations
@@ -16,18 +19,13 @@ from pyspark.sql import functions as F
 from .scalar import col
 
 
-def _n(cols) -> Column:
-    return reduce(add, [col(c).isNotNull().cast("int") for c in cols])
+def _values(cols) -> Column:
+    """Array of the non-missing values, as doubles."""
+    return F.filter(F.array(*[col(c).cast("double") for c in cols]), lambda x: x.isNotNull())
 
 
-def _s(cols, power=1, center=None) -> Column:
-    terms = []
-    for c in cols:
-        x = col(c).cast("double")
-        if center is not None:
-            x = x - center
-        terms.append(F.coalesce(F.pow(x, F.lit(float(power))) if power != 1 else x, F.lit(0.0)))
-    return reduce(add, terms)
+def _sum(arr: Column, fn=lambda x: x) -> Column:
+    return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + fn(x))
 
 
 def row_sum(cols) -> Column:
@@ -47,20 +45,25 @@ def row_product(cols) -> Column:
 
 def row_count(cols) -> Column:
     """Number of non-missing values."""
-    return _n(cols)
+    return reduce(add, [col(c).isNotNull().cast("int") for c in cols])
 
 
 def row_mean(cols) -> Column:
     """Mean over non-missing values; NULL if none (H-2)."""
-    return F.try_divide(_s(cols), _n(cols).cast("double"))
+    return F.try_divide(row_sum(cols), row_count(cols).cast("double"))
+
+
+def _central(arr: Column, power: int) -> Column:
+    n = F.size(arr).cast("double")
+    mean = _sum(arr) / n
+    return _sum(arr, lambda x: F.pow(x - mean, F.lit(float(power))))
 
 
 def row_std(cols) -> Column:
     """Sample standard deviation (ddof=1) over non-missing values; NULL if n < 2 (H-3)."""
-    n = _n(cols)
-    m = row_mean(cols)
-    m2 = _s(cols, 2, center=m)
-    return F.when(n >= 2, F.sqrt(m2 / (n - 1).cast("double")))
+    arr = _values(cols)
+    n = F.size(arr)
+    return F.when(n >= 2, F.sqrt(_central(arr, 2) / (n - 1).cast("double")))
 
 
 def row_kurtosis(cols) -> Column:
@@ -68,10 +71,10 @@ def row_kurtosis(cols) -> Column:
 
     NULL when fewer than 4 values; 0 when all values are equal.
     """
-    n = _n(cols).cast("double")
-    m = row_mean(cols)
-    m2 = _s(cols, 2, center=m)
-    m4 = _s(cols, 4, center=m)
+    arr = _values(cols)
+    n = F.size(arr).cast("double")
+    m2 = _central(arr, 2)
+    m4 = _central(arr, 4)
     g2 = (n * (n + 1) * (n - 1) * m4 / ((n - 2) * (n - 3) * m2 * m2)
           - 3 * (n - 1) * (n - 1) / ((n - 2) * (n - 3)))
     return F.when(n < 4, F.lit(None).cast("double")).when(m2 == 0, F.lit(0.0)).otherwise(g2)
