@@ -51,11 +51,24 @@ def latest_where(step: str, cond: Column) -> Column:
 
 
 def broadcast_group_stat(agg: Column, key: str | list[str]) -> Column:
-    """Group aggregate attached to every row of the group (W-3 / J-8)."""
+    """Group aggregate attached to every row of the group as a window (W-3).
+    Use only for groups of bounded size; `attach_group_stats` is the skew-safe form."""
     keys = [key] if isinstance(key, str) else list(key)
     return agg.over(Window.partitionBy(*keys))
 
 
+def attach_group_stats(df: DataFrame, key: str | list[str], aggs: dict[str, Column]) -> DataFrame:
+    """Group aggregates merged back onto every row of the group (J-8, W-3).
+
+    A partial+final aggregate followed by an equi-join on the key: a hot key
+    is reduced map-side before the shuffle, and the join's aggregated side has
+    one row per key (AQE broadcasts it when small or splits a skewed key).
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    stats = df.groupBy(*keys).agg(*[e.alias(n) for n, e in aggs.items()])
+    return df.join(stats, keys, "left")
+
+
 def uniform_bucket(h: Column, n_buckets: int, modulus: float = 4294967296.0) -> Column:
     """Bucket of a uniform non-negative integer hash in [0, modulus)."""
     return F.floor(h.cast("double") * n_buckets / modulus).cast("int")
