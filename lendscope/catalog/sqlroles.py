@@ -124,7 +124,7 @@ INSTAL = f"""instal AS (
     CAST({_days('o_orderdate')} AS DOUBLE) AS DAYS_INSTALMENT,
     CASE WHEN l_linenumber = 7 THEN NULL ELSE CAST({_days('l_shipdate')} AS DOUBLE) END AS DAYS_ENTRY_PAYMENT,
     l_extendedprice AS AMT_INSTALMENT,
-    l_extendedprice * (CAST(1 AS DOUBLE) - l_discount / 3) AS AMT_PAYMENT
+    l_extendedprice * (CAST(1 AS DOUBLE) - l_discount) + l_linenumber % 3 AS AMT_PAYMENT
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 CARD = """card AS (

@@ -195,7 +195,7 @@ def instalments(spark: SparkSession, base: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("double"))
          .otherwise(_d("l_shipdate").cast("double")).alias("DAYS_ENTRY_PAYMENT"),
         F.col("l_extendedprice").alias("AMT_INSTALMENT"),
-        (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount") / 3)).alias("AMT_PAYMENT"),
+        (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) + F.col("l_linenumber") % 3).alias("AMT_PAYMENT"),
     )
 
 
