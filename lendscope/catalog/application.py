@@ -86,16 +86,15 @@ def app_ratio_features(spark, base):
 
 @query("app_row_stats", with_roles("app", extra=_CLEAN) + f"SELECT SK_ID_CURR,\n  {_ROW_SQL}\nFROM c")
 def app_row_stats(spark, base):
-    df = _cleaned(spark, base)
-    return finish(df.select("SK_ID_CURR", *[e.alias(n) for n, e in A.row_features(df).items()]))
+    df = A.with_row_features(_cleaned(spark, base))
+    return finish(df.select("SK_ID_CURR", *A.ROW_FEATURES))
 
 
 @query("app_std_fill_global_mean", with_roles("app", extra=_CLEAN) + f"""
 , s AS (SELECT SK_ID_CURR, list_aggregate({_EXT}, 'stddev_samp') AS sd FROM c)
 SELECT SK_ID_CURR, {r('coalesce(sd, (SELECT avg(sd) FROM s))')} AS NEW_SCORES_STD FROM s""")
 def app_std_fill_global_mean(spark, base):
-    df = _cleaned(spark, base)
-    df = df.select("SK_ID_CURR", A.row_features(df)["NEW_SCORES_STD"].alias("NEW_SCORES_STD"))
+    df = A.with_row_features(_cleaned(spark, base)).select("SK_ID_CURR", "NEW_SCORES_STD")
     return finish(A.fill_with_global_mean(df, "NEW_SCORES_STD"))
 
 

@@ -25,10 +25,16 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+TIE_NUDGE = 1e-11
+
+
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every floating column so engines that sum in a different order
-    agree on the printed value."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+    agree on the printed value. Values are first moved 1e-11 away from zero:
+    far below the rounding step, far above summation error at these
+    magnitudes, so an exact half (e.g. a mean of 13/128) rounds the same way
+    whichever side of the half each engine's floating sum landed on."""
+    return df.select(*[F.round(F.col(f.name) + F.signum(F.col(f.name)) * F.lit(TIE_NUDGE), digits).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -39,7 +45,8 @@ def r(expr: str, digits: int = DIGITS) -> str:
     """Round like Spark does: Spark rounds the double's shortest decimal text
     half-up (away from zero); DuckDB's VARCHAR form of a double is that same
     text, and DECIMAL rounding is half away from zero, so ties agree."""
-    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,15)), {digits}) AS DOUBLE)"
+    x = f"(({expr}) + sign({expr}) * CAST({TIE_NUDGE!r} AS DOUBLE))"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,15)), {digits}) AS DOUBLE)"
 
 
 def sql_stat(col: str, stat: str, is_int: bool | None = None, src: str | None = None) -> str:

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..functions import (nullif_sentinel, row_kurtosis, row_mean, row_product, row_std,
-                         row_sum, row_total, safe_div, sentinel_to_zero)
+from ..functions import nullif_sentinel, safe_div, sentinel_to_zero, with_row_stats
 from ..functions.scalar import neq_keep_null
-from ..operators.encode import label_encode, one_hot, target_fit_transform
+from ..operators.encode import (label_encode, one_hot, string_columns, target_fit_transform,
+                               vocabulary)
 
 # Fixed values of the reference's applicant builder.
 LABEL_ENCODED = ["CODE_GENDER", "FLAG_OWN_CAR", "FLAG_OWN_REALTY"]
@@ -70,17 +70,20 @@ def ratio_features(df: DataFrame) -> dict:
     }
 
 
-def row_features(df: DataFrame) -> dict:
-    """Row-wise statistics over flag and score columns (H-1..H-5, P-10)."""
-    docs = doc_flag_columns(df)
-    return {
-        "NEW_DOC_IND_KURT": row_kurtosis(docs),
-        "NEW_LIVE_IND_SUM": row_sum(live_flag_columns(df)),
-        "NEW_SOURCES_PROD": row_product(EXT_SOURCES),
-        "NEW_EXT_SOURCES_MEAN": row_mean(EXT_SOURCES),
-        "NEW_SCORES_STD": row_std(EXT_SOURCES),
-        "NDOC": row_total([f"FLAG_DOCUMENT_{i}" for i in range(2, 22)]),
-    }
+ROW_FEATURES = ("NEW_DOC_IND_KURT", "NEW_LIVE_IND_SUM", "NEW_SOURCES_PROD", "NEW_EXT_SOURCES_MEAN",
+                "NEW_SCORES_STD", "NDOC")
+
+
+def with_row_features(df: DataFrame) -> DataFrame:
+    """Row-wise statistics over flag and score columns (H-1..H-5, P-10, K-12)."""
+    return with_row_stats(df, {
+        "NEW_DOC_IND_KURT": ("kurtosis", doc_flag_columns(df)),
+        "NEW_LIVE_IND_SUM": ("sum", live_flag_columns(df)),
+        "NEW_SOURCES_PROD": ("product", EXT_SOURCES),
+        "NEW_EXT_SOURCES_MEAN": ("mean", EXT_SOURCES),
+        "NEW_SCORES_STD": ("std", EXT_SOURCES),
+        "NDOC": ("total", [f"FLAG_DOCUMENT_{i}" for i in range(2, 22)]),
+    })
 
 
 def fill_with_global_mean(df: DataFrame, column: str) -> DataFrame:
@@ -101,8 +104,12 @@ def application_features(train: DataFrame, test: DataFrame, nan_as_category: boo
                          vocab: dict | None = None) -> DataFrame:
     """B-1: one wide row per applicant (train and test)."""
     df = clean(union_train_test(train, test))
+    # One vocabulary job for every categorical column, on the cleaned input
+    # (only string columns are scanned), reused by both encoders below.
+    vocab = dict(vocab or {})
+    vocab.update(vocabulary(df, [c for c in string_columns(df) if c not in vocab]))
     inc_by_org = median_by(df, "AMT_INCOME_TOTAL", "ORGANIZATION_TYPE", "NEW_INC_BY_ORG")
-    df = df.withColumns(ratio_features(df)).withColumns(row_features(df))
+    df = with_row_features(df.withColumns(ratio_features(df)))
     df = df.join(inc_by_org, "ORGANIZATION_TYPE", "left")
     df = df.withColumn("NEW_ANNUAL_PERCENT", safe_div("AMT_INCOME_TOTAL", "NEW_ANNUAL_PAYMENT"))
     df = fill_with_global_mean(df, "NEW_SCORES_STD")
