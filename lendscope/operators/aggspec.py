@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ..session import ensure_codegen_width
+
 STATS = ("mean", "sum", "min", "max", "var", "std", "size", "count", "nunique", "median")
 
 
@@ -145,4 +147,5 @@ def aggregate(df: DataFrame, key: str | list[str], spec: AggSpec, prefix: str =
     for cprefix, (cond, cspec) in (cohorts or {}).items():
         exprs += cspec.exprs(cprefix, cond=cond)
     exprs += list(extra)
+    ensure_codegen_width(df.sparkSession, 3 * len(exprs) + len(keys))
     return df.groupBy(*keys).agg(*exprs)

@@ -26,6 +26,7 @@ from ..functions import delay_seriousness, flag_not_equal, flag_not_negative, sa
 from ..functions.scalar import neq_keep_null
 from ..operators.aggspec import AggSpec, stat_expr
 from ..operators.series import gap_to_previous
+from ..session import ensure_codegen_width
 
 # Monthly status codes of the data model, delay codes 1..5.
 STATUS_CODES = ["0", "1", "2", "3", "4", "5", "C", "X"]
@@ -132,14 +133,21 @@ def loan_flags(loans: DataFrame) -> DataFrame:
     })
 
 
-def credit_gaps(loans: DataFrame) -> DataFrame:
+def credit_gaps(credit: DataFrame) -> DataFrame:
     """W-1 DAYS_DIFF (credit dates, newest first) and W-2 DAYS_ENDDATE_DIFF
-    (end dates ascending, among credits whose end date is not in the past)."""
-    g = gap_to_previous(loans, "SK_ID_CURR", "DAYS_CREDIT", "SK_ID_BUREAU", "DAYS_DIFF", descending=True)
+    (end dates ascending, among credits whose end date is not in the past),
+    as a narrow table keyed by SK_ID_BUREAU.
+
+    Computed on a four-column projection so the skew-safe gap operator's
+    shuffles move ids and day offsets only; the wide credit rows are joined
+    to this table on their own key afterwards."""
+    narrow = credit.select("SK_ID_BUREAU", "SK_ID_CURR", "DAYS_CREDIT", "DAYS_CREDIT_ENDDATE",
+                           flag_not_negative("DAYS_CREDIT_ENDDATE").alias("_future"))
+    g = gap_to_previous(narrow, "SK_ID_CURR", "DAYS_CREDIT", "SK_ID_BUREAU", "DAYS_DIFF", descending=True)
     g = gap_to_previous(g, "SK_ID_CURR", "DAYS_CREDIT_ENDDATE", "SK_ID_BUREAU", "DAYS_ENDDATE_DIFF",
-                        where=F.col("CREDIT_ENDDATE_BINARY") == 1)
-    return g.withColumns({"DAYS_DIFF": F.col("DAYS_DIFF").cast("bigint"),
-                          "DAYS_ENDDATE_DIFF": F.col("DAYS_ENDDATE_DIFF").cast("bigint")})
+                        where=F.col("_future") == 1)
+    return g.select("SK_ID_BUREAU", F.col("DAYS_DIFF").cast("bigint").alias("DAYS_DIFF"),
+                    F.col("DAYS_ENDDATE_DIFF").cast("bigint").alias("DAYS_ENDDATE_DIFF"))
 
 
 def applicant_constants(overdue_filled: bool = False) -> dict[str, Column]:
@@ -168,10 +176,20 @@ def applicant_constants(overdue_filled: bool = False) -> dict[str, Column]:
 def behaviour_loans(credit: DataFrame, hist: DataFrame, fix_active: bool = False,
                     compat: bool = True) -> DataFrame:
     """Credit rows with their monthly roll-up, flags, fills and gaps."""
-    loans = credit.join(monthly_behaviour(hist, compat), "SK_ID_BUREAU", "left")
+    loans = (credit.join(monthly_behaviour(hist, compat), "SK_ID_BUREAU", "left")
+             .join(credit_gaps(credit), "SK_ID_BUREAU", "left"))
     if fix_active:
         loans = fix_false_active(loans)
-    return credit_gaps(loan_flags(loans))
+    return loan_flags(loans)
+
+
+def loan_type_counts(credit: DataFrame) -> DataFrame:
+    """Distinct credit types per applicant, from distinct (applicant, type)
+    pairs. Kept out of the wide aggregate: a COUNT(DISTINCT) there would make
+    Spark expand every wide row, and a set aggregate would take the whole
+    aggregate out of codegen."""
+    pairs = credit.select("SK_ID_CURR", "CREDIT_TYPE").filter(F.col("CREDIT_TYPE").isNotNull()).distinct()
+    return pairs.groupBy("SK_ID_CURR").agg(F.count(F.lit(1)).alias("_types"))
 
 
 def bureau_behaviour(credit: DataFrame, hist: DataFrame, fix_active: bool = False,
@@ -181,22 +199,35 @@ def bureau_behaviour(credit: DataFrame, hist: DataFrame, fix_active: bool = Fals
     computes but discards)."""
     loans = behaviour_loans(credit, hist, fix_active, compat)
     consts = applicant_constants()
+    consts.pop("BUREAU_LOAN_TYPE")
+    consts.pop("AVERAGE_LOAN_TYPE")
     cohorts = {"BURO_": None, "CLOSED_": F.col("CREDIT_ACTIVE") == "Closed"}
     if emit_active:
         cohorts["ACTIVE_"] = F.col("CREDIT_ACTIVE") == "Active"
-    exprs = []
+    exprs, post, order = [F.count("DAYS_CREDIT").alias("_count")], {}, []
     for prefix, cond in cohorts.items():
+        present = F.lit(True) if cond is None else F.col(f"_has_{prefix}")
+        if cond is not None:
+            exprs.append((F.count(F.when(cond, F.lit(1))) > 0).alias(f"_has_{prefix}"))
         for c, stats in BEHAVIOUR_AGG.items():
             for s in stats:
                 name = f"{prefix}{c}_{s.upper()}"
-                if c in consts:
+                order.append(name)
+                if c == "BUREAU_LOAN_TYPE":
+                    post[name] = F.when(present, F.coalesce(F.col("_types"), F.lit(0)).cast("double"))
+                elif c == "AVERAGE_LOAN_TYPE":
+                    post[name] = F.when(present, safe_div("_count", F.coalesce(F.col("_types"), F.lit(0))))
+                elif c in consts:
                     e = consts[c].cast("double")
                     if cond is not None:
                         e = F.when(F.count(F.when(cond, F.lit(1))) > 0, e)
                     exprs.append(e.alias(name))
                 else:
                     exprs.append(stat_expr(c, s, cond).alias(name))
-    return loans.groupBy("SK_ID_CURR").agg(*exprs)
+    ensure_codegen_width(loans.sparkSession, 3 * len(exprs))
+    wide = loans.groupBy("SK_ID_CURR").agg(*exprs)
+    out = wide.join(loan_type_counts(credit), "SK_ID_CURR", "left").withColumns(post)
+    return out.select("SK_ID_CURR", *order)
 
 
 def behaviour_spec() -> AggSpec:

@@ -55,6 +55,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return conf_dir
 
 
+def ensure_codegen_width(spark: SparkSession, fields: int) -> None:
+    """Keep wide aggregates in whole-stage codegen.
+
+    A builder that computes ~100 statistics in one aggregate carries a buffer
+    of 2-3 fields per statistic; above `spark.sql.codegen.maxFields` (default
+    100) Spark silently runs the stage interpreted, several times slower.
+    Aggregate functions are compiled into split methods
+    (`spark.sql.codegen.aggregate.splitAggregateFunc.enabled`), so raising the
+    field limit does not produce oversized methods. Only ever raises it.
+    """
+    current = int(spark.conf.get("spark.sql.codegen.maxFields", "100"))
+    if fields > current:
+        spark.conf.set("spark.sql.codegen.maxFields", str(fields))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 
