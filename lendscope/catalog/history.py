@@ -208,7 +208,7 @@ def category_share(spark, base):
 def category_counts(spark, base):
     """A-12: count of each category per credit via pivot over a fixed vocabulary (no discovery job)."""
     p = roles.history(spark, base).groupBy("SK_ID_BUREAU").pivot("STATUS", BH.STATUS_CODES).count().na.fill(0)
-    return finish(p.select("SK_ID_BUREAU", *[F.col(f"`{s}`").alias(f"STATUS_{s}_COUNT") for s in BH.STATUS_CODES]))
+    return finish(p.withColumnsRenamed({s: f"STATUS_{s}_COUNT" for s in BH.STATUS_CODES}))   # P-4 rename by map
 
 
 @query("semi_join_latest_status", with_roles("credit", "hist") + """

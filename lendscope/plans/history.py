@@ -97,9 +97,10 @@ def pos_changed_contract(pos: DataFrame) -> DataFrame:
 
 
 def pos_n_contract(pos: DataFrame) -> DataFrame:
-    """B-9: rows and distinct contracts per applicant (A-2, A-4)."""
-    return pos.groupBy("SK_ID_CURR").agg(F.count(F.lit(1)).alias("POS_COUNT"),
-                                         F.count_distinct("SK_ID_PREV").alias("POS_N_CONTRACT"))
+    """B-9: rows and distinct contracts per applicant (A-2, A-4), columns
+    renamed positionally (P-6)."""
+    return (pos.groupBy("SK_ID_CURR").agg(F.count(F.lit(1)), F.count_distinct("SK_ID_PREV"))
+            .toDF("SK_ID_CURR", "POS_COUNT", "POS_N_CONTRACT"))
 
 
 def installments(instal: DataFrame, policy: str = "override", keep_key_means: bool = False,
