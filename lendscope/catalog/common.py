@@ -25,16 +25,28 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-TIE_NUDGE = 1e-11
+TIE_NUDGE = 1.000000000001
+SIG_DIGITS = 11
+TINY = 1e-300
+
+
+def _round_col(c):
+    """x -> round_half_up(x * p) / p with p = 10^k, k = min(6, 10 - floor(log10|x|))."""
+    x = c * F.lit(TIE_NUDGE)
+    k = F.least(F.lit(DIGITS), F.lit(SIG_DIGITS - 1) - F.floor(F.log10(F.greatest(F.abs(x), F.lit(TINY)))))
+    p = F.pow(F.lit(10.0), k)
+    return F.round(x * p, 0) / p
 
 
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every floating column so engines that sum in a different order
-    agree on the printed value. Values are first moved 1e-11 away from zero:
-    far below the rounding step, far above summation error at these
-    magnitudes, so an exact half (e.g. a mean of 13/128) rounds the same way
-    whichever side of the half each engine's floating sum landed on."""
-    return df.select(*[F.round(F.col(f.name) + F.signum(F.col(f.name)) * F.lit(TIE_NUDGE), digits).alias(f.name)
+    agree on the printed value: 6 decimals for |x| < 1e5, 11 significant
+    digits above (floating noise of a sum or variance sits near the last of
+    ~16 digits). Values are first scaled by (1 + 1e-12), i.e. moved away from
+    zero by far less than the rounding step but more than the relative
+    summation error, so an exact half (e.g. a mean of 13/128) rounds the same
+    way in both engines whichever side of it each floating sum landed on."""
+    return df.select(*[_round_col(F.col(f.name)).alias(f.name)
                        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
                        for f in df.schema.fields])
 
@@ -42,11 +54,15 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 # -- oracle-side SQL helpers ----------------------------------------------
 
 def r(expr: str, digits: int = DIGITS) -> str:
-    """Round like Spark does: Spark rounds the double's shortest decimal text
-    half-up (away from zero); DuckDB's VARCHAR form of a double is that same
-    text, and DECIMAL rounding is half away from zero, so ties agree."""
-    x = f"(({expr}) + sign({expr}) * CAST({TIE_NUDGE!r} AS DOUBLE))"
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,15)), {digits}) AS DOUBLE)"
+    """Round exactly like `finish` does on the Spark side: the same IEEE
+    operations (nudge, scale by p = 10^k, divide by p) and, for the integer
+    rounding, Spark's rule: half-up on the double's shortest decimal text.
+    DuckDB's VARCHAR form of a double is that text and DECIMAL rounding is half
+    away from zero, so ties agree."""
+    x = f"(({expr}) * CAST({TIE_NUDGE!r} AS DOUBLE))"
+    k = f"least({digits}, {SIG_DIGITS - 1} - floor(log10(greatest(abs({x}), {TINY!r}))))"
+    p = f"power(CAST(10 AS DOUBLE), {k})"
+    return f"(CAST(round(CAST(CAST({x} * {p} AS VARCHAR) AS DECIMAL(38,6)), 0) AS DOUBLE) / {p})"
 
 
 def sql_stat(col: str, stat: str, is_int: bool | None = None, src: str | None = None) -> str:
