@@ -26,22 +26,26 @@ def query(name: str, sql: str | None = None):
 
 
 TIE_NUDGE = 1.000000000001
-SIG_DIGITS = 11
-TINY = 1e-300
+# (|x| below, scale p): 6 decimals under 1e5, then 11 significant digits, integers from 1e10.
+_SCALES = [(1e5, 1e6), (1e6, 1e5), (1e7, 1e4), (1e8, 1e3), (1e9, 1e2), (1e10, 1e1)]
 
 
 def _round_col(c):
-    """x -> round_half_up(x * p) / p with p = 10^k, k = min(6, 10 - floor(log10|x|))."""
+    """floor(x' * p + 0.5) / p with x' = x * (1 + 1e-12) and p an exact power of ten
+    chosen by magnitude: plain IEEE operations, identical in any engine."""
     x = c * F.lit(TIE_NUDGE)
-    k = F.least(F.lit(DIGITS), F.lit(SIG_DIGITS - 1) - F.floor(F.log10(F.greatest(F.abs(x), F.lit(TINY)))))
-    p = F.pow(F.lit(10.0), k)
-    return F.round(x * p, 0) / p
+    a = F.abs(x)
+    p = F.when(a < F.lit(_SCALES[0][0]), F.lit(_SCALES[0][1]))
+    for bound, scale in _SCALES[1:]:
+        p = p.when(a < F.lit(bound), F.lit(scale))
+    p = p.otherwise(F.lit(1.0))
+    return F.floor(x * p + F.lit(0.5)) / p
 
 
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every floating column so engines that sum in a different order
     agree on the printed value: 6 decimals for |x| < 1e5, 11 significant
-    digits above (floating noise of a sum or variance sits near the last of
+    digits above (integers from 1e10) (floating noise of a sum or variance sits near the last of
     ~16 digits). Values are first scaled by (1 + 1e-12), i.e. moved away from
     zero by far less than the rounding step but more than the relative
     summation error, so an exact half (e.g. a mean of 13/128) rounds the same
@@ -54,15 +58,11 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 # -- oracle-side SQL helpers ----------------------------------------------
 
 def r(expr: str, digits: int = DIGITS) -> str:
-    """Round exactly like `finish` does on the Spark side: the same IEEE
-    operations (nudge, scale by p = 10^k, divide by p) and, for the integer
-    rounding, Spark's rule: half-up on the double's shortest decimal text.
-    DuckDB's VARCHAR form of a double is that text and DECIMAL rounding is half
-    away from zero, so ties agree."""
+    """The oracle-side twin of `finish`: the same IEEE operations in the same order."""
     x = f"(({expr}) * CAST({TIE_NUDGE!r} AS DOUBLE))"
-    k = f"least({digits}, {SIG_DIGITS - 1} - floor(log10(greatest(abs({x}), {TINY!r}))))"
-    p = f"power(CAST(10 AS DOUBLE), {k})"
-    return f"(CAST(round(CAST(CAST({x} * {p} AS VARCHAR) AS DECIMAL(38,6)), 0) AS DOUBLE) / {p})"
+    cases = " ".join(f"WHEN abs({x}) < {b!r} THEN CAST({p!r} AS DOUBLE)" for b, p in _SCALES)
+    p = f"(CASE {cases} ELSE CAST(1.0 AS DOUBLE) END)"
+    return f"(floor({x} * {p} + CAST(0.5 AS DOUBLE)) / {p})"
 
 
 def sql_stat(col: str, stat: str, is_int: bool | None = None, src: str | None = None) -> str:

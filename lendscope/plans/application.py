@@ -110,9 +110,10 @@ def application_features(train: DataFrame, test: DataFrame, nan_as_category: boo
     vocab.update(vocabulary(df, [c for c in string_columns(df) if c not in vocab]))
     inc_by_org = median_by(df, "AMT_INCOME_TOTAL", "ORGANIZATION_TYPE", "NEW_INC_BY_ORG")
     df = with_row_features(df.withColumns(ratio_features(df)))
+    # Fill before the lookup join: same rows, and the scalar job stays a narrow scan.
+    df = fill_with_global_mean(df, "NEW_SCORES_STD")
     df = df.join(inc_by_org, "ORGANIZATION_TYPE", "left")
     df = df.withColumn("NEW_ANNUAL_PERCENT", safe_div("AMT_INCOME_TOTAL", "NEW_ANNUAL_PAYMENT"))
-    df = fill_with_global_mean(df, "NEW_SCORES_STD")
     df = label_encode(df, LABEL_ENCODED, vocab=vocab)
     df, _ = one_hot(df, None, dummy_na=nan_as_category, vocab=vocab)
     drop = [f"FLAG_DOCUMENT_{i}" for i in range(2, 22) if f"FLAG_DOCUMENT_{i}" != KEPT_DOC_FLAG]
