@@ -26,26 +26,28 @@ def query(name: str, sql: str | None = None):
 
 
 TIE_NUDGE = 1.000000000001
-# (|x| below, scale p): 6 decimals under 1e5, then 11 significant digits, integers from 1e10.
-_SCALES = [(1e5, 1e6), (1e6, 1e5), (1e7, 1e4), (1e8, 1e3), (1e9, 1e2), (1e10, 1e1)]
+SIG_DIGITS = 11
+TINY = 1e-300
 
 
 def _round_col(c):
-    """floor(x' * p + 0.5) / p with x' = x * (1 + 1e-12) and p an exact power of ten
-    chosen by magnitude: plain IEEE operations, identical in any engine."""
+    """floor(x' * p + 0.5) / p with x' = x * (1 + 1e-12) and p = 10^k,
+    k = clamp(10 - floor(log10|x'|), 0, 6): 6 decimals below 1e5, then 11
+    significant digits, integers from 1e10. p is an exact power of ten, and the
+    same IEEE operations run in the oracle, so both engines agree bit for bit.
+    Kept to a few expression nodes per column so the rounding projection never
+    pushes the aggregate it is fused with out of whole-stage codegen."""
     x = c * F.lit(TIE_NUDGE)
-    a = F.abs(x)
-    p = F.when(a < F.lit(_SCALES[0][0]), F.lit(_SCALES[0][1]))
-    for bound, scale in _SCALES[1:]:
-        p = p.when(a < F.lit(bound), F.lit(scale))
-    p = p.otherwise(F.lit(1.0))
+    k = F.least(F.lit(DIGITS), F.greatest(F.lit(0), F.lit(SIG_DIGITS - 1)
+                                            - F.floor(F.log10(F.greatest(F.abs(x), F.lit(TINY))))))
+    p = F.pow(F.lit(10.0), k)
     return F.floor(x * p + F.lit(0.5)) / p
 
 
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round every floating column so engines that sum in a different order
     agree on the printed value: 6 decimals for |x| < 1e5, 11 significant
-    digits above (integers from 1e10) (floating noise of a sum or variance sits near the last of
+    digits above, integers from 1e10 (floating noise of a sum or variance sits near the last of
     ~16 digits). Values are first scaled by (1 + 1e-12), i.e. moved away from
     zero by far less than the rounding step but more than the relative
     summation error, so an exact half (e.g. a mean of 13/128) rounds the same
@@ -60,8 +62,8 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def r(expr: str, digits: int = DIGITS) -> str:
     """The oracle-side twin of `finish`: the same IEEE operations in the same order."""
     x = f"(({expr}) * CAST({TIE_NUDGE!r} AS DOUBLE))"
-    cases = " ".join(f"WHEN abs({x}) < {b!r} THEN CAST({p!r} AS DOUBLE)" for b, p in _SCALES)
-    p = f"(CASE {cases} ELSE CAST(1.0 AS DOUBLE) END)"
+    k = f"least({digits}, greatest(0, {SIG_DIGITS - 1} - floor(log10(greatest(abs({x}), {TINY!r})))))"
+    p = f"power(CAST(10 AS DOUBLE), {k})"
     return f"(floor({x} * {p} + CAST(0.5 AS DOUBLE)) / {p})"
 
 
