@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggspec import AggSpec, aggregate
 from ..operators.encode import one_hot
+from .behaviour import STATUS_CODES
 
 # Declared statistics of the reference's credit builder.
 BUREAU_NUM_AGG = {
@@ -59,7 +60,17 @@ def credit_summary(credit: DataFrame, applicants: DataFrame) -> DataFrame:
 
 def balance_per_credit(hist: DataFrame, policy: str = "override", dummy_na: bool = True,
                        vocab: dict | None = None) -> tuple[DataFrame, list[str]]:
-    """Month -> credit roll-up: share of each status and month min/max/size/mean."""
+    """Month -> credit roll-up: share of each status and month min/max/size/mean.
+
+    STATUS is a closed domain of the data model, so its levels are fixed
+    (STATUS_CODES) instead of discovered: discovery would cost a full scan of
+    the monthly table, the largest input. Pass `vocab={"STATUS": None}` to
+    discover them from the data instead."""
+    vocab = dict(vocab or {})
+    if "STATUS" not in vocab:
+        vocab["STATUS"] = STATUS_CODES
+    elif vocab["STATUS"] is None:
+        del vocab["STATUS"]
     oh, status_cols = one_hot(hist, ["STATUS"], dummy_na=dummy_na, vocab=vocab)
     spec = AggSpec.every(status_cols + ["MONTHS_BALANCE"], ["mean"]).merge(
         {"MONTHS_BALANCE": ["min", "max", "size", "mean"]}, policy="override")
