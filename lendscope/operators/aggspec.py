@@ -67,6 +67,17 @@ def stat_expr(column: str | Column, stat: str, cond: Column | None = None) -> Co
     raise ValueError(f"unknown statistic {stat!r}; expected one of {STATS}")
 
 
+# Aggregate-buffer fields per statistic (Spark's declarative aggregates).
+BUFFER_FIELDS = {"mean": 2, "var": 3, "std": 3, "sum": 1, "min": 1, "max": 1, "size": 1,
+                 "count": 1, "nunique": 1, "median": 1}
+
+
+def buffer_width(spec: "AggSpec", cohort: bool = False) -> int:
+    """Fields a partial aggregate carries for `spec` (cohort guards add a count)."""
+    return sum(BUFFER_FIELDS.get(st, 2) + (1 if cohort and st in ("sum", "count", "nunique") else 0)
+               for stats in spec.spec.values() for st in stats)
+
+
 class AggSpec:
     """Ordered {column: [stats]} specification."""
 
@@ -146,6 +157,7 @@ def aggregate(df: DataFrame, key: str | list[str], spec: AggSpec, prefix: str =
     exprs = spec.exprs(prefix)
     for cprefix, (cond, cspec) in (cohorts or {}).items():
         exprs += cspec.exprs(cprefix, cond=cond)
+    width = buffer_width(spec) + sum(buffer_width(c, True) for _, c in (cohorts or {}).values())
     exprs += list(extra)
-    ensure_codegen_width(df.sparkSession, 3 * len(exprs) + len(keys))
+    ensure_codegen_width(df.sparkSession, width + 2 * len(list(extra)) + len(keys) + 8)
     return df.groupBy(*keys).agg(*exprs)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import delay_seriousness, flag_not_equal, flag_not_negative, safe_div, status_int
 from ..functions.scalar import neq_keep_null
-from ..operators.aggspec import AggSpec, stat_expr
+from ..operators.aggspec import AggSpec, buffer_width, stat_expr
 from ..operators.series import gap_to_previous
 from ..session import ensure_codegen_width
 
@@ -224,7 +224,8 @@ def bureau_behaviour(credit: DataFrame, hist: DataFrame, fix_active: bool = Fals
                     exprs.append(e.alias(name))
                 else:
                     exprs.append(stat_expr(c, s, cond).alias(name))
-    ensure_codegen_width(loans.sparkSession, 3 * len(exprs))
+    ensure_codegen_width(loans.sparkSession,
+                         len(cohorts) * buffer_width(AggSpec(BEHAVIOUR_AGG), cohort=True) + 8)
     wide = loans.groupBy("SK_ID_CURR").agg(*exprs)
     out = wide.join(loan_type_counts(credit), "SK_ID_CURR", "left").withColumns(post)
     return out.select("SK_ID_CURR", *order)
