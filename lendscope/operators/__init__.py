@@ -2,10 +2,10 @@
 from .aggspec import AggSpec, aggregate, stat_expr
 from .encode import (label_codes, label_encode, one_hot, string_columns, target_encode_oof,
                      target_fit, target_fit_transform, target_transform, vocabulary)
-from .series import (attach_group_stats, broadcast_group_stat, gap_to_previous, latest_where, prefix_sums,
+from .series import (attach_group_stats, broadcast_group_stat, group_median, gap_to_previous, latest_where, prefix_sums,
                      quantile_bucket, uniform_bucket)
 
 __all__ = ["AggSpec", "aggregate", "stat_expr", "label_codes", "label_encode", "one_hot",
            "string_columns", "target_encode_oof", "target_fit", "target_fit_transform",
            "target_transform", "vocabulary", "broadcast_group_stat", "gap_to_previous",
-           "latest_where", "prefix_sums", "attach_group_stats", "quantile_bucket", "uniform_bucket"]
+           "latest_where", "prefix_sums", "attach_group_stats", "group_median", "quantile_bucket", "uniform_bucket"]

@@ -106,3 +106,29 @@ def prefix_sums(df: DataFrame, order: Iterable[str | Column], values: Iterable[s
     joined = within.join(offsets, part + ["_b"])
     return joined.select(*df.columns, *[(F.col(f"_o_{v}") + F.col(f"_w_{v}")).alias(f"{v}{suffix}")
                                         for v in values])
+
+
+def group_median(df: DataFrame, value: str, group: str, out: str,
+                 n_buckets: int | None = None) -> DataFrame:
+    """Exact median of `value` per `group` (A-9), missing values skipped; the
+    mean of the two middle values for an even count (pandas' median).
+
+    Skew-safe: rows are reduced to (group, value, count) by a partial
+    aggregate, ranks come from bucketed prefix sums of those counts, and only
+    the one or two (group, value) rows covering the middle ranks are kept, so
+    no task ever holds a whole group (unlike a percentile aggregate, whose
+    final merge keeps every distinct value of a group in one task).
+    """
+    v = df.filter(F.col(value).isNotNull())
+    counts = v.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+    nb = n_buckets or max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranked = prefix_sums(counts, [value], ["_c"], quantile_bucket(counts, value, nb), [group])
+    totals = counts.groupBy(group).agg(F.sum("_c").alias("_n"))
+    j = ranked.join(totals, group)
+    lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    start, end = F.col("_c_before"), F.col("_c_before") + F.col("_c")
+    covers_lo, covers_hi = (start <= lo) & (end > lo), (start <= hi) & (end > hi)
+    middle = j.filter(covers_lo | covers_hi)
+    return middle.groupBy(group).agg(
+        ((F.min(F.when(covers_lo, F.col(value))) + F.min(F.when(covers_hi, F.col(value))))
+         / F.lit(2.0)).alias(out))

@@ -14,6 +14,7 @@ from pyspark.sql.types import NumericType
 
 from ..functions import nullif_sentinel, safe_div, sentinel_to_zero, with_row_stats
 from ..functions.scalar import neq_keep_null
+from ..operators.series import group_median
 from ..operators.encode import (label_encode, one_hot, string_columns, target_fit_transform,
                                vocabulary)
 
@@ -94,10 +95,9 @@ def fill_with_global_mean(df: DataFrame, column: str) -> DataFrame:
 
 
 def median_by(df: DataFrame, value: str, group: str, out: str) -> DataFrame:
-    """Exact median of `value` per `group` (A-9). Spark's percentile aggregate
-    is partially aggregated as value->count maps, so memory follows the number
-    of distinct values per group, not the number of rows."""
-    return df.groupBy(group).agg(F.median(value).alias(out))
+    """Exact median of `value` per `group` (A-9) with the skew-safe rank
+    selection of `operators.series.group_median` (no group held by one task)."""
+    return group_median(df, value, group, out)
 
 
 def application_features(train: DataFrame, test: DataFrame, nan_as_category: bool = False,

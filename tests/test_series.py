@@ -71,3 +71,15 @@ def test_attach_group_stats_keeps_rows(spark):
     out = attach_group_stats(df, "k", {"n": F.count(F.lit(1))})
     assert out.count() == len(rows)
     assert out.filter(F.col("k") == 0).select("n").distinct().first()[0] == sum(1 for r in rows if r[1] == 0)
+
+
+def test_group_median_matches_pandas_with_hot_group(spark):
+    from lendscope.operators.series import group_median
+    rnd = random.Random(11)
+    rows = [(0 if i % 3 == 0 else rnd.randint(1, 6), None if rnd.random() < 0.05 else float(rnd.randint(0, 50)))
+            for i in range(500)] + [(9, None)]
+    df = spark.createDataFrame(rows, "g long, v double")
+    got = {r["g"]: r["m"] for r in group_median(df, "v", "g", "m", n_buckets=8).collect()}
+    exp = pd.DataFrame(rows, columns=["g", "v"]).groupby("g").v.median().dropna().to_dict()
+    assert set(got) == set(exp)
+    assert all(got[k] == pytest.approx(exp[k]) for k in exp)
