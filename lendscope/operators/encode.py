@@ -1,9 +1,9 @@
 """Categorical encoders (K-13..K-17, A-11, A-12, A-24, B-15, B-16).
 
-Vocabulary discovery is the only driver round-trip: one distinct job over all
-requested columns at once, returning at most `max_levels` values per column
-(the encoders refuse a column above that bound instead of shipping an
-unbounded list to the driver). Callers that know their categories pass
+Vocabulary discovery is the only driver round-trip: a distinct over all
+requested columns at once, first counted per column (a column with more than
+`max_levels` levels is refused before any value list exists), then collected
+(at most `max_levels` values per column reach the driver). Callers that know their categories pass
 `vocab=` and skip the job entirely. Dummy columns are plain projections that
 Catalyst pipelines into the consuming aggregate; nothing wide is materialised.
 """
@@ -28,7 +28,7 @@ def string_columns(df: DataFrame, among: Iterable[str] | None = None) -> list[st
 
 def vocabulary(df: DataFrame, columns: Iterable[str],
                max_levels: int = DEFAULT_MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct non-null values of each column, computed in one job."""
+    """Sorted distinct non-null values of each column (size-checked, then collected)."""
     columns = list(columns)
     if not columns:
         return {}
@@ -36,16 +36,17 @@ def vocabulary(df: DataFrame, columns: Iterable[str],
                                 for c in columns]))
     distinct = (df.select(pairs.alias("p")).select("p.name", "p.value")
                 .filter(F.col("value").isNotNull()).distinct())
-    # Bounded transfer: never more than max_levels + 1 values per column.
-    ranked = distinct.groupBy("name").agg(
-        F.slice(F.array_sort(F.collect_set("value")), 1, max_levels + 1).alias("values"))
+    # Check the size first (one count per column), so an unexpectedly
+    # high-cardinality column is refused before any value list is built.
+    sizes = {r["name"]: r["n"] for r in distinct.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    too_big = sorted(c for c, n in sizes.items() if n > max_levels)
+    if too_big:
+        raise ValueError(f"column {too_big[0]} has more than {max_levels} levels; "
+                         "pass an explicit vocabulary or raise max_levels")
     out = {c: [] for c in columns}
-    for row in ranked.collect():
-        if len(row["values"]) > max_levels:
-            raise ValueError(f"column {row['name']} has more than {max_levels} levels; "
-                             "pass an explicit vocabulary or raise max_levels")
-        out[row["name"]] = list(row["values"])
-    return out
+    for row in distinct.collect():          # at most max_levels rows per column
+        out[row["name"]].append(row["value"])
+    return {c: sorted(v) for c, v in out.items()}
 
 
 def one_hot_exprs(column: str, levels: Iterable[str], dummy_na: bool,
