@@ -50,13 +50,6 @@ def latest_where(step: str, cond: Column) -> Column:
     return F.max(F.when(cond, F.col(step)))
 
 
-def broadcast_group_stat(agg: Column, key: str | list[str]) -> Column:
-    """Group aggregate attached to every row of the group as a window (W-3).
-    Use only for groups of bounded size; `attach_group_stats` is the skew-safe form."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return agg.over(Window.partitionBy(*keys))
-
-
 def attach_group_stats(df: DataFrame, key: str | list[str], aggs: dict[str, Column]) -> DataFrame:
     """Group aggregates merged back onto every row of the group (J-8, W-3).
 
