@@ -82,3 +82,11 @@ def test_model_run_small(spark):
     assert len(aucs) == 4 and all(r["auc"] is None or 0 <= r["auc"] <= 1 for r in aucs)
     assert out["test"].count() == app.filter(F.col("TARGET").isNull()).count()
     assert out["importance"].count() == 3 * len(SC.feature_columns(app))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"gbt_oof_auc", "rf_pd"}))
+def test_plan_hygiene(spark, name):
+    """No Python UDFs in the row path, no cartesian products or nested-loop joins."""
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan, f"{name}: {bad}"
