@@ -14,8 +14,10 @@ from check_oracle import compare, duck, schema_diff  # noqa: E402
 import __spark_entry__ as entry_mod  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
 
-SQL = entry_mod.oracle_sql()
-QUERIES = entry_mod.queries()
+from lendscope import catalog  # noqa: E402
+
+SQL = catalog.oracle_sql()
+QUERIES = catalog.queries()
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +37,10 @@ def test_query_matches_oracle(spark, con, name):
     assert diff is None, diff
 
 
+def test_entry_registers_the_catalog():
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(SQL) <= set(entry_mod.oracle_sql())
+
+
 def test_entry_smoke(spark):
     df = entry_mod.entry(spark)
     assert df.count() > 0
