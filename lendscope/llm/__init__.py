@@ -3,9 +3,9 @@
 The subpackage is self-contained: nothing else in the library imports it.
 """
 
-from . import exact_dedup, sharding
+from . import exact_dedup, sharding, token_output
 
-_MODULES = (exact_dedup, sharding)
+_MODULES = (exact_dedup, sharding, token_output)
 
 
 def queries():

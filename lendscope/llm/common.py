@@ -5,8 +5,11 @@ Nothing outside `lendscope.llm` imports this subpackage.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +57,25 @@ def ascii_lower(c: Column) -> Column:
 def only(df: DataFrame, *names: str) -> DataFrame:
     """The named columns, so that further columns of the input cannot clash."""
     return df.select(*[df[n] for n in names])
+
+
+def map_batches(df: DataFrame, task: Callable, schema: str) -> DataFrame:
+    """`mapInArrow` with this package shipped to the executors' Python workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules along with the job (once per application), as
+    `--py-files` does, so that executors need no installed copy."""
+    sc = spark.sparkContext
+    if any(name.startswith("lendscope-llm") for name in sc._python_includes):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="lendscope-"), "lendscope-llm.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                archive.write(full, os.path.join("lendscope", os.path.relpath(full, top)))
+    sc.addPyFile(path)
