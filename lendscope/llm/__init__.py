@@ -3,9 +3,9 @@
 The subpackage is self-contained: nothing else in the library imports it.
 """
 
-from . import exact_dedup, sharding, token_output
+from . import exact_dedup, packing, sharding, token_output
 
-_MODULES = (exact_dedup, sharding, token_output)
+_MODULES = (packing, exact_dedup, sharding, token_output)
 
 
 def queries():
