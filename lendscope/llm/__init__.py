@@ -3,9 +3,9 @@
 The subpackage is self-contained: nothing else in the library imports it.
 """
 
-from . import exact_dedup, packing, quality, sharding, token_output
+from . import ann, exact_dedup, packing, quality, sharding, token_output
 
-_MODULES = (packing, exact_dedup, quality, sharding, token_output)
+_MODULES = (packing, exact_dedup, quality, sharding, token_output, ann)
 
 
 def queries():
