@@ -3,9 +3,9 @@
 The subpackage is self-contained: nothing else in the library imports it.
 """
 
-from . import ann, bpe, exact_dedup, packing, quality, sharding, token_output
+from . import ann, bpe, exact_dedup, packing, quality, sharding, substring_dedup, token_output
 
-_MODULES = (bpe, packing, exact_dedup, quality, sharding, token_output, ann)
+_MODULES = (bpe, packing, exact_dedup, quality, substring_dedup, sharding, token_output, ann)
 
 
 def queries():
