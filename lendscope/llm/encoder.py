@@ -1,15 +1,19 @@
 """Whole-text encoding inside tasks with a byte-level vocabulary of the tokenizers library.
 
-The pre-tokenizer of a byte-level vocabulary cuts a text by a fixed pattern and merges
-inside each match only, so a match has the same ids wherever it stands. Each Python
-worker therefore hands a distinct match to the library once and keeps its ids; the
-kept words are bounded and start anew when full, which changes no result.
+The pre-tokenizer of such a vocabulary cuts a text by a fixed pattern, and merges happen
+inside each match only, so a match has the same ids wherever it stands. A worker asks the
+library's model for a match once and keeps the ids of the first `KEPT` it meets (frequent
+ones come early); which are kept changes no result.
+
+Most texts hold no two white-space characters in a row. A cut before a space or line end
+then never falls inside a match, so such texts are looked up by whole blank-separated
+parts; all other texts go match by match.
 """
 
 from __future__ import annotations
 
 import functools
-import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +21,12 @@ import public_tokenizers
 import regex
 
 SLICE_CHARS = 1 << 20      # longer texts are matched in slices of about this many characters
-MEMO_WORDS = 300_000       # bound of the kept words of a worker
+KEPT = 500_000             # bound of the matches, and of the parts, whose ids a worker keeps
+KEPT_CHARS = 48            # longer ones are not kept
 
 _WORDS = regex.compile(public_tokenizers.PATTERN)
 _CUT = regex.compile(r"\S\s")
+_TWO_BLANKS = re.compile(r"\s\s")
 
 
 def slices(text: str, limit: int = SLICE_CHARS) -> Iterator[str]:
@@ -36,73 +42,69 @@ def slices(text: str, limit: int = SLICE_CHARS) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-def words_of(text: str) -> list[str]:
-    return _WORDS.findall(text)
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable Latin-1
+    stands for itself, the other bytes follow from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+class _Kept(dict):
+    """Ids by key; a missing key is computed, and kept while there is room."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.compute(key)
+        if len(self) < KEPT and len(key) <= KEPT_CHARS:
+            self[key] = ids
+        return ids
 
 
 class Encoder:
-    """`encode(texts)` gives for each text its ids as little-endian bytes of `dtype`."""
+    """`encode(texts)` gives for each text its ids as little-endian bytes of `dtype`.
+    Strings of special tokens in a text are ordinary text."""
 
     def __init__(self, vocabulary: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(vocabulary)
-        self.library.encode_special_tokens = True      # their strings in a text are ordinary text
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memo: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
-            new = list(words)
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
-            got = self.library.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(got.ids, dtype=self.dtype)
-            of = np.array(got.word_ids, dtype=np.int64)
-            ends = np.searchsorted(of, np.arange(len(part)), side="right").tolist()
-            raw, size, begin = ids.tobytes(), self.dtype.itemsize, 0
-            for word, end in zip(part, ends, strict=True):
-                self.memo[word] = raw[begin * size:end * size]
-                begin = end
+        library = Tokenizer.from_file(vocabulary)
+        size = library.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.letters = byte_letters()
+        self.bytes_of = [np.array([i], self.dtype).tobytes() for i in range(size)]
+        self.tokenize = library.model.tokenize
+        self.library = library                       # owns the model
+        self.matches = _Kept(self._match)
+        self.parts = _Kept(self._part)
+
+    def _match(self, word: str) -> bytes:
+        found = self.tokenize(word.encode().decode("latin-1").translate(self.letters))
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[t.id] for t in found])
+
+    def _part(self, part: str) -> bytes:
+        """A part is what stands between blanks; its blank belongs to it, a line end too."""
+        return self.by_matches(part if part[:1] == "\n" else " " + part)
+
+    def by_matches(self, text: str) -> bytes:
+        return b"".join(map(self.matches.__getitem__, _WORDS.findall(text)))
+
+    def one(self, text: str) -> bytes:
+        if len(text) > SLICE_CHARS:
+            return b"".join(map(self.by_matches, slices(text)))
+        if _TWO_BLANKS.search(text):
+            return self.by_matches(text)
+        parts = iter(text.replace("\n", " \n").split(" "))
+        return self.by_matches(next(parts)) + b"".join(map(self.parts.__getitem__, parts))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        group: list[list[str]] = []
-        chars = 0
-
-        def flush() -> None:
-            nonlocal chars
-            self.learn(set().union(*group))
-            get = self.memo.__getitem__
-            out.extend(b"".join(map(get, words)) for words in group)
-            group.clear()
-            chars = 0
-
-        for text in texts:
-            if len(text) > SLICE_CHARS:
-                flush()
-                parts = []
-                for part in slices(text):
-                    words = words_of(part)
-                    self.learn(set(words))
-                    parts.append(b"".join(map(self.memo.__getitem__, words)))
-                out.append(b"".join(parts))
-                continue
-            group.append(words_of(text))
-            chars += len(text)
-            if chars > SLICE_CHARS:
-                flush()
-        flush()
-        return out
+        return list(map(self.one, texts))
 
 
 @functools.lru_cache(maxsize=2)
 def encoder(vocabulary: str) -> Encoder:
     """One encoder per worker and vocabulary file."""
     return Encoder(vocabulary)
-
-
-def as_u32(ids: bytes, dtype: np.dtype) -> bytes:
-    return np.frombuffer(ids, dtype=dtype).astype("<u4").tobytes()
