@@ -7,7 +7,8 @@ A document's set holds its distinct shingles of `shingle` words. Two documents a
    exponential hash over the set: K = floor(1 - log_b(min h)), kept in 0..q+1. Registers of
    a union are the greater ones of its parts. Documents of equal sets form one node.
 2. Bands of `band` registers each deal the nodes to buckets. Linked nodes miss each other in
-   all bands with probability (1 - J^band)^(registers/band), under 1e-6 at J = 0.85.
+   all bands with probability (1 - J^band)^(registers/band), about 7e-7 for
+   (J, band) = (0.85, 6) as well as (0.8, 5) of 180 registers.
 3. Star round: every node is compared with the smallest node of each of its buckets. What
    is linked forms the first components; a bucket of near copies shrinks to one so.
 4. Cross rounds: in buckets that still hold several components, nodes outside the largest
@@ -41,10 +42,10 @@ NO_ID = -(1 << 62)                                 # join key of rows without an
 
 @dataclass(frozen=True)
 class Rule:
-    shingle: int = 3
-    percent: int = 85
+    shingle: int = 5
+    percent: int = 80
     registers: int = 180
-    band: int = 6
+    band: int = 5
 
 
 # -- sets and sketches -----------------------------------------------------
@@ -121,8 +122,10 @@ def passing(a: np.ndarray, b: np.ndarray, size_a, size_b, percent: int) -> tuple
 
 
 def sketches(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, set_a, set_b, registers) per row: set size, 128-bit signature of the set, sketch."""
-    src = only(docs, id_col, text_col).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    """(id, text_hash, n, set_a, set_b, registers) per row: set size, 128-bit signature of
+    the set, sketch."""
+    src = only(docs, id_col, text_col).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")) \
+        .withColumn("text_hash", F.xxhash64("text"))
     id_type = src.schema["id"].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,11 +135,11 @@ def sketches(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFra
                 sums = [np.concatenate([[np.uint64(0)], np.cumsum(mixed(codes, salt), dtype=np.uint64)]) for salt in (31, 32)]
                 a, b = ((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums)
                 rows = register_values(codes, bounds, rule.registers)
-                yield pa.RecordBatch.from_arrays([part["id"], pa.array(np.diff(bounds)), pa.array(a), pa.array(b),
+                yield pa.RecordBatch.from_arrays([part["id"], part["text_hash"], pa.array(np.diff(bounds)), pa.array(a), pa.array(b),
                                                   pa.array([r.tobytes() for r in rows], pa.binary())],
-                                                 ["id", "n", "set_a", "set_b", "registers"])
+                                                 ["id", "text_hash", "n", "set_a", "set_b", "registers"])
 
-    return map_batches(src, sketch, f"id {id_type}, n long, set_a long, set_b long, registers binary")
+    return map_batches(src, sketch, f"id {id_type}, text_hash long, n long, set_a long, set_b long, registers binary")
 
 
 def _parts(batch: pa.RecordBatch, rows: int = 256, chars: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -323,22 +326,24 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 # -- the whole -------------------------------------------------------------
 
-def near_dedup(docs: DataFrame, rule: Rule = Rule(shingle=5, percent=80), id_col: str = "doc_id",
+def near_dedup(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id (the smallest id reachable), kept.
+    """One row per input row: id, n_shingles, component_id (the smallest id reachable), kept
+    (id = component_id), and for filters: text_hash (xxhash64 of the text), stays.
 
     Null and blank texts have an empty set and are linked with nothing; equal sets are
     linked. A null id is never the smallest unless its component has no other; such a
     component's rows have component_id null and are kept. Repeated ids are rows of their
-    own. An empty table gives an empty result.
+    own; `stays` is true for one (id, text) of each component, also where its id repeats.
+    An empty table gives an empty result.
     """
     ship_package(docs.sparkSession)
     rows = stored(sketches(docs, rule, id_col, text_col), "near-sketches")
     classes = (rows.filter("n > 0").groupBy("set_a", "set_b", "n")
-               .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("registers").alias("registers")))
+               .agg(F.min(_first()).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("registers").alias("registers")))
     nodes = stored(classes.select(
-        F.monotonically_increasing_id().alias("node"), "set_a", "set_b", "n", "id", "copies",
-        F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)).alias("key"), "registers"), "near-nodes")
+        F.monotonically_increasing_id().alias("node"), "set_a", "set_b", "n", "first", "copies",
+        F.coalesce(F.col("first.id").cast("long"), F.lit(NO_ID)).alias("key"), "registers"), "near-nodes")
     members = stored(memberships(nodes, rule), "near-members")
 
     star = stored(star_pairs(members, nodes, rule), "near-star")
@@ -350,20 +355,26 @@ def near_dedup(docs: DataFrame, rule: Rule = Rule(shingle=5, percent=80), id_col
             links = links.unionByName(stored(verified(pairs, nodes, docs, rule, id_col, text_col), "near-links"))
             components = connected(links)
 
-    joined = nodes.select("node", "set_a", "set_b", "id", "copies").join(components, "node", "left")
-    smallest = (joined.filter("component is not null").groupBy("component").agg(F.min("id").alias("component_id")))
+    joined = nodes.select("node", "set_a", "set_b", "first", "copies").join(components, "node", "left")
+    smallest = (joined.filter("component is not null").groupBy("component").agg(F.min("first").alias("smallest")))
     # Rows that stand alone need no look-up.
     groups = stored(joined.filter("component is not null or copies > 1").join(smallest, "component", "left")
-                    .select("set_a", "set_b", F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("smallest"),
-                            F.lit(True).alias("grouped")), "near-groups")
-    return (rows.select("id", "n", "set_a", "set_b").join(groups, ["set_a", "set_b"], "left")
-            .withColumn("component_id", F.when((F.col("n") > 0) & F.col("grouped"), F.col("smallest")).otherwise(F.col("id")))
+                    .select("set_a", "set_b", F.coalesce("smallest", "first").alias("smallest")), "near-groups")
+    grouped = (F.col("n") > 0) & F.col("smallest").isNotNull()
+    return (rows.drop("registers").join(groups, ["set_a", "set_b"], "left")
+            .withColumn("component_id", F.when(grouped, F.col("smallest.id")).otherwise(F.col("id")))
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
-                    F.col("id").eqNullSafe(F.col("component_id")).alias("kept")))
+                    F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash",
+                    F.when(grouped, F.col("smallest").eqNullSafe(_first())).otherwise(F.lit(True)).alias("stays")))
+
+
+def _first():
+    """Order within a component: null ids last, then the id, then the text's hash."""
+    return F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("text_hash").alias("text_hash"))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"), Rule(shingle=3, percent=85))
+    return near_dedup(table(spark, sf_dir, "documents"), Rule(shingle=3, percent=85, band=6))
 
 
 QUERIES = {"op10_near_dedup": (op10_near_dedup, None)}

@@ -125,9 +125,10 @@ def _ranges(codes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
 
 
 def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
-                    chunk_bytes: int = 1 << 23, bucket_bytes: int = 1 << 25) -> DataFrame:
+                    chunk_bytes: int = 1 << 23, bucket_bytes: int = 1 << 25, whole_as_is: bool = False) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept (the text of the kept words joined
-    by one space).
+    by one space; with `whole_as_is`, a text that loses no word stays as it is).
+    The id may be a struct, which carries further columns along.
 
     `window` is odd. A null text has no words; texts under `window` words keep all of theirs.
     Repeated rows are documents of their own, so all of their windows repeat and none of them
@@ -246,10 +247,13 @@ def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
                 gone = np.cumsum(cover)[:-1] > 0
             ids += row["ids"]
             raw = words.bytes.tobytes()
-            for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
+            for text, a, b in zip(row["texts"], words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
                 stay = np.flatnonzero(~gone[a:b]) + a
                 n_words.append(b - a)
                 n_removed.append(b - a - len(stay))
+                if whole_as_is and not n_removed[-1]:
+                    kept.append(text.encode())
+                    continue
                 begins, ends = words.starts[stay].tolist(), words.ends[stay].tolist()
                 kept.append(b" ".join([raw[x:y] for x, y in zip(begins, ends, strict=True)]))
         kind = rows.schema.field("ids").type.value_type
