@@ -3,9 +3,20 @@
 The subpackage is self-contained: nothing else in the library imports it.
 """
 
-from . import ann, bpe, exact_dedup, near_dedup, packing, quality, sharding, substring_dedup, token_output
+from . import (
+    ann,
+    bpe,
+    exact_dedup,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+    token_counts,
+    token_output,
+)
 
-_MODULES = (bpe, packing, exact_dedup, quality, substring_dedup, sharding, token_output, ann, near_dedup)
+_MODULES = (bpe, token_counts, packing, exact_dedup, quality, substring_dedup, sharding, token_output, ann, near_dedup)
 
 
 def queries():

@@ -86,7 +86,12 @@ class Encoder:
         return b"".join([bytes_of[t.id] for t in found])
 
     def _part(self, part: str) -> bytes:
-        """A part is what stands between blanks; its blank belongs to it, a line end too."""
+        """A part is what stands between blanks; its blank belongs to it, a line end too.
+        Letters alone, or with a comma or stop behind, need no pattern to be cut."""
+        if part.isalpha():
+            return self.matches[" " + part]
+        if part[-1:] in (",", ".") and part[:-1].isalpha():
+            return self.matches[" " + part[:-1]] + self.matches[part[-1]]
         return self.by_matches(part if part[:1] == "\n" else " " + part)
 
     def by_matches(self, text: str) -> bytes:

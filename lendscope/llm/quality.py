@@ -70,8 +70,11 @@ def term_counts(text: bytes) -> np.ndarray:
 
 
 def term_weights(counts: np.ndarray) -> np.ndarray:
-    """Square roots of the terms' shares of the text: length takes no part."""
-    return np.sqrt(counts / max(1, counts[:2048].sum())).astype(np.float32)
+    """Square roots of the terms' shares of the text: length takes no part. Terms of whole
+    words count double, as they are far fewer than the trigrams."""
+    row = np.sqrt(counts / max(1, counts[:2048].sum())).astype(np.float32)
+    row[2048:] *= 2
+    return row
 
 
 @dataclass
@@ -130,7 +133,7 @@ def sparse_terms(text: str) -> tuple[bytes, bytes]:
 
 
 def fit_on_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample: int = 4096, dims: int = 32,
-                  neighbours: int = 15, id_col: str = "doc_id", text_col: str = "text") -> Model:
+                  neighbours: int = 7, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on at most `sample` labelled rows outside the held-out fold, those with the
     smallest hashes of their id. Several labels of an id count by their mean, null labels
     not at all; of several texts of an id the greatest is taken."""
