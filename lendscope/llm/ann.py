@@ -83,29 +83,42 @@ def build_tree(vectors: np.ndarray, leaf: int) -> tuple[np.ndarray, np.ndarray]:
 
 def search_tree(vectors: np.ndarray, ids: np.ndarray, tree: np.ndarray, q: np.ndarray, own: int,
                 k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-    """The k nearest (ids, distances) in a shard, nearest first, ties to the smaller id."""
-    best_d, best_i = np.zeros(0), np.zeros(0, np.int64)
-    slack = 1e-9                     # rounding of the bounds must not skip an equal distance
+    """The k nearest (ids, distances) in a shard, nearest first, ties to the smaller id.
+
+    A leaf's distances are taken as one block; whatever may be among the k nearest by them,
+    up to rounding, gets its exact distance at the end."""
+    near = 1 + 1e-9                  # rounding must not drop an equal distance
+    rows, found = [np.zeros(0, np.int64)], [np.zeros(0)]
+    worst = np.inf                   # k-th best squared distance so far
     todo = [(0.0, 0)]
     while todo:
         bound, at = todo.pop()
-        if len(best_d) == k and bound > factor * best_d[-1] * (1 + slack) + slack:
+        if bound > 0 and bound * bound > factor * factor * worst * near:
             continue
         node = tree[at]
         if node["vantage"] < 0:
-            part = slice(node["first"], node["end"])
-            d, i = distances(vectors[part], q), ids[part]
-            kept = i != own
-            d, i = np.concatenate([best_d, d[kept]]), np.concatenate([best_i, i[kept]])
-            by = np.lexsort((i, d))[:k]
-            best_d, best_i = d[by], i[by]
+            first, end = int(node["first"]), int(node["end"])
+            diff = vectors[first:end] - q
+            d = np.einsum("ij,ij->i", diff, diff)
+            kept = np.flatnonzero((d <= worst * near) & (ids[first:end] != own))
+            if len(kept):
+                rows.append(kept + first)
+                found.append(d[kept])
+                merged = np.concatenate(found)
+                if len(merged) >= k:
+                    worst = np.partition(merged, k - 1)[k - 1]
+                    stay = merged <= worst * near
+                    rows, found = [np.concatenate(rows)[stay]], [merged[stay]]
             continue
-        v = vectors[node["vantage"]]
-        d = float(np.sqrt(((v - q) ** 2).sum()))
+        diff = vectors[node["vantage"]] - q
+        d = float(np.sqrt(diff @ diff))
         inner = (max(bound, d - node["inner_hi"], node["inner_lo"] - d), int(node["inner"]))
         outer = (max(bound, d - node["outer_hi"], node["outer_lo"] - d), int(node["outer"]))
         todo += [outer, inner] if inner[0] <= outer[0] else [inner, outer]
-    return best_i, best_d
+    last = np.concatenate(rows)
+    exact = distances(vectors[last], q)
+    by = np.lexsort((ids[last], exact))[:k]
+    return ids[last][by], exact[by]
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -117,7 +130,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return v.filter(F.col("id").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0))
 
 
-def build_index(rows: DataFrame, shard_rows: int = 8192, leaf: int = 64) -> DataFrame:
+def build_index(rows: DataFrame, shard_rows: int = 8192, leaf: int = 256) -> DataFrame:
     """The stored index over `usable` rows. A hash of id and vector deals rows evenly whatever repeats."""
     spark = rows.sparkSession
     ship_package(spark)
