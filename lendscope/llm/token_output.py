@@ -136,7 +136,8 @@ def write_segments(docs: DataFrame, path: str, vocabulary: str, end_id: int | No
             ordinals, prints = np.zeros(len(codes), "<u4"), np.zeros(len(codes), "<u4")
             ordinals[slots], prints[slots] = first, fingerprints(codes)
             out = pa.RecordBatch.from_pylist([{
-                "shard": shard, "segment": segment, "first_key": keys[0], "last_key": keys[-1],
+                "shard": shard, "segment": segment, "last_key": keys[-1],
+                "first_key": next((k for k in keys if k is not None), None),
                 "documents": len(keys), "n_ids": int(ends[-1]), "ids": b"".join(held), "ends": ends.tobytes(),
                 "keys": keys, "seeds": seeds.astype("<i8").tobytes(), "prints": prints.tobytes(),
                 "ordinals": ordinals.tobytes()}], schema=SCHEMA)
