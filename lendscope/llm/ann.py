@@ -138,7 +138,7 @@ def build_index(rows: DataFrame, shard_rows: int = 8192, leaf: int = 256) -> Dat
     shards = max(1, -(-n // shard_rows))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
 
-    def tree_of(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def tree_of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for dims, part in pdf.groupby(pdf["v"].map(len)):          # vectors of another width share no distance
             vectors = np.stack(part["v"].to_numpy())

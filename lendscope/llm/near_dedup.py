@@ -108,7 +108,7 @@ def passing(a: np.ndarray, b: np.ndarray, size_a, size_b, percent: int) -> tuple
     likelihood rule a link out."""
     more, less = (a > b).sum(axis=1), (a < b).sum(axis=1)
     same = a.shape[1] - more - less
-    size_a, size_b = np.broadcast_arrays(np.asarray(size_a, float), np.asarray(size_b, float))
+    size_a, size_b = (np.broadcast_to(np.asarray(s, float), more.shape) for s in (size_a, size_b))
     small, great = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
     share, limit = size_a / (size_a + size_b), small / great
     grid = np.linspace(0.0, 1.0, 65)[:, None] * limit[None, :]
