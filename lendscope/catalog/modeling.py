@@ -59,10 +59,7 @@ def nested_split(spark, base):
 SELECT CAST(fold AS INTEGER) AS fold, {r('auc')} AS auc FROM a""")
 def auc_exact(spark, base):
     """M-9 exact tie-aware ROC-AUC per fold and overall (fold -1)."""
-    s = EV.kfold(roles.scored(spark, base), "id", 5)
-    per = EV.auc(s, "score", "label", by=["fold"]).select("fold", "auc")
-    allr = EV.auc(s, "score", "label").select(F.lit(-1).alias("fold"), "auc")
-    return finish(per.unionByName(allr))
+    return finish(EV.auc_by_fold(EV.kfold(roles.scored(spark, base), "id", 5), "score", "label"))
 
 
 @query("roc_points", with_roles("scored") + f"""

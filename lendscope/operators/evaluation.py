@@ -19,19 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hash01, hash_hex8
-from .series import prefix_sums, quantile_bucket, uniform_bucket
+from .series import N_BUCKETS, prefix_sums, quantile_bucket, uniform_bucket
 
 DEFAULT_SEED = 47           # fixed value: the reference's fold seed
-DEFAULT_BUCKETS = 64
-
-
-def _n_buckets(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    try:
-        return max(DEFAULT_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    except Exception:  # noqa: BLE001
-        return DEFAULT_BUCKETS
 
 
 def kfold(df: DataFrame, id_col: str, k: int = 5, seed: int = DEFAULT_SEED, out: str = "fold") -> DataFrame:
@@ -44,7 +34,7 @@ def stratified_kfold(df: DataFrame, id_col: str, label_col: str, k: int = 5, see
                      out: str = "fold", n_buckets: int | None = None) -> DataFrame:
     """Stratified k-fold (M-2): rank rows inside each label by (hash, id) and
     deal them round-robin, so every fold gets the same share (+-1) of each label."""
-    nb = _n_buckets(df, n_buckets)
+    nb = n_buckets or N_BUCKETS
     tmp = df.withColumns({"_h": hash_hex8(id_col, seed), "_one": F.lit(1).cast("bigint")})
     ranked = prefix_sums(tmp, ["_h", id_col], ["_one"], uniform_bucket(F.col("_h"), nb), [label_col])
     return ranked.withColumn(out, F.pmod(F.col("_one_before"), F.lit(k)).cast("int")).drop("_h", "_one", "_one_before")
@@ -54,12 +44,17 @@ def nested_split(df: DataFrame, id_col: str, label_col: str, seed: int = DEFAULT
                  out: str = "part", n_buckets: int | None = None) -> DataFrame:
     """Three-way stratified split (M-3): a stratified 3-fold split keeps its
     last fold as `fold3`; the remaining rows are split 2-fold into `fold1`
-    (training) and `fold2` (the fold that is scored and thresholded)."""
-    s3 = stratified_kfold(df, id_col, label_col, 3, seed, "_f3", n_buckets)
-    rest = stratified_kfold(s3.filter(F.col("_f3") != 2), id_col, label_col, 2, seed, "_f2", n_buckets)
-    first = rest.select(*df.columns, F.when(F.col("_f2") == 1, F.lit("fold2")).otherwise(F.lit("fold1")).alias(out))
-    last = s3.filter(F.col("_f3") == 2).select(*df.columns, F.lit("fold3").alias(out))
-    return first.unionByName(last)
+    (training) and `fold2` (the fold that is scored and thresholded).
+
+    One rank r inside each label gives all three parts: r mod 3 = 2 is fold3, and of the
+    rows before r, (r + 1) div 3 are in it, so r - (r + 1) div 3 is the rank among the rest."""
+    nb = n_buckets or N_BUCKETS
+    tmp = df.withColumns({"_h": hash_hex8(id_col, seed), "_one": F.lit(1).cast("bigint")})
+    ranked = prefix_sums(tmp, ["_h", id_col], ["_one"], uniform_bucket(F.col("_h"), nb), [label_col])
+    r = F.col("_one_before")
+    rest = r - F.floor((r + 1) / 3)
+    part = F.when(r % 3 == 2, F.lit("fold3")).when(rest % 2 == 1, F.lit("fold2")).otherwise(F.lit("fold1"))
+    return ranked.withColumn(out, part).select(*df.columns, out)
 
 
 def score_label_counts(df: DataFrame, score: str, label: str, by: Iterable[str] = ()) -> DataFrame:
@@ -75,34 +70,42 @@ def auc(df: DataFrame, score: str, label: str, by: Iterable[str] = (), n_buckets
 
     AUC = sum over scores s of pos(s) * (neg(score < s) + neg(s) / 2) / (P * N).
     """
+    return auc_of_counts(score_label_counts(df, score, label, by), score, by, n_buckets)
+
+
+def auc_of_counts(g: DataFrame, score: str, by: Iterable[str] = (), n_buckets: int | None = None) -> DataFrame:
+    """`auc` from the counts of `score_label_counts`."""
     by = list(by)
-    g = score_label_counts(df, score, label, by)
-    nb = _n_buckets(df, n_buckets)
-    p = prefix_sums(g, [score], ["neg"], quantile_bucket(g, score, nb), by)
+    p = prefix_sums(g, [score], ["neg"], quantile_bucket(g, score, n_buckets or N_BUCKETS), by)
     contrib = F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
     return p.groupBy(*by).agg(
         F.try_divide(F.sum(contrib), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
 
+def auc_by_fold(df: DataFrame, score: str, label: str, fold: str = "fold", n_buckets: int | None = None) -> DataFrame:
+    """(fold, auc) of every fold and, as fold -1, of all rows: the input is counted once by
+    (fold, score), each count stands for its fold and for all rows, one prefix sum."""
+    g = score_label_counts(df, score, label, [fold])
+    both = g.withColumn(fold, F.explode(F.array(F.col(fold).cast("int"), F.lit(-1))))
+    both = both.groupBy(fold, score).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return auc_of_counts(both, score, [fold], n_buckets).select(fold, "auc")
+
+
 def roc_points(df: DataFrame, score: str, label: str, by: Iterable[str] = (),
                n_buckets: int | None = None) -> DataFrame:
     """ROC curve points (M-10): for every distinct score t (taken as threshold
     `score >= t`), the false and true positive rates."""
     by = list(by)
     g = score_label_counts(df, score, label, by)
-    nb = _n_buckets(df, n_buckets)
-    desc_bucket = F.lit(nb) - quantile_bucket(g, score, nb)
-    p = prefix_sums(g, [F.col(score).desc()], ["pos", "neg"], desc_bucket, by)
+    p = prefix_sums(g, [F.col(score).desc()], ["pos", "neg"], -quantile_bucket(g, score, n_buckets or N_BUCKETS), by)
     if by:
-        totals = g.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-        j = p.join(totals, by)
-    else:  # one global pair of totals: two scalars, no join needed
-        tp, tn = g.agg(F.sum("pos"), F.sum("neg")).first()
-        j = p.withColumns({"_P": F.lit(tp).cast("double"), "_N": F.lit(tn).cast("double")})
+        j = p.join(g.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N")), by)
+    else:  # one global pair of totals, as scalars of the plan
+        j = p.withColumns({"_P": g.agg(F.sum("pos")).scalar(), "_N": g.agg(F.sum("neg")).scalar()})
     return j.select(*by, F.col(score).alias("threshold"),
-                    F.try_divide((F.col("neg_before") + F.col("neg")).cast("double"), F.col("_N")).alias("fpr"),
-                    F.try_divide((F.col("pos_before") + F.col("pos")).cast("double"), F.col("_P")).alias("tpr"))
+                    F.try_divide((F.col("neg_before") + F.col("neg")).cast("double"), F.col("_N").cast("double")).alias("fpr"),
+                    F.try_divide((F.col("pos_before") + F.col("pos")).cast("double"), F.col("_P").cast("double")).alias("tpr"))
 
 
 def capture_rate(df: DataFrame, new_col: str, base_col: str, probe_col: str,

@@ -7,7 +7,7 @@ Scale notes
   first reduces the rows to distinct `(entity, value)` pairs (a partial
   aggregate, so a hot entity with a third of all rows costs nothing extra),
   runs `lag` over those pairs (bounded by the value domain, e.g. day offsets),
-  and joins the gap back on `(entity, value)` (AQE splits a skewed join key).
+  and joins the gap back on the row id of each pair's first row.
 * `prefix_sums` replaces an unpartitioned running-sum window (one task for the
   whole table) by bucket totals -> offsets over a tiny table -> running sums
   inside each bucket, so the work is spread over `n_buckets` tasks.
@@ -31,23 +31,33 @@ def gap_to_previous(df: DataFrame, key: str, value: str, row_id: str, out: str,
     With `where`, only qualifying rows take part; the others get NULL.
     """
     qual = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    tagged = df.withColumn("_q", qual)
-    pairs = (tagged.filter(F.col("_q") & F.col(value).isNotNull())
-             .groupBy(key, value).agg(F.min(row_id).alias("_first_id")))
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    w = Window.partitionBy(key).orderBy(order)
-    pairs = pairs.withColumn("_gap", F.coalesce(F.abs(F.col(value) - F.lag(value).over(w)), F.lit(0)))
-    joined = tagged.join(pairs, [key, value], "left")
-    gap = (F.when(~F.col("_q"), F.lit(None))
-           .when(F.col(value).isNull(), F.lit(0))
-           .when(F.col(row_id) == F.col("_first_id"), F.col("_gap"))
-           .otherwise(F.lit(0)))
-    return joined.withColumn(out, gap).drop("_q", "_first_id", "_gap")
+    gaps = gaps_by_row(df, key, row_id, {out: (value, descending, where)})
+    return (df.withColumn("_q", qual).join(gaps, row_id, "left")
+            .withColumn(out, F.when(F.col("_q"), F.coalesce(F.col(out), F.lit(0)))).drop("_q"))
 
 
-def latest_where(step: str, cond: Column) -> Column:
-    """Aggregate: latest step (max) among rows satisfying `cond` (W-4)."""
-    return F.max(F.when(cond, F.col(step)))
+def gaps_by_row(df: DataFrame, key: str, row_id: str,
+                series: dict[str, tuple[str, bool, Column | None]]) -> DataFrame:
+    """Non-zero candidates of several gap columns in one pass: (row_id, *series).
+
+    `series` maps an output name to (value column, descending, row predicate).
+    Only the first row (smallest id) of an (entity, value) pair can have a gap other
+    than 0, so pairs keep that id and the result joins back on the row id alone: no
+    join on the entity, hence no hot key. Rows without an entry have gap 0.
+    """
+    entries = []
+    for kind, (name, (value, descending, where)) in enumerate(series.items()):
+        v = F.col(value).cast("double")
+        taken = F.col(value).isNotNull() & (F.lit(True) if where is None else F.coalesce(where, F.lit(False)))
+        entries.append(F.when(taken, F.struct(F.lit(kind).alias("kind"), (-v if descending else v).alias("v"))))
+    long = (df.select(row_id, key, F.explode(F.array_compact(F.array(*entries))).alias("e"))
+            .groupBy(key, "e.kind", "e.v").agg(F.min(row_id).alias(row_id)))
+    w = Window.partitionBy(key, "kind").orderBy("v")
+    gaps = long.withColumn("gap", F.col("v") - F.lag("v").over(w)).filter(F.col("gap").isNotNull())
+    types = dict(df.dtypes)
+    return gaps.groupBy(row_id).agg(*[
+        F.max(F.when(F.col("kind") == kind, F.col("gap"))).cast(types[value]).alias(name)
+        for kind, (name, (value, _, _)) in enumerate(series.items())])
 
 
 def attach_group_stats(df: DataFrame, key: str | list[str], aggs: dict[str, Column]) -> DataFrame:
@@ -67,16 +77,20 @@ def uniform_bucket(h: Column, n_buckets: int, modulus: float = 4294967296.0) ->
     return F.floor(h.cast("double") * n_buckets / modulus).cast("int")
 
 
-def quantile_bucket(df: DataFrame, column: str, n_buckets: int) -> Column:
-    """Bucket index monotone in `column`, with bucket edges at approximate
-    quantiles (one small job; `n_buckets - 1` edges reach the driver)."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = sorted(set(x for x in df.approxQuantile(column, probs, 0.001) if x is not None))
+N_BUCKETS = 128       # buckets of a global order; independent of the shuffle setting
+
+
+def quantile_bucket(df: DataFrame, column: str, n_buckets: int = N_BUCKETS) -> Column:
+    """Bucket index monotone in `column` (numbers or strings), near-equal in rows.
+
+    The bounds are the `n_buckets - 1` values with the smallest hashes, i.e. a uniform
+    sample, read as a scalar subquery: no job at plan time, and one expression of
+    constant size however many buckets there are."""
     c = F.col(column)
-    expr = F.lit(0)
-    for e in edges:
-        expr = expr + F.when(c > F.lit(e), 1).otherwise(0)
-    return expr.cast("int")
+    sample = df.filter(c.isNotNull()).select(c.alias("v")).orderBy(F.xxhash64("v"), "v").limit(n_buckets - 1)
+    bounds = sample.agg(F.sort_array(F.collect_list("v")).alias("bounds")).scalar()
+    # The place of the value among the bounds (subqueries may not stand inside a lambda).
+    return (F.array_position(F.sort_array(F.array_append(bounds, c)), c) - 1).cast("int")
 
 
 def prefix_sums(df: DataFrame, order: Iterable[str | Column], values: Iterable[str],
@@ -114,8 +128,7 @@ def group_median(df: DataFrame, value: str, group: str, out: str,
     """
     v = df.filter(F.col(value).isNotNull())
     counts = v.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
-    nb = n_buckets or max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranked = prefix_sums(counts, [value], ["_c"], quantile_bucket(counts, value, nb), [group])
+    ranked = prefix_sums(counts, [value], ["_c"], quantile_bucket(counts, value, n_buckets or N_BUCKETS), [group])
     totals = counts.groupBy(group).agg(F.sum("_c").alias("_n"))
     j = ranked.join(totals, group)
     lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)

@@ -88,10 +88,10 @@ def with_row_features(df: DataFrame) -> DataFrame:
 
 
 def fill_with_global_mean(df: DataFrame, column: str) -> DataFrame:
-    """Fill missing values with the column's mean over the whole frame (H-6).
-    The mean is a one-row aggregate; only that scalar reaches the driver."""
-    mean = df.agg(F.avg(column)).first()[0]
-    return df.withColumn(column, F.coalesce(F.col(column), F.lit(mean).cast("double")))
+    """Fill missing values with the column's mean over the whole frame (H-6),
+    a scalar subquery of the same plan."""
+    mean = df.agg(F.avg(column)).scalar()
+    return df.withColumn(column, F.coalesce(F.col(column), mean.cast("double")))
 
 
 def median_by(df: DataFrame, value: str, group: str, out: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..functions import delay_seriousness, flag_not_equal, flag_not_negative, safe_div, status_int
 from ..functions.scalar import neq_keep_null
 from ..operators.aggspec import AggSpec, buffer_width, stat_expr
-from ..operators.series import gap_to_previous
+from ..operators.series import gaps_by_row
 from ..session import ensure_codegen_width
 
 # Monthly status codes of the data model, delay codes 1..5.
@@ -138,16 +138,20 @@ def credit_gaps(credit: DataFrame) -> DataFrame:
     (end dates ascending, among credits whose end date is not in the past),
     as a narrow table keyed by SK_ID_BUREAU.
 
-    Computed on a four-column projection so the skew-safe gap operator's
-    shuffles move ids and day offsets only; the wide credit rows are joined
-    to this table on their own key afterwards."""
-    narrow = credit.select("SK_ID_BUREAU", "SK_ID_CURR", "DAYS_CREDIT", "DAYS_CREDIT_ENDDATE",
-                           flag_not_negative("DAYS_CREDIT_ENDDATE").alias("_future"))
-    g = gap_to_previous(narrow, "SK_ID_CURR", "DAYS_CREDIT", "SK_ID_BUREAU", "DAYS_DIFF", descending=True)
-    g = gap_to_previous(g, "SK_ID_CURR", "DAYS_CREDIT_ENDDATE", "SK_ID_BUREAU", "DAYS_ENDDATE_DIFF",
-                        where=F.col("_future") == 1)
-    return g.select("SK_ID_BUREAU", F.col("DAYS_DIFF").cast("bigint").alias("DAYS_DIFF"),
-                    F.col("DAYS_ENDDATE_DIFF").cast("bigint").alias("DAYS_ENDDATE_DIFF"))
+    Both come from one aggregate over (applicant, kind, day) of a four-column projection,
+    so the wide credit rows are not shuffled for them. A credit without an entry has gap 0;
+    `with_gaps` fills that in."""
+    narrow = credit.select("SK_ID_BUREAU", "SK_ID_CURR", "DAYS_CREDIT", "DAYS_CREDIT_ENDDATE")
+    return gaps_by_row(narrow, "SK_ID_CURR", "SK_ID_BUREAU", {
+        "DAYS_DIFF": ("DAYS_CREDIT", True, None),
+        "DAYS_ENDDATE_DIFF": ("DAYS_CREDIT_ENDDATE", False, flag_not_negative("DAYS_CREDIT_ENDDATE") == 1)})
+
+
+def with_gaps(loans: DataFrame, credit: DataFrame) -> DataFrame:
+    future = flag_not_negative("DAYS_CREDIT_ENDDATE") == 1
+    return loans.join(credit_gaps(credit), "SK_ID_BUREAU", "left").withColumns({
+        "DAYS_DIFF": F.coalesce(F.col("DAYS_DIFF"), F.lit(0)).cast("bigint"),
+        "DAYS_ENDDATE_DIFF": F.when(future, F.coalesce(F.col("DAYS_ENDDATE_DIFF"), F.lit(0))).cast("bigint")})
 
 
 def applicant_constants(overdue_filled: bool = False) -> dict[str, Column]:
@@ -176,8 +180,7 @@ def applicant_constants(overdue_filled: bool = False) -> dict[str, Column]:
 def behaviour_loans(credit: DataFrame, hist: DataFrame, fix_active: bool = False,
                     compat: bool = True) -> DataFrame:
     """Credit rows with their monthly roll-up, flags, fills and gaps."""
-    loans = (credit.join(monthly_behaviour(hist, compat), "SK_ID_BUREAU", "left")
-             .join(credit_gaps(credit), "SK_ID_BUREAU", "left"))
+    loans = with_gaps(credit.join(monthly_behaviour(hist, compat), "SK_ID_BUREAU", "left"), credit)
     if fix_active:
         loans = fix_false_active(loans)
     return loan_flags(loans)
@@ -230,6 +233,3 @@ def bureau_behaviour(credit: DataFrame, hist: DataFrame, fix_active: bool = Fals
     out = wide.join(loan_type_counts(credit), "SK_ID_CURR", "left").withColumns(post)
     return out.select("SK_ID_CURR", *order)
 
-
-def behaviour_spec() -> AggSpec:
-    return AggSpec(BEHAVIOUR_AGG)

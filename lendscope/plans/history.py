@@ -86,14 +86,19 @@ def pos_cash(pos: DataFrame, policy: str = "override", keep_key_means: bool = Fa
 def pos_changed_contract(pos: DataFrame) -> DataFrame:
     """B-8: per contract, whether its instalment count ever changed (missing
     comparison counts as changed); per applicant, POS_COUNT and the mean of
-    that flag over its contracts. Two-level roll-up (A-15) + left join (J-2)."""
-    counts = pos.groupBy("SK_ID_CURR").agg(F.count(F.lit(1)).alias("POS_COUNT"))
-    per_contract = pos.groupBy("SK_ID_PREV").agg(
+    that flag over its contracts. Two-level roll-up (A-15) + left join (J-2).
+
+    The rows are read once, into counts and bounds per (applicant, contract); both levels
+    come from that table. A contract with several applicants belongs to the largest id."""
+    pairs = pos.groupBy("SK_ID_CURR", "SK_ID_PREV").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("CNT_INSTALMENT").alias("_lo"), F.max("CNT_INSTALMENT").alias("_hi"))
+    counts = pairs.groupBy("SK_ID_CURR").agg(F.sum("_n").alias("POS_COUNT"))
+    per_contract = pairs.groupBy("SK_ID_PREV").agg(
         F.max("SK_ID_CURR").alias("SK_ID_CURR"),
-        differs_or_missing(F.max("CNT_INSTALMENT"), F.min("CNT_INSTALMENT")).alias("POS_CHANGED_CONTRACT"))
-    joined = counts.join(per_contract, "SK_ID_CURR", "left")
-    return joined.groupBy("SK_ID_CURR").agg(F.avg("POS_COUNT").alias("POS_COUNT"),
-                                            F.avg("POS_CHANGED_CONTRACT").alias("POS_CHANGED_CONTRACT"))
+        differs_or_missing(F.max("_hi"), F.min("_lo")).alias("POS_CHANGED_CONTRACT"))
+    flags = per_contract.groupBy("SK_ID_CURR").agg(F.avg("POS_CHANGED_CONTRACT").alias("POS_CHANGED_CONTRACT"))
+    return counts.join(flags, "SK_ID_CURR", "left").select(
+        "SK_ID_CURR", F.col("POS_COUNT").cast("double").alias("POS_COUNT"), "POS_CHANGED_CONTRACT")
 
 
 def pos_n_contract(pos: DataFrame) -> DataFrame:

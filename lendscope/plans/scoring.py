@@ -74,12 +74,10 @@ def kfold_gbt(df: DataFrame, k: int = 5, seed: int = EV.DEFAULT_SEED, max_iter:
     oof = oof_parts[0]
     for p in oof_parts[1:]:
         oof = oof.unionByName(p)
-    per_fold = EV.auc(oof, "pred", "label", by=["fold"]).select("fold", "auc")
-    overall = EV.auc(oof, "pred", "label").select(F.lit(-1).alias("fold"), "auc")
     return {
         "oof": oof,
         "test": EV.fold_average(test_parts, id_col, "pred"),
-        "fold_auc": per_fold.unionByName(overall),
+        "fold_auc": EV.auc_by_fold(oof, "pred", "label"),
         "importance": spark.createDataFrame(importances, "feature string, importance double, fold int"),
     }
 
