@@ -11,13 +11,14 @@ A document's set holds its distinct shingles of `shingle` words. Two documents a
    (J, band) = (0.85, 6) as well as (0.8, 5) of 180 registers.
 3. Star round: every node is compared with the smallest node of each of its buckets. What
    is linked forms the first components; a bucket of near copies shrinks to one so.
-4. Cross rounds: in buckets that still hold several components, nodes outside the largest
-   one are compared with all members of other components, sketch against sketch, in blocks.
-   First each takes its few likeliest partners only; then all that remain.
-5. A pair of sketches passes unless the joint likelihood of J (given both set sizes) tells
-   that the link is out of the question; passing pairs are verified on the full sets, taken
-   from the whole texts. Verification groups pairs that hang together, so that a text travels
-   to a group once and not once per pair, and skips what is linked there already.
+4. Cross round: in buckets that still hold several components, nodes outside the largest
+   one are compared with all members of other components, sketch against sketch. A pair
+   passes unless the joint likelihood of J (given both set sizes) tells that a link is out
+   of the question. Nodes that passing pairs connect make a group.
+5. Verification, after either round: a group's nodes meet in cells of bounded size, with
+   their whole texts, and passing pairs of different components are checked on the full
+   sets, likeliest first, skipping what is connected by then. A text travels to its cells,
+   never along with pairs, and only links leave a cell.
 """
 
 from __future__ import annotations
@@ -105,19 +106,26 @@ def log_likelihood(more, less, same, share, j):
 
 def passing(a: np.ndarray, b: np.ndarray, size_a, size_b, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """(passes, estimate of J) for rows of registers: false only where the sizes or the joint
-    likelihood rule a link out."""
-    more, less = (a > b).sum(axis=1), (a < b).sum(axis=1)
-    same = a.shape[1] - more - less
-    size_a, size_b = (np.broadcast_to(np.asarray(s, float), more.shape) for s in (size_a, size_b))
-    small, great = np.minimum(size_a, size_b), np.maximum(size_a, size_b)
-    share, limit = size_a / (size_a + size_b), small / great
-    grid = np.linspace(0.0, 1.0, 65)[:, None] * limit[None, :]
-    value = log_likelihood(more, less, same, share, grid)
-    best = value.argmax(axis=0)
-    each = np.arange(len(limit))
-    estimate = grid[best, each]
-    at_link = log_likelihood(more, less, same, share, np.minimum(percent / 100, limit))
-    ok = (100 * small >= percent * great) & ((estimate >= percent / 100) | (value[best, each] - at_link <= SLACK))
+    likelihood rule a link out (the estimate is then left at 0)."""
+    a, b = np.broadcast_arrays(a, b)
+    size_a, size_b = (np.broadcast_to(np.asarray(s, float), len(a)) for s in (size_a, size_b))
+    ok, estimate = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b), np.zeros(len(a))
+    # Registers are equal with probability J at least; 0.3 below the limit the likelihood leaves no doubt.
+    near = np.flatnonzero(ok)
+    same = (a[near] == b[near]).sum(axis=1)
+    ok[near] = same >= (percent / 100 - 0.3) * a.shape[1]
+    near, same = near[ok[near]], same[ok[near]]
+    if len(near):
+        less = (a[near] < b[near]).sum(axis=1)
+        more = a.shape[1] - less - same
+        share = size_a[near] / (size_a[near] + size_b[near])
+        limit = np.minimum(share, 1 - share) / np.maximum(share, 1 - share)
+        grid = np.linspace(0.0, 1.0, 65)[:, None] * limit[None, :]
+        value = log_likelihood(more, less, same, share, grid)
+        best, each = value.argmax(axis=0), np.arange(len(near))
+        estimate[near] = grid[best, each]
+        at_link = log_likelihood(more, less, same, share, np.minimum(percent / 100, limit))
+        ok[near] = (estimate[near] >= percent / 100) | (value[best, each] - at_link <= SLACK)
     return ok, estimate
 
 
@@ -175,8 +183,9 @@ def _registers(column: pa.Array, m: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, m)
 
 
-def star_pairs(members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(x, y, estimate): nodes with the hubs of their buckets, as far as the sketches pass."""
+def star_seats(members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Seats of the star round: each node whose sketch passes with the hub of a bucket
+    takes a seat with that hub, about CELL nodes to a cell, the hub in each of them."""
     side = nodes.select("node", "n", "registers")
     pairs = (members.filter("node <> hub").select(F.col("node").alias("x"), F.col("hub").alias("y")).distinct()
              .join(side.toDF("x", "n_x", "r_x"), "x").join(side.toDF("y", "n_y", "r_y"), "y"))
@@ -185,95 +194,107 @@ def star_pairs(members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                ok, estimate = passing(_registers(part["r_x"], rule.registers), _registers(part["r_y"], rule.registers),
-                                       part["n_x"].to_numpy(), part["n_y"].to_numpy(), rule.percent)
-                yield pa.RecordBatch.from_arrays([part["x"].filter(pa.array(ok)), part["y"].filter(pa.array(ok)), pa.array(estimate[ok])],
-                                                 ["x", "y", "estimate"])
+                ok, _ = passing(_registers(part["r_x"], rule.registers), _registers(part["r_y"], rule.registers),
+                                part["n_x"].to_numpy(), part["n_y"].to_numpy(), rule.percent)
+                yield pa.RecordBatch.from_arrays([part[c].filter(pa.array(ok)) for c in ("x", "y")], ["x", "y"])
+
+    passed = stored(map_batches(pairs.select("x", "y", "n_x", "r_x", "n_y", "r_y"), judge, "x long, y long"), "near-star")
+    blocks = passed.groupBy("y").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("long").alias("blocks"))
+    spokes = passed.join(blocks, "y").select(
+        F.col("y").alias("team"), F.pmod(F.xxhash64("x"), F.col("blocks")).alias("i"), F.col("x").alias("node"), F.lit(False).alias("major"))
+    hubs = spokes.select("team", "i").distinct().select("team", "i", F.col("team").alias("node"), F.lit(True).alias("major"))
+    return spokes.unionByName(hubs).select("team", "i", F.lit(-1).cast("long").alias("j"), "node", F.col("node").alias("component"),
+                                           "major", F.col("i").alias("block"))
+
+
+def cross_seats(teams: DataFrame, components: DataFrame) -> DataFrame:
+    """(team, i, j, node, component, major, block): seats of the members (team, node) of
+    teams that hold several components.
+
+    A team's members of its largest component (`major`) need no comparison with each other.
+    The others go to blocks of about CELL, and so do the majors. Cell (i, j) seats other
+    blocks i <= j, or, for j < 0, other block i and major block -j; so a team of any size is
+    spread over many cells, none of them above 2 * CELL nodes."""
+    m = (teams.select("team", "node").join(components, "node", "left")
+         .select("team", "node", F.coalesce("component", "node").alias("component")))
+    counts = m.groupBy("team", "component").agg(F.count(F.lit(1)).alias("n"))
+    several = (counts.groupBy("team").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"),
+                                          F.max(F.struct("n", "component")).alias("most"))
+               .filter("parts > 1")
+               .select("team", F.col("most.component").alias("major_component"),
+                       F.ceil(F.col("most.n") / CELL).cast("long").alias("major_blocks"),
+                       F.ceil((F.col("all") - F.col("most.n")) / CELL).cast("long").alias("other_blocks")))
+    m = m.join(several, "team").withColumn("major", F.col("component") == F.col("major_component"))
+    m = m.withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("major"), F.col("major_blocks")).otherwise(F.col("other_blocks"))))
+    others = F.sequence(F.lit(0).cast("long"), F.col("other_blocks") - 1)
+    majors = F.sequence(F.lit(1).cast("long"), F.col("major_blocks"))
+    cells = F.when(F.col("major"), F.transform(others, lambda i: F.struct(i.alias("i"), (-F.col("block") - 1).alias("j")))).otherwise(
+        F.concat(F.transform(others, lambda k: F.struct(F.least(F.col("block"), k).alias("i"), F.greatest(F.col("block"), k).alias("j"))),
+                 F.transform(majors, lambda k: F.struct(F.col("block").alias("i"), (-k).alias("j")))))
+    return (m.select("team", "node", "component", "major", "block", F.explode(cells).alias("cell"))
+            .select("team", "cell.i", "cell.j", "node", "component", "major", "block"))
+
+
+class Cell:
+    """The nodes of one cell, and the pairs of them that are to be looked at."""
+
+    def __init__(self, rows: pa.Table, rule: Rule, bucket: bool = False):
+        """`bucket`: the team is a bucket, and a pair counts in the first one that it shares."""
+        self.rule = rule
+        self.node, self.component, self.size = (rows[c].to_numpy() for c in ("node", "component", "n"))
+        self.major, self.block = rows["major"].to_numpy(), rows["block"].to_numpy()
+        self.registers = _registers(rows["registers"], rule.registers)
+        self.i, self.j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        bands = band_codes(self.registers, rule.band) if bucket else np.zeros((len(self.node), 0), np.uint64)
+        shared = np.flatnonzero((bands == bands[0]).all(axis=0)) if len(bands) else []
+        self.earlier = np.ascontiguousarray(bands[:, :shared[0]]) if len(shared) else bands[:, :0]
+
+    def passing(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(x, ys, estimates): indices of passing pairs of different components, each pair once."""
+        for x in np.flatnonzero(~self.major):
+            if self.j < 0:
+                ys = np.flatnonzero(self.major)
+            elif self.i == self.j:
+                ys = np.flatnonzero(self.node > self.node[x])
+            else:
+                ys = np.flatnonzero(self.block != self.block[x]) if self.block[x] == self.i else np.zeros(0, np.int64)
+            ys = ys[self.component[ys] != self.component[x]]
+            ys = ys[~(self.earlier[ys] == self.earlier[x]).any(axis=1)]
+            if len(ys):
+                ok, estimate = passing(self.registers[ys], self.registers[x][None, :], self.size[ys], self.size[x], self.rule.percent)
+                if ok.any():
+                    yield x, ys[ok], estimate[ok]
 
-    return map_batches(pairs.select("x", "y", "n_x", "r_x", "n_y", "r_y"), judge, "x long, y long, estimate double")
 
+_CELL = ("team", "i", "j")
 
-def cross_pairs(members: DataFrame, components: DataFrame, nodes: DataFrame, rule: Rule, top: int | None) -> DataFrame:
-    """(x, y, estimate): passing pairs of different components that share a bucket; for each x
-    and block at most `top` of them, the likeliest, if given.
 
-    A bucket's members of its largest component (`major`) are not compared with each other.
-    The others go to blocks of about CELL, and so do the majors; block meets block in a cell,
-    so a bucket of any size is spread over many tasks, none of them above 2 * CELL nodes.
-    """
-    m = (members.select("bucket", "node").join(components, "node", "left")
-         .select("bucket", "node", F.coalesce("component", "node").alias("component")))
-    counts = m.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed_ones = (counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"),
-                                               F.max(F.struct("n", F.col("component"))).alias("most"))
-                  .filter("parts > 1")
-                  .select("bucket", F.col("most.component").alias("major_component"),
-                          F.ceil(F.col("most.n") / CELL).cast("int").alias("major_blocks"),
-                          F.ceil((F.col("all") - F.col("most.n")) / CELL).cast("int").alias("other_blocks")))
-    m = m.join(mixed_ones, "bucket").withColumn("major", F.col("component") == F.col("major_component"))
-    block = F.pmod(F.xxhash64("node"), F.when(F.col("major"), F.col("major_blocks")).otherwise(F.col("other_blocks")))
-    # Cells (i, j): other block i against other block j >= i, or against major block -j.
-    others = F.sequence(F.lit(0).cast("long"), (F.col("other_blocks") - 1).cast("long"))
-    majors = F.sequence(F.lit(1).cast("long"), F.col("major_blocks").cast("long"))
-    cells = F.when(F.col("major"), F.transform(others, lambda i: F.struct(i.alias("i"), (-F.col("block") - 1).alias("j")))).otherwise(
-        F.concat(F.transform(others, lambda k: F.struct(F.least(F.col("block"), k).alias("i"), F.greatest(F.col("block"), k).alias("j"))),
-                 F.transform(majors, lambda k: F.struct(F.col("block").alias("i"), (-k).alias("j")))))
-    seated = (m.withColumn("block", block).select("bucket", "node", "component", "major", "block", F.explode(cells).alias("cell"))
-              .join(nodes.select("node", "n", "registers"), "node")
-              .select("bucket", "cell.i", "cell.j", "node", "component", "major", "block", "n", "registers"))
+def cross_groups(members: DataFrame, components: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): edges that connect the nodes of every passing pair of different components
+    that shares a bucket, at most one per node and cell."""
+    seats = cross_seats(members.select(F.col("bucket").alias("team"), "node"), components)
+    rows = seats.join(nodes.select("node", "n", "registers"), "node").select(*_CELL, "node", "component", "major", "block", "n", "registers")
 
     def compare(rows: pa.Table) -> pa.Table:
-        found: dict[str, list] = {"x": [], "y": [], "estimate": []}
-        node, component, size = (rows[c].to_numpy() for c in ("node", "component", "n"))
-        major, block = rows["major"].to_numpy(), rows["block"].to_numpy()
-        r = _registers(rows["registers"], rule.registers)
-        bands = band_codes(r, rule.band)
-        here = int(np.flatnonzero((bands == bands[0]).all(axis=0))[0]) if len(r) > 1 else 0
-        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
-        for x in np.flatnonzero(~major):
-            if j < 0:
-                ys = np.flatnonzero(major)
-            elif i == j:
-                ys = np.flatnonzero(node > node[x])
-            else:
-                ys = np.flatnonzero(block != block[x]) if block[x] == i else np.zeros(0, np.int64)
-            ys = ys[component[ys] != component[x]]
-            # A pair counts in the first band that it shares.
-            ys = ys[~(bands[ys, :here] == bands[x, :here]).any(axis=1)] if here else ys
-            if not len(ys):
-                continue
-            ok, estimate = passing(r[ys], r[x][None, :], size[ys], size[x], rule.percent)
-            ys, estimate = ys[ok], estimate[ok]
-            if top is not None and len(ys) > top:
-                best = np.lexsort((node[ys], -estimate))[:top]
-                ys, estimate = ys[best], estimate[best]
-            if len(ys):
-                found["x"].append(int(node[x]))
-                found["y"].append(node[ys].tolist())
-                found["estimate"].append(estimate.tolist())
-        return pa.table(found, schema=pa.schema([("x", pa.int64()), ("y", pa.list_(pa.int64())), ("estimate", pa.list_(pa.float64()))]))
+        cell = Cell(rows, rule, bucket=True)
+        label, met = np.arange(len(cell.node)), np.zeros(len(cell.node), bool)
+        for x, ys, _ in cell.passing():
+            met[x] = met[ys] = True
+            old = np.unique(np.append(label[ys], label[x]))
+            label[np.isin(label, old)] = old[0]
+        edge = np.flatnonzero(met & (label != np.arange(len(label))))
+        return pa.table({"a": pa.array(cell.node[edge], pa.int64()), "b": pa.array(cell.node[label[edge]], pa.int64())})
 
-    got = seated.groupBy("bucket", "i", "j").applyInArrow(compare, "x long, y array<bigint>, estimate array<double>")
-    return got.select("x", F.explode(F.arrays_zip("y", "estimate")).alias("p")).select("x", "p.y", "p.estimate").distinct()
+    return rows.groupBy(*_CELL).applyInArrow(compare, "a long, b long")
 
 
 # -- verification ----------------------------------------------------------
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str,
+def verified(seats: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str,
              slots: int = 1 << 18) -> DataFrame:
-    """(a, b): links among the `pairs` (x, y, estimate; a stored table), enough of them to
-    connect whatever the linked pairs connect. Pairs that hang together form a group; a group
-    above CELL nodes is cut into cells of block against block."""
-    group = connected(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    blocks = group.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("blocks"))
-    seat = stored(group.join(blocks, "component").select(
-        "node", "component", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block")), "near-seats")
-    cell = ["component", "i", "j"]
-    placed = (pairs.join(seat.toDF("x", "component", "bx"), "x").join(seat.select("node", "block").toDF("y", "by"), "y")
-              .select("component", F.least("bx", "by").alias("i"), F.greatest("bx", "by").alias("j"), "x", "y", "estimate"))
-    placed = stored(placed, "near-cells")
-    guests = placed.select(*cell, F.col("x").alias("node")).unionByName(placed.select(*cell, F.col("y").alias("node"))).distinct()
-    guests = stored(guests.join(nodes.select("node", "set_a", "set_b", "key"), "node"), "near-guests")
+    """(a, b): links between nodes of different components that share a cell, enough of them
+    to connect whatever the links of the cell connect. `seats` is a stored table."""
+    guests = stored(seats.join(nodes.select("node", "n", "set_a", "set_b", "key", "registers"), "node"), "near-guests")
 
     # Texts of the nodes in question. The slots of their ids (at most `slots` numbers, however
     # large the tables) thin the documents out before the shuffle; the join decides.
@@ -282,37 +303,40 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, id
     texts = (only(docs, id_col, text_col)
              .select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), text_or_empty(text_col).alias("text"))
              .withColumn("slot", slot).join(F.broadcast(asked), "slot", "left_semi").select("key", "text"))
-    seated = guests.join(texts, "key").select(*cell, "node", "set_a", "set_b", "text")
+    seated = guests.join(texts, "key").select(*_CELL, "node", "component", "major", "block", "n", "set_a", "set_b", "registers", "text")
 
-    def check(key, rows: pa.Table, wanted: pa.Table) -> pa.Table:
-        sets: dict[int, np.ndarray] = {}
+    def check(rows: pa.Table) -> pa.Table:
+        # Ids may repeat: the text of a node is the one with the node's signature.
+        own, sets = [], []
         for at in range(0, rows.num_rows, 256):
             part = rows.slice(at, 256)
             codes, bounds = shingle_sets(part["text"].to_pylist(), rule.shingle)
-            for i, (node, a, b) in enumerate(zip(*(part[c].to_pylist() for c in ("node", "set_a", "set_b")), strict=True)):
+            wanted = zip(part["set_a"].to_pylist(), part["set_b"].to_pylist(), strict=True)
+            for i, signature in enumerate(wanted):
                 mine = codes[bounds[i]:bounds[i + 1]]
-                # Ids may repeat: the text of the node is the one with the node's signature.
-                if [int(mixed(mine, s).sum(dtype=np.uint64).view(np.int64)) for s in (31, 32)] == [a, b]:
-                    sets[node] = mine
-        root = {node: node for node in sets}
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
+                if tuple(int(mixed(mine, s).sum(dtype=np.uint64).view(np.int64)) for s in (31, 32)) == signature:
+                    own.append(at + i)
+                    sets.append(mine)
+        _, first = np.unique(rows["node"].to_numpy()[own], return_index=True)      # repeated rows of a node are alike
+        cell, sets = Cell(rows.drop_columns(["text"]).take([own[i] for i in first]), rule), [sets[i] for i in first]
+        pairs = [(estimate[k], x, y) for x, ys, estimate in cell.passing() for k, y in enumerate(ys.tolist())]
+        root = {c: c for c in cell.component.tolist()}
+        component = cell.component.tolist()
+
+        def find(c: int) -> int:
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
 
         links = []
-        todo = sorted(zip(wanted["estimate"].to_pylist(), wanted["x"].to_pylist(), wanted["y"].to_pylist(), strict=True), reverse=True)
-        for _, x, y in todo:
-            if x not in sets or y not in sets:
-                raise ValueError("the text of a node was not found")
-            a, b = find(x), find(y)
+        for _, x, y in sorted(pairs, key=lambda p: -p[0]):
+            a, b = find(component[x]), find(component[y])
             if a != b and _linked(sets[x], sets[y], rule.percent):
                 root[max(a, b)] = min(a, b)
-                links.append((x, y))
+                links.append((int(cell.node[x]), int(cell.node[y])))
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    return seated.groupBy(*cell).cogroup(placed.groupBy(*cell)).applyInArrow(check, "a long, b long")
+    return seated.groupBy(*_CELL).applyInArrow(check, "a long, b long")
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -346,22 +370,23 @@ def near_dedup(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
         F.coalesce(F.col("first.id").cast("long"), F.lit(NO_ID)).alias("key"), "registers"), "near-nodes")
     members = stored(memberships(nodes, rule), "near-members")
 
-    star = stored(star_pairs(members, nodes, rule), "near-star")
-    links = stored(verified(star, nodes, docs, rule, id_col, text_col), "near-links")
+    seats = stored(star_seats(members, nodes, rule), "near-seats")
+    links = stored(verified(seats, nodes, docs, rule, id_col, text_col), "near-links")
     components = connected(links)
-    for top in (4, None):
-        pairs = stored(cross_pairs(members, components, nodes, rule, top), "near-cross")
-        if not pairs.isEmpty():
-            links = links.unionByName(stored(verified(pairs, nodes, docs, rule, id_col, text_col), "near-links"))
-            components = connected(links)
+    groups = stored(cross_groups(members, components, nodes, rule), "near-groups")
+    if not groups.isEmpty():
+        teams = connected(groups).select(F.col("component").alias("team"), "node")
+        seats = stored(cross_seats(teams, components), "near-seats")
+        more = stored(verified(seats, nodes, docs, rule, id_col, text_col), "near-links")
+        components = connected(links.unionByName(more))
 
     joined = nodes.select("node", "set_a", "set_b", "first", "copies").join(components, "node", "left")
     smallest = (joined.filter("component is not null").groupBy("component").agg(F.min("first").alias("smallest")))
     # Rows that stand alone need no look-up.
-    groups = stored(joined.filter("component is not null or copies > 1").join(smallest, "component", "left")
-                    .select("set_a", "set_b", F.coalesce("smallest", "first").alias("smallest")), "near-groups")
+    shared = stored(joined.filter("component is not null or copies > 1").join(smallest, "component", "left")
+                    .select("set_a", "set_b", F.coalesce("smallest", "first").alias("smallest")), "near-shared")
     grouped = (F.col("n") > 0) & F.col("smallest").isNotNull()
-    return (rows.drop("registers").join(groups, ["set_a", "set_b"], "left")
+    return (rows.drop("registers").join(shared, ["set_a", "set_b"], "left")
             .withColumn("component_id", F.when(grouped, F.col("smallest.id")).otherwise(F.col("id")))
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
                     F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash",

@@ -25,36 +25,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_batches, only, ship_package, table, text_or_empty
+from .packed import pack, pack_sorted, unpack, unpack_sorted
 from .wordcodes import texts_as_words, window_codes, word_codes
 
 FIRST, AGAIN = np.uint8(1), np.uint8(2)          # marks: is a reference block; stands in the chunk twice
 
 
-def pack_sorted(codes: np.ndarray) -> bytes:
-    """Ascending codes: differences, byte planes apart (the high ones are mostly zero), zstd."""
-    steps = np.diff(codes, prepend=np.uint64(0)).astype("<u8")
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes())
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
-
-
-def pack(array: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(array.tobytes())
-
-
-def unpack(data: bytes, dtype) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype)
-
-
 def chunks_of(docs: DataFrame, chunk_bytes: int, id_col: str, text_col: str) -> DataFrame:
     """(chunk, ids, texts): documents in the order of the scan, about `chunk_bytes` a row."""
     src = only(docs, id_col, text_col).select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
