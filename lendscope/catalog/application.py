@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sentinel_to_zero
-from ..operators.encode import label_encode
+from ..operators.encode import label_encode, lookup_join
 from ..plans import application as A
 from ..sources import roles
 from .common import finish, query, r
@@ -107,7 +107,7 @@ def income_by_org_median(spark, base):
     """A-9 median per group, J-3 lookup join, J-7 row value over its group's median."""
     df = _cleaned(spark, base).select("SK_ID_CURR", "ORGANIZATION_TYPE", "AMT_INCOME_TOTAL")
     med = A.median_by(df, "AMT_INCOME_TOTAL", "ORGANIZATION_TYPE", "NEW_INC_BY_ORG")
-    out = df.join(med, "ORGANIZATION_TYPE", "left").select(
+    out = lookup_join(df, med, ["ORGANIZATION_TYPE"]).select(
         "SK_ID_CURR", "ORGANIZATION_TYPE", "NEW_INC_BY_ORG",
         F.try_divide(F.col("AMT_INCOME_TOTAL"), F.col("NEW_INC_BY_ORG")).alias("INCOME_TO_ORG_MEDIAN"))
     return finish(out)
@@ -131,11 +131,13 @@ def label_encode_q(spark, base):
     return finish(label_encode(df, A.LABEL_ENCODED))
 
 
-def _application_features_sql() -> str:
+def _application_features_sql(nan: bool = False) -> str:
     dropped = ", ".join(f"FLAG_DOCUMENT_{i}" for i in range(2, 22) if i != 3)
     lab = []
     for c in A.LABEL_ENCODED:
         lab.append(f"(SELECT count(DISTINCT x.{c}) FROM c x WHERE x.{c} < f.{c}) AS {c}")
+    nans = "" if not nan else ",\n  " + ", ".join(
+        f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS {c}_nan" for c in ("NAME_CONTRACT_TYPE", "ORGANIZATION_TYPE"))
     return with_roles("app", extra=_CLEAN) + f"""
 , m AS (SELECT ORGANIZATION_TYPE AS org, median(AMT_INCOME_TOTAL) AS NEW_INC_BY_ORG FROM c GROUP BY 1)
 , f AS (SELECT c.*,
@@ -157,7 +159,7 @@ SELECT g.* EXCLUDE ({dropped}, NAME_CONTRACT_TYPE, ORGANIZATION_TYPE)
   CASE WHEN ORGANIZATION_TYPE = 'BUILDING' THEN 1 ELSE 0 END AS ORGANIZATION_TYPE_BUILDING,
   CASE WHEN ORGANIZATION_TYPE = 'FURNITURE' THEN 1 ELSE 0 END AS ORGANIZATION_TYPE_FURNITURE,
   CASE WHEN ORGANIZATION_TYPE = 'HOUSEHOLD' THEN 1 ELSE 0 END AS ORGANIZATION_TYPE_HOUSEHOLD,
-  CASE WHEN ORGANIZATION_TYPE = 'MACHINERY' THEN 1 ELSE 0 END AS ORGANIZATION_TYPE_MACHINERY
+  CASE WHEN ORGANIZATION_TYPE = 'MACHINERY' THEN 1 ELSE 0 END AS ORGANIZATION_TYPE_MACHINERY{nans}
 FROM g"""
 
 
@@ -168,6 +170,13 @@ def application_features(spark, base):
                                          roles.application_test(spark, base)))
 
 
+@query("application_nan_category", _application_features_sql(nan=True))
+def application_nan_category(spark, base):
+    """B-1 with `nan_as_category=True`: a `_nan` indicator per one-hot column."""
+    return finish(A.application_features(roles.application_train(spark, base), roles.application_test(spark, base),
+                                         nan_as_category=True))
+
+
 @query("pd_nine_variables", with_roles("app") + f"""
 , t AS (SELECT * REPLACE (CASE WHEN DAYS_EMPLOYED = 365243 THEN 0 ELSE DAYS_EMPLOYED END AS DAYS_EMPLOYED)
         FROM app WHERE TARGET IS NOT NULL AND AMT_GOODS_PRICE IS NOT NULL AND AMT_ANNUITY IS NOT NULL)

@@ -9,7 +9,8 @@ from .sqlroles import INT_COLS, with_roles
 
 # ---------------------------------------------------------------- flagship
 
-_S = B.SUMMARY_SPEC
+_S = {"SK_ID_BUREAU": ["size"], "DAYS_CREDIT": ["mean", "var", "min", "max"], "AMT_CREDIT_SUM": ["mean", "sum", "max"],
+      "AMT_CREDIT_SUM_DEBT": ["mean", "sum"], "CNT_CREDIT_PROLONG": ["sum", "count"]}
 
 
 def _summary_sql() -> str:
@@ -39,6 +40,14 @@ _CREDIT_CATS = {
     "CREDIT_CURRENCY": ["currency 1", "currency 2"],
     "CREDIT_TYPE": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
 }
+# The declared statistics once more, as the oracle's own values.
+_DECLARED = {
+    "DAYS_CREDIT": ["mean", "var"], "DAYS_CREDIT_ENDDATE": ["mean"], "DAYS_CREDIT_UPDATE": ["mean"],
+    "CREDIT_DAY_OVERDUE": ["mean"], "AMT_CREDIT_MAX_OVERDUE": ["mean"], "AMT_CREDIT_SUM": ["mean", "sum"],
+    "AMT_CREDIT_SUM_DEBT": ["mean", "sum"], "AMT_CREDIT_SUM_OVERDUE": ["mean"], "AMT_CREDIT_SUM_LIMIT": ["mean", "sum"],
+    "AMT_ANNUITY": ["max", "mean"], "CNT_CREDIT_PROLONG": ["sum"], "MONTHS_BALANCE_MIN": ["min"],
+    "MONTHS_BALANCE_MAX": ["max"], "MONTHS_BALANCE_SIZE": ["mean", "sum"],
+}
 _CREDIT_NUM = ["DAYS_CREDIT", "CREDIT_DAY_OVERDUE", "DAYS_CREDIT_ENDDATE", "DAYS_ENDDATE_FACT",
                "AMT_CREDIT_MAX_OVERDUE", "CNT_CREDIT_PROLONG", "AMT_CREDIT_SUM",
                "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_LIMIT", "AMT_CREDIT_SUM_OVERDUE",
@@ -56,7 +65,7 @@ def _dummy_sql(col: str, levels: list[str], as_double: bool = False) -> list[str
     return out
 
 
-def _bureau_full_sql() -> str:
+def _bureau_full_sql(union: bool = False) -> str:
     status_means = [f"avg(CASE WHEN STATUS = '{v}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS STATUS_{v}_MEAN"
                     for v in _STATUS]
     status_means.append("avg(CASE WHEN STATUS IS NULL THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS STATUS_nan_MEAN")
@@ -65,15 +74,15 @@ def _bureau_full_sql() -> str:
     for c, lv in _CREDIT_CATS.items():
         dummies += _dummy_sql(c, lv)
         dummy_names += [f"{c}_{v}" for v in lv] + [f"{c}_nan"]
-    # Effective BURO_ spec: declared numeric spec overridden by mean-of-everything.
-    spec = {k: list(v) for k, v in B.BUREAU_NUM_AGG.items()}
+    # Effective BURO_ spec: declared numeric spec overridden by mean-of-everything (or joined with it).
+    spec = {k: list(v) for k, v in _DECLARED.items()}
     for c in _CREDIT_NUM + dummy_names + [f"STATUS_{v}_MEAN" for v in _STATUS] + ["STATUS_nan_MEAN", "MONTHS_BALANCE_MEAN"]:
-        spec[c] = ["mean"]
+        spec[c] = list(dict.fromkeys([*spec.get(c, []), "mean"])) if union else ["mean"]
     ints = INT_COLS | {"MONTHS_BALANCE_MIN", "MONTHS_BALANCE_MAX", "MONTHS_BALANCE_SIZE"} | set(dummy_names)
     buro = ", ".join(f"{sql_stat(k, s, k in ints, _q(k))} AS {_q('BURO_' + k + '_' + s.upper())}"
                      for k, stats in spec.items() for s in stats)
-    act = ", ".join(sql_spec(B.BUREAU_NUM_AGG, "ACTIVE_", ints))
-    clo = ", ".join(sql_spec(B.BUREAU_NUM_AGG, "CLOSED_", ints))
+    act = ", ".join(sql_spec(_DECLARED, "ACTIVE_", ints))
+    clo = ", ".join(sql_spec(_DECLARED, "CLOSED_", ints))
     return with_roles("credit", "hist") + f"""
 , bb AS (SELECT SK_ID_BUREAU, {', '.join(status_means)},
          min(MONTHS_BALANCE) AS MONTHS_BALANCE_MIN, max(MONTHS_BALANCE) AS MONTHS_BALANCE_MAX,
@@ -92,3 +101,9 @@ LEFT JOIN clo ON buro.SK_ID_CURR = clo.SK_ID_CURR"""
 @query("bureau_full", _bureau_full_sql())
 def bureau_full(spark, base):
     return finish(B.bureau_and_balance(roles.credit(spark, base), roles.history(spark, base)))
+
+
+@query("bureau_union", _bureau_full_sql(union=True))
+def bureau_union(spark, base):
+    """B-2 with `policy="union"`: the declared statistics beside the means."""
+    return finish(B.bureau_and_balance(roles.credit(spark, base), roles.history(spark, base), policy="union"))

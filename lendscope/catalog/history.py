@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.aggspec import AggSpec
-from ..operators.encode import one_hot
+from ..operators.encode import listed, one_hot
 from ..plans import application as A
 from ..plans import behaviour as BH
 from ..plans import bureau as B
@@ -207,7 +207,8 @@ def category_share(spark, base):
     + " FROM hist GROUP BY SK_ID_BUREAU")
 def category_counts(spark, base):
     """A-12: count of each category per credit via pivot over a fixed vocabulary (no discovery job)."""
-    p = roles.history(spark, base).groupBy("SK_ID_BUREAU").pivot("STATUS", BH.STATUS_CODES).count().na.fill(0)
+    months = roles.history(spark, base).withColumn("STATUS", listed("STATUS", BH.STATUS_CODES))
+    p = months.groupBy("SK_ID_BUREAU").pivot("STATUS", BH.STATUS_CODES).count().na.fill(0)
     return finish(p.withColumnsRenamed({s: f"STATUS_{s}_COUNT" for s in BH.STATUS_CODES}))   # P-4 rename by map
 
 

@@ -15,9 +15,16 @@ from ..sources import roles, tables
 from .common import finish, query, r
 from .sqlroles import with_roles
 
-_APP_NULLABLE = ["TARGET", "AMT_GOODS_PRICE", "OWN_CAR_AGE", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
-_CREDIT_COLS = ["DAYS_CREDIT_ENDDATE", "DAYS_ENDDATE_FACT", "AMT_CREDIT_MAX_OVERDUE", "CNT_CREDIT_PROLONG",
-                "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_LIMIT", "AMT_ANNUITY", "AMT_CREDIT_SUM", "DAYS_CREDIT"]
+# Every column of the two roles, written out as the oracle's own list.
+_APP_COLS = ["SK_ID_CURR", "TARGET", "NAME_CONTRACT_TYPE", "CODE_GENDER", "FLAG_OWN_CAR", "FLAG_OWN_REALTY", "CNT_CHILDREN",
+             "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "ORGANIZATION_TYPE",
+             "REGION_POPULATION_RELATIVE", "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_ID_PUBLISH", "OWN_CAR_AGE",
+             "DAYS_LAST_PHONE_CHANGE", "FLAG_MOBIL", "FLAG_EMP_PHONE", "FLAG_WORK_PHONE", "FLAG_CONT_MOBILE", "FLAG_PHONE",
+             "FLAG_EMAIL", "EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3", *[f"FLAG_DOCUMENT_{i}" for i in range(2, 22)]]
+_CREDIT_COLS = ["SK_ID_CURR", "SK_ID_BUREAU", "CREDIT_ACTIVE", "CREDIT_CURRENCY", "DAYS_CREDIT", "CREDIT_DAY_OVERDUE",
+                "DAYS_CREDIT_ENDDATE", "DAYS_ENDDATE_FACT", "AMT_CREDIT_MAX_OVERDUE", "CNT_CREDIT_PROLONG",
+                "AMT_CREDIT_SUM", "AMT_CREDIT_SUM_DEBT", "AMT_CREDIT_SUM_LIMIT", "AMT_CREDIT_SUM_OVERDUE",
+                "CREDIT_TYPE", "DAYS_CREDIT_UPDATE", "AMT_ANNUITY"]
 
 
 def _null_sql(table: str, cols: list[str]) -> str:
@@ -26,12 +33,11 @@ def _null_sql(table: str, cols: list[str]) -> str:
         f"AS null_ratio FROM {table}" for c in cols)
 
 
-@query("null_profile", with_roles("app", "credit") + "SELECT * FROM (" + _null_sql("app", _APP_NULLABLE + ["DAYS_BIRTH"])
+@query("null_profile", with_roles("app", "credit") + "SELECT * FROM (" + _null_sql("app", _APP_COLS)
        + " UNION ALL " + _null_sql("credit", _CREDIT_COLS) + ") WHERE null_ratio > 0")
 def null_profile(spark, base):
     """A-18 / B-17: share of missing values of every column that has any."""
-    app = PR.null_ratios(roles.application(spark, base).select(*_APP_NULLABLE, "DAYS_BIRTH"))
-    cr = PR.null_ratios(roles.credit(spark, base).select(*_CREDIT_COLS))
+    app, cr = PR.null_ratios(roles.application(spark, base)), PR.null_ratios(roles.credit(spark, base))
     return finish(app.select(F.lit("app").alias("table_name"), "*")
                   .unionByName(cr.select(F.lit("credit").alias("table_name"), "*")))
 
@@ -170,13 +176,48 @@ _FOLD = "CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || '_' || '47'), 1, 8))::B
 , f AS (SELECT *, {_FOLD} + 1 AS fold FROM scored)
 SELECT fold, {r('auc')} AS auc FROM {_auc_sql('f', 'fold')}""")
 def metrics_log(spark, base):
-    """S-6 append-only metric log: one append per fold of (fold, AUC), then the
-    log table is read back."""
+    """S-6 append-only metric log: the (fold, AUC) rows are appended, then the log
+    table is read back."""
     s = EV.kfold(roles.scored(spark, base), "id", 5).withColumn("fold", F.col("fold") + 1)
     per_fold = EV.auc(s, "score", "label", by=["fold"]).select("fold", "auc")
     path = checkpoint_path(spark, f"metrics-{uuid.uuid4().hex}")
-    for row in per_fold.collect():          # k rows: one scalar pair per fold
-        tables.append_metrics(spark, path, [(int(row["fold"]), float(row["auc"]))], "fold int, auc double")
+    tables.append_metrics(per_fold, path)
     return finish(spark.read.parquet(path))
 
 
+
+
+@query("capped_scan", with_roles("app", "credit") + """
+, a AS (SELECT SK_ID_CURR FROM app WHERE ('0x' || substr(md5(CAST(SK_ID_CURR AS VARCHAR) || '_' || '47'), 1, 8))::BIGINT / 4294967296.0 < 0.3)
+SELECT c.SK_ID_CURR, c.SK_ID_BUREAU, c.AMT_CREDIT_SUM FROM credit c JOIN a ON c.SK_ID_CURR = a.SK_ID_CURR""")
+def capped_scan(spark, base):
+    """S-2 debug subset: two tables capped by the same key keep the same applicants, so
+    the join of the capped tables is the cap of the join."""
+    app = tables.capped_by_key(roles.application(spark, base), "SK_ID_CURR", 0.3).select("SK_ID_CURR")
+    cr = tables.capped_by_key(roles.credit(spark, base), "SK_ID_CURR", 0.3)
+    return finish(cr.select("SK_ID_CURR", "SK_ID_BUREAU", "AMT_CREDIT_SUM").join(app, "SK_ID_CURR"))
+
+
+@query("point_lookup", with_roles("credit", "hist") + """
+SELECT h.SK_ID_BUREAU, h.MONTHS_BALANCE, h.STATUS FROM hist h
+WHERE h.SK_ID_BUREAU IN (SELECT SK_ID_BUREAU FROM credit WHERE SK_ID_CURR = 7)""")
+def point_lookup(spark, base):
+    """F-8 all monthly rows of one applicant's credits (filters pushed into both scans)."""
+    one = roles.credit(spark, base).filter(F.col("SK_ID_CURR") == 7).select("SK_ID_BUREAU")
+    return finish(roles.history(spark, base).join(one, "SK_ID_BUREAU", "left_semi"))
+
+
+@query("table_shapes", with_roles("app", "credit", "hist", "scored") + """
+SELECT 'app' AS table_name, count(*) AS n_rows, 47 AS n_columns FROM app
+UNION ALL SELECT 'credit', count(*), 17 FROM credit UNION ALL SELECT 'hist', count(*), 3 FROM hist
+UNION ALL SELECT 'scored', count(*), (SELECT count(*) FROM (DESCRIBE SELECT * FROM scored))::INTEGER FROM scored""")
+def table_shapes(spark, base):
+    """S-7 rows and columns of each role, counted in the plan."""
+    named = {"app": roles.application, "credit": roles.credit, "hist": roles.history, "scored": roles.scored}
+    out = None
+    for name, role in named.items():
+        df = role(spark, base)
+        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows",
+                                                               F.lit(len(df.columns)).alias("n_columns"))
+        out = one if out is None else out.unionByName(one)
+    return finish(out)

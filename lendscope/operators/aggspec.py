@@ -28,9 +28,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from ..session import ensure_codegen_width
+from .encode import quoted
 
-STATS = ("mean", "sum", "min", "max", "var", "std", "size", "count", "nunique", "median")
+# The median of a hot group is no aggregate buffer's business: see `series.group_median`.
+STATS = ("mean", "sum", "min", "max", "var", "std", "size", "count", "nunique")
 
 
 def _cohort_guard(expr: Column, cond: Column | None) -> Column:
@@ -42,7 +43,7 @@ def _cohort_guard(expr: Column, cond: Column | None) -> Column:
 
 def stat_expr(column: str | Column, stat: str, cond: Column | None = None) -> Column:
     """One aggregate for one (column, stat), optionally restricted to rows where `cond`."""
-    c = F.col(column) if isinstance(column, str) else column
+    c = quoted(column) if isinstance(column, str) else column
     v = c if cond is None else F.when(cond, c)
     if stat == "mean":
         return F.avg(v)
@@ -62,22 +63,9 @@ def stat_expr(column: str | Column, stat: str, cond: Column | None = None) -> Co
         return _cohort_guard(F.count(v), cond)
     if stat == "nunique":
         return _cohort_guard(F.count_distinct(v), cond)
-    if stat == "median":
-        return F.median(v)
     raise ValueError(f"unknown statistic {stat!r}; expected one of {STATS}")
 
 
-# Aggregate-buffer fields per statistic (Spark's declarative aggregates).
-BUFFER_FIELDS = {"mean": 2, "var": 3, "std": 3, "sum": 1, "min": 1, "max": 1, "size": 1,
-                 "count": 1, "nunique": 1, "median": 1}
-
-
-def buffer_width(spec: "AggSpec", cohort: bool = False) -> int:
-    """Fields a partial aggregate carries for `spec` (cohort guards add a count)."""
-    return sum(BUFFER_FIELDS.get(st, 2) + (1 if cohort and st in ("sum", "count", "nunique") else 0)
-               for stats in spec.spec.values() for st in stats)
-
-
 class AggSpec:
     """Ordered {column: [stats]} specification."""
 
@@ -134,7 +122,7 @@ class AggSpec:
         sources = sources or {}
         out = []
         for c, stats in self.spec.items():
-            src = sources.get(c, F.col(c))
+            src = sources.get(c, quoted(c))
             for s in stats:
                 out.append(stat_expr(src, s, cond).alias(f"{prefix}{c}_{s.upper()}"))
         return out
@@ -157,7 +145,5 @@ def aggregate(df: DataFrame, key: str | list[str], spec: AggSpec, prefix: str =
     exprs = spec.exprs(prefix)
     for cprefix, (cond, cspec) in (cohorts or {}).items():
         exprs += cspec.exprs(cprefix, cond=cond)
-    width = buffer_width(spec) + sum(buffer_width(c, True) for _, c in (cohorts or {}).values())
     exprs += list(extra)
-    ensure_codegen_width(df.sparkSession, width + 2 * len(list(extra)) + len(keys) + 8)
     return df.groupBy(*keys).agg(*exprs)

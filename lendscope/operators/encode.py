@@ -1,11 +1,14 @@
 """Categorical encoders (K-13..K-17, A-11, A-12, A-24, B-15, B-16).
 
-Vocabulary discovery is the only driver round-trip: a distinct over all
-requested columns at once, first counted per column (a column with more than
-`max_levels` levels is refused before any value list exists), then collected
-(at most `max_levels` values per column reach the driver). Callers that know their categories pass
-`vocab=` and skip the job entirely. Dummy columns are plain projections that
-Catalyst pipelines into the consuming aggregate; nothing wide is materialised.
+One-hot columns need their names at plan time, so their vocabulary is read to the driver
+in one job (distinct values of all requested columns at once), without a limit on levels:
+what a wide encoding cannot hold as columns, `category_long` gives as rows. Callers that
+know their categories pass `vocab=` and skip the job. Label codes and target means need no
+driver list: they are distributed tables, attached by `lookup_join`.
+
+`lookup_join` never shuffles the fact side onto a category. It reads at most
+`BROADCAST_ROWS` rows of the lookup table; a table within that size is broadcast, a larger
+one is joined with salted keys, so a category holding a third of all rows is spread.
 """
 
 from __future__ import annotations
@@ -16,7 +19,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-DEFAULT_MAX_LEVELS = 1000
+from .series import prefix_sums, quantile_bucket
+
+BROADCAST_ROWS = 100_000     # a lookup table up to this many rows is broadcast
+SALTS = 32
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, keys: list[str], broadcast_rows: int | None = None,
+                salts: int = SALTS) -> DataFrame:
+    """Left join of `lookup` (one row per key) onto `df` without a shuffle of `df` by the key."""
+    spark = df.sparkSession
+    limit = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    rows = lookup.limit(limit + 1).collect()                  # bounded: at most limit + 1 rows
+    if len(rows) <= limit:
+        return df.join(F.broadcast(spark.createDataFrame(rows, lookup.schema)), keys, "left")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return df.withColumn("_salt", salt).join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 
 def string_columns(df: DataFrame, among: Iterable[str] | None = None) -> list[str]:
@@ -26,33 +50,44 @@ def string_columns(df: DataFrame, among: Iterable[str] | None = None) -> list[st
             if isinstance(f.dataType, StringType) and (allowed is None or f.name in allowed)]
 
 
-def vocabulary(df: DataFrame, columns: Iterable[str],
-               max_levels: int = DEFAULT_MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct non-null values of each column (size-checked, then collected)."""
+def vocabulary(df: DataFrame, columns: Iterable[str]) -> dict[str, list[str]]:
+    """Sorted distinct non-null values of each column, in one job."""
     columns = list(columns)
     if not columns:
         return {}
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), quoted(c).cast("string").alias("value"))
                                 for c in columns]))
     distinct = (df.select(pairs.alias("p")).select("p.name", "p.value")
                 .filter(F.col("value").isNotNull()).distinct())
-    # Check the size first (one count per column), so an unexpectedly
-    # high-cardinality column is refused before any value list is built.
-    sizes = {r["name"]: r["n"] for r in distinct.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
-    too_big = sorted(c for c, n in sizes.items() if n > max_levels)
-    if too_big:
-        raise ValueError(f"column {too_big[0]} has more than {max_levels} levels; "
-                         "pass an explicit vocabulary or raise max_levels")
     out = {c: [] for c in columns}
-    for row in distinct.collect():          # at most max_levels rows per column
+    for row in distinct.collect():
         out[row["name"]].append(row["value"])
     return {c: sorted(v) for c, v in out.items()}
 
 
+def listed(column: str, levels: Iterable[str]) -> Column:
+    """The column, with an error in the running job for a value outside `levels`: a fixed
+    list never loses rows silently. Missing values pass."""
+    c, levels = quoted(column), list(levels)
+    message = F.concat(F.lit(f"{column} has a level outside the given list: "), c)
+    return F.when(c.isNull() | c.isin(levels), c).otherwise(F.raise_error(message))
+
+
+def category_long(df: DataFrame, key: str, columns: Iterable[str] | None = None) -> DataFrame:
+    """Counts and shares of each category per key as rows (key, column, value, count, share),
+    for columns with too many levels for dummy columns (A-11, A-12). Missing values are a
+    level of their own (value NULL), as with the dummies' `_nan`."""
+    columns = string_columns(df) if columns is None else list(columns)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in columns]))
+    counts = df.select(key, pairs.alias("p")).groupBy(key, "p.column", "p.value").agg(F.count(F.lit(1)).alias("count"))
+    rows = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.join(rows, key).select(key, "column", "value", "count", (F.col("count") / F.col("_rows")).alias("share"))
+
+
 def one_hot_exprs(column: str, levels: Iterable[str], dummy_na: bool,
                   as_double: bool = False) -> dict[str, Column]:
     """{`COL_value`: 0/1 column} for each level, plus `COL_nan` when `dummy_na`."""
-    c = F.col(column)
+    c = quoted(column)
     one, zero = (F.lit(1.0), F.lit(0.0)) if as_double else (F.lit(1), F.lit(0))
     out = {f"{column}_{v}": F.when(c == F.lit(v), one).otherwise(zero) for v in levels}
     if dummy_na:
@@ -61,8 +96,8 @@ def one_hot_exprs(column: str, levels: Iterable[str], dummy_na: bool,
 
 
 def one_hot(df: DataFrame, columns: Iterable[str] | None = None, dummy_na: bool = False,
-            vocab: Mapping[str, list[str]] | None = None, keep_original: bool = False,
-            max_levels: int = DEFAULT_MAX_LEVELS) -> tuple[DataFrame, list[str]]:
+            vocab: Mapping[str, list[str]] | None = None,
+            keep_original: bool = False) -> tuple[DataFrame, list[str]]:
     """pandas `get_dummies` equivalent (K-14, K-15).
 
     Encodes `columns` (default: every string column). With `dummy_na` a
@@ -72,32 +107,39 @@ def one_hot(df: DataFrame, columns: Iterable[str] | None = None, dummy_na: bool
     cols = string_columns(df) if columns is None else string_columns(df, columns)
     vocab = dict(vocab or {})
     missing = [c for c in cols if c not in vocab]
-    vocab.update(vocabulary(df, missing, max_levels))
+    vocab.update(vocabulary(df, missing))
     dummies: dict[str, Column] = {}
     for c in cols:
         dummies.update(one_hot_exprs(c, vocab[c], dummy_na))
-    keep = [F.col(c) for c in df.columns if keep_original or c not in cols]
+    keep = [quoted(c) for c in df.columns if keep_original or c not in cols]
     return df.select(*keep, *[e.alias(n) for n, e in dummies.items()]), list(dummies)
 
 
-def label_codes(df: DataFrame, column: str, vocab: list[str] | None = None,
-                max_levels: int = DEFAULT_MAX_LEVELS) -> Column:
-    """Stable label code (K-13): position of the value in the sorted vocabulary,
-    missing -> -1. The reference's factorize numbers by first appearance in the
-    file, which is not a defined order on a distributed table."""
-    levels = vocab if vocab is not None else vocabulary(df, [column], max_levels)[column]
-    if not levels:
-        return F.lit(-1).cast("bigint")
-    mapping = F.create_map(*[x for i, v in enumerate(levels) for x in (F.lit(v), F.lit(i))])
-    return F.coalesce(F.element_at(mapping, F.col(column).cast("string")), F.lit(-1)).cast("bigint")
+def label_codes(df: DataFrame, column: str) -> DataFrame:
+    """(column, code): rank of every distinct non-null value in string order (K-13). The
+    ranks come from prefix sums over buckets of the value range, so no task ranks all levels.
+    The reference's factorize numbers by first appearance in the file, which is not a defined
+    order on a distributed table."""
+    values = (df.select(quoted(column).cast("string").alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+              .withColumn("_one", F.lit(1).cast("bigint")))
+    ranked = prefix_sums(values, ["_v"], ["_one"], quantile_bucket(values, "_v"))
+    return ranked.select(F.col("_v").alias(column), F.col("_one_before").alias("code"))
 
 
 def label_encode(df: DataFrame, columns: Iterable[str],
                  vocab: Mapping[str, list[str]] | None = None) -> DataFrame:
-    columns = list(columns)
-    vocab = dict(vocab or {})
-    vocab.update(vocabulary(df, [c for c in columns if c not in vocab]))
-    return df.withColumns({c: label_codes(df, c, vocab[c]) for c in columns})
+    """Replace each column by its label code, missing -> -1. A column in `vocab` (complete,
+    sorted levels) needs no job for its codes."""
+    out = df
+    for c in columns:
+        if vocab and c in vocab:
+            codes = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(vocab[c])], f"`{c}` string, code long")
+        else:
+            codes = label_codes(df, c)
+        codes = codes.select(quoted(c).alias("_level"), F.col("code").alias("_code"))
+        keyed = out.withColumn("_level", quoted(c).cast("string"))
+        out = lookup_join(keyed, codes, ["_level"]).withColumn(c, F.coalesce("_code", F.lit(-1)).cast("bigint")).drop("_level", "_code")
+    return out.select(*[quoted(c) for c in df.columns])
 
 
 # -- target encoding -------------------------------------------------------
@@ -111,12 +153,8 @@ def target_fit(df: DataFrame, cat: str, target: str, out: str | None = None) ->
 
 
 def target_transform(df: DataFrame, encoder: DataFrame, cat: str) -> DataFrame:
-    """Attach the encoded value (K-16): left equi-join on the category.
-
-    The encoder has one row per category; AQE measures it at runtime and
-    broadcasts it when small, otherwise it is a shuffle join. Unseen -> NULL.
-    """
-    return df.join(encoder, cat, "left")
+    """Attach the encoded value (K-16): left look-up on the category. Unseen -> NULL."""
+    return lookup_join(df, encoder, [cat])
 
 
 def target_fit_transform(df: DataFrame, cat: str, target: str, out: str | None = None) -> DataFrame:
@@ -128,7 +166,7 @@ def target_encode_oof(df: DataFrame, cat: str, target: str, fold: str,
                       out: str | None = None) -> DataFrame:
     """Out-of-fold target mean: each row is encoded with the mean of the rows of
     the same category in the *other* folds, so the label never leaks into its
-    own encoding. Built from two small aggregates and one join; no per-fold loop.
+    own encoding. Built from two small aggregates and one look-up; no per-fold loop.
     """
     out = out or f"{cat}_TARGET_OOF"
     valid = df.filter(F.col(cat).isNotNull())
@@ -137,4 +175,4 @@ def target_encode_oof(df: DataFrame, cat: str, target: str, fold: str,
     w = per_fold.groupBy(cat).agg(F.sum("_s").alias("_ts"), F.sum("_n").alias("_tn"))
     enc = per_fold.join(w, cat).select(
         cat, fold, F.try_divide(F.col("_ts") - F.col("_s"), (F.col("_tn") - F.col("_n")).cast("double")).alias(out))
-    return df.join(enc, [cat, fold], "left")
+    return lookup_join(df, enc, [cat, fold])

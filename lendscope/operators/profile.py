@@ -21,9 +21,10 @@ def null_ratios(df: DataFrame, columns: Iterable[str] | None = None, only_positi
 
 
 def value_counts(df: DataFrame, column: str, dropna: bool = True, out: str = "count") -> DataFrame:
-    """Occurrences of each value (A-19); missing values dropped like pandas."""
+    """Occurrences of each value (A-19), most frequent first, ties by value; missing values
+    dropped like pandas."""
     src = df.filter(F.col(column).isNotNull()) if dropna else df
-    return src.groupBy(column).agg(F.count(F.lit(1)).alias(out))
+    return src.groupBy(column).agg(F.count(F.lit(1)).alias(out)).orderBy(F.desc(out), column)
 
 
 def binarised_counts(df: DataFrame, column: str, out_value: str = "is_nonzero") -> DataFrame:

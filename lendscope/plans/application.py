@@ -1,9 +1,8 @@
 """Applicant feature builder (B-1) and the nine-variable PD data set (B-19).
 
 Everything is a projection over the applicant table except two aggregates:
-the median income per organisation (a group-by joined back on the category,
-broadcast by AQE when the category table is small) and the global mean used
-to fill a missing row statistic (a one-row aggregate read as a scalar).
+the median income per organisation (a group-by looked up by category) and the
+global mean used to fill a missing row statistic (a scalar subquery).
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql.types import NumericType
 from ..functions import nullif_sentinel, safe_div, sentinel_to_zero, with_row_stats
 from ..functions.scalar import neq_keep_null
 from ..operators.series import group_median
-from ..operators.encode import (label_encode, one_hot, string_columns, target_fit_transform,
+from ..operators.encode import (label_encode, lookup_join, one_hot, string_columns, target_fit_transform,
                                vocabulary)
 
 # Fixed values of the reference's applicant builder.
@@ -112,7 +111,7 @@ def application_features(train: DataFrame, test: DataFrame, nan_as_category: boo
     df = with_row_features(df.withColumns(ratio_features(df)))
     # Fill before the lookup join: same rows, and the scalar job stays a narrow scan.
     df = fill_with_global_mean(df, "NEW_SCORES_STD")
-    df = df.join(inc_by_org, "ORGANIZATION_TYPE", "left")
+    df = lookup_join(df, inc_by_org, ["ORGANIZATION_TYPE"])
     df = df.withColumn("NEW_ANNUAL_PERCENT", safe_div("AMT_INCOME_TOTAL", "NEW_ANNUAL_PAYMENT"))
     df = label_encode(df, LABEL_ENCODED, vocab=vocab)
     df, _ = one_hot(df, None, dummy_na=nan_as_category, vocab=vocab)

@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 from ..functions import delay_seriousness, flag_not_equal, flag_not_negative, safe_div, status_int
 from ..functions.scalar import neq_keep_null
-from ..operators.aggspec import AggSpec, buffer_width, stat_expr
+from ..operators.aggspec import stat_expr
+from ..operators.encode import listed
 from ..operators.series import gaps_by_row
-from ..session import ensure_codegen_width
 
 # Monthly status codes of the data model, delay codes 1..5.
 STATUS_CODES = ["0", "1", "2", "3", "4", "5", "C", "X"]
@@ -93,7 +93,7 @@ def monthly_behaviour(hist: DataFrame, compat: bool = True) -> DataFrame:
     `compat=True` reproduces the reference's DELAYED_ONCE_OR_MORE, which counts
     status-2 months twice; `compat=False` counts every delayed month once.
     """
-    h = with_delay_seriousness(hist)
+    h = with_delay_seriousness(hist.withColumn("STATUS", listed("STATUS", STATUS_CODES)))
     counts = {f"STATUS_{s}_SUM": F.count(F.when(F.col("STATUS") == s, F.lit(1))) for s in STATUS_CODES}
     agg = h.groupBy("SK_ID_BUREAU").agg(
         *[e.alias(n) for n, e in counts.items()],
@@ -227,8 +227,6 @@ def bureau_behaviour(credit: DataFrame, hist: DataFrame, fix_active: bool = Fals
                     exprs.append(e.alias(name))
                 else:
                     exprs.append(stat_expr(c, s, cond).alias(name))
-    ensure_codegen_width(loans.sparkSession,
-                         len(cohorts) * buffer_width(AggSpec(BEHAVIOUR_AGG), cohort=True) + 8)
     wide = loans.groupBy("SK_ID_CURR").agg(*exprs)
     out = wide.join(loan_type_counts(credit), "SK_ID_CURR", "left").withColumns(post)
     return out.select("SK_ID_CURR", *order)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.aggspec import AggSpec, aggregate
-from ..operators.encode import one_hot
+from ..operators.encode import listed, one_hot, string_columns
 from .behaviour import STATUS_CODES
 
 # Declared statistics of the reference's credit builder.
@@ -64,13 +64,14 @@ def balance_per_credit(hist: DataFrame, policy: str = "override", dummy_na: bool
 
     STATUS is a closed domain of the data model, so its levels are fixed
     (STATUS_CODES) instead of discovered: discovery would cost a full scan of
-    the monthly table, the largest input. Pass `vocab={"STATUS": None}` to
-    discover them from the data instead."""
+    the monthly table, the largest input. A status outside the list stops the job.
+    Pass `vocab={"STATUS": None}` to discover the levels from the data instead."""
     vocab = dict(vocab or {})
-    if "STATUS" not in vocab:
-        vocab["STATUS"] = STATUS_CODES
-    elif vocab["STATUS"] is None:
+    if vocab.get("STATUS", STATUS_CODES) is None:
         del vocab["STATUS"]
+    else:
+        levels = vocab.setdefault("STATUS", STATUS_CODES)
+        hist = hist.withColumn("STATUS", listed("STATUS", levels))
     oh, status_cols = one_hot(hist, ["STATUS"], dummy_na=dummy_na, vocab=vocab)
     spec = AggSpec.every(status_cols + ["MONTHS_BALANCE"], ["mean"]).merge(
         {"MONTHS_BALANCE": ["min", "max", "size", "mean"]}, policy="override")
@@ -85,15 +86,17 @@ def bureau_and_balance(credit: DataFrame, hist: DataFrame, policy: str = "overri
     (every raw credit column and dummy aggregated by mean only under BURO_);
     `policy="union"` keeps the declared statistics as well."""
     bb, bb_names = balance_per_credit(hist, dummy_na=dummy_na, vocab=vocab)
-    oh, _ = one_hot(credit, None, dummy_na=dummy_na, vocab=vocab)
+    # Cohorts are told by the raw status, so a level that no row holds is an empty cohort.
+    texts = string_columns(credit)
+    oh, _ = one_hot(credit, None, dummy_na=dummy_na, vocab=vocab, keep_original=True)
     loans = oh.join(bb, "SK_ID_BUREAU", "left")
 
-    raw = [c for c in oh.columns if keep_key_means or c not in KEYS]
+    raw = [c for c in oh.columns if c not in texts and (keep_key_means or c not in KEYS)]
     cat_spec = AggSpec.every(raw + [n for n in bb_names if not n.startswith("MONTHS_BALANCE_")
                                     or n == "MONTHS_BALANCE_MEAN"], ["mean"])
     num = AggSpec(BUREAU_NUM_AGG)
     spec = num.merge(cat_spec, policy=policy)
     return aggregate(loans, "SK_ID_CURR", spec, "BURO_", cohorts={
-        "ACTIVE_": (F.col("CREDIT_ACTIVE_Active") == 1, num),
-        "CLOSED_": (F.col("CREDIT_ACTIVE_Closed") == 1, num),
+        "ACTIVE_": (F.col("CREDIT_ACTIVE") == "Active", num),
+        "CLOSED_": (F.col("CREDIT_ACTIVE") == "Closed", num),
     })

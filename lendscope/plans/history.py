@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clip0, differs_or_missing, nullif_sentinel, safe_div
 from ..operators.aggspec import AggSpec, aggregate
-from ..operators.encode import one_hot
+from ..operators.encode import one_hot, string_columns
 
 KEYS = ("SK_ID_CURR", "SK_ID_BUREAU", "SK_ID_PREV")
 
@@ -63,15 +63,16 @@ def _mean_of_everything(columns: Iterable[str], keep_key_means: bool) -> AggSpec
 def previous_applications(prev: DataFrame, policy: str = "override", keep_key_means: bool = False,
                           vocab: dict | None = None) -> DataFrame:
     """B-6: PREV_ over all applications, APPROVED_ and REFUSED_ cohorts."""
-    oh, _ = one_hot(prev, None, dummy_na=True, vocab=vocab)
-    raw_columns = list(oh.columns)           # before the derived ratio (as in the reference)
+    texts = string_columns(prev)
+    oh, _ = one_hot(prev, None, dummy_na=True, vocab=vocab, keep_original=True)
+    raw_columns = [c for c in oh.columns if c not in texts]       # before the derived ratio (as in the reference)
     oh = oh.withColumns({c: nullif_sentinel(c) for c in PREV_SENTINEL_DAYS})
     oh = oh.withColumn("APP_CREDIT_PERC", safe_div("AMT_APPLICATION", "AMT_CREDIT"))
     num = AggSpec(PREV_NUM_AGG)
     spec = num.merge(_mean_of_everything(raw_columns, keep_key_means), policy=policy)
     return aggregate(oh, "SK_ID_CURR", spec, "PREV_", cohorts={
-        "APPROVED_": (F.col("NAME_CONTRACT_STATUS_Approved") == 1, num),
-        "REFUSED_": (F.col("NAME_CONTRACT_STATUS_Refused") == 1, num),
+        "APPROVED_": (F.col("NAME_CONTRACT_STATUS") == "Approved", num),
+        "REFUSED_": (F.col("NAME_CONTRACT_STATUS") == "Refused", num),
     })
 
 

@@ -15,6 +15,7 @@ reference's eval-set early stopping.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -24,8 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ..functions import hash01
 from ..operators import evaluation as EV
 from ..session import materialize
+from ..sources.tables import append_metrics, write_table
+from .history import assemble
 
 EXCLUDED = ("TARGET", "SK_ID_CURR", "SK_ID_BUREAU", "SK_ID_PREV", "index")
 MISSING = -999.0     # trees split on it like any value; Spark ML trees reject NaN
@@ -45,81 +49,122 @@ def _assemble(df: DataFrame, feats: list[str]) -> DataFrame:
 def kfold_gbt(df: DataFrame, k: int = 5, seed: int = EV.DEFAULT_SEED, max_iter: int = 50,
               max_depth: int = 5, step_size: float = 0.1, subsampling: float = 0.87,
               feature_subset: str = "0.95", id_col: str = "SK_ID_CURR", label: str = "TARGET",
-              checkpoint: bool = True) -> dict[str, DataFrame]:
+              stratified: bool = False, folder: str | None = None) -> dict[str, DataFrame]:
     """B-13: k-fold boosted trees on the train rows (label not NULL).
 
-    Returns frames: `oof` (id, fold, label, pred), `test` (id, fold-averaged
-    pred), `fold_auc` (fold, auc; fold -1 = all out-of-fold rows) and
-    `importance` (feature, importance, fold).
+    `stratified` deals the folds inside each label. Returns frames: `oof` (id, fold, label,
+    pred), `test` (id, fold-averaged pred), `fold_auc` (fold, auc; fold -1 = all out-of-fold
+    rows) and `importance` (feature, importance, fold). The feature table and the predictions
+    are checkpointed in the shared folder (`folder`, else the session's): each model scores
+    its rows once.
     """
     feats = feature_columns(df)
-    base = materialize(df) if checkpoint else df
-    train = EV.kfold(base.filter(F.col(label).isNotNull()), id_col, k, seed)
-    test = base.filter(F.col(label).isNull())
-    train_v, test_v = _assemble(train, feats), _assemble(test, feats)
-    spark = df.sparkSession
+    base = materialize(df, folder)
+    train = base.filter(F.col(label).isNotNull())
+    train = EV.stratified_kfold(train, id_col, label, k, seed) if stratified else EV.kfold(train, id_col, k, seed)
+    train_v, test_v = _assemble(train, feats), _assemble(base.filter(F.col(label).isNull()), feats)
     oof_parts, test_parts, importances = [], [], []
     for f in range(k):
         gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxIter=max_iter, maxDepth=max_depth,
                             stepSize=step_size, subsamplingRate=subsampling,
                             featureSubsetStrategy=feature_subset, seed=seed,
                             validationIndicatorCol="_valid", validationTol=0.0)
-        fit_on = train_v.withColumns({"_y": F.col(label).cast("double"), "_valid": F.col("fold") == f})
-        model = gbt.fit(fit_on)
+        model = gbt.fit(train_v.withColumns({"_y": F.col(label).cast("double"), "_valid": F.col("fold") == f}))
         prob1 = vector_to_array(F.col("probability"))[1]
         valid = model.transform(train_v.filter(F.col("fold") == f))
         oof_parts.append(valid.select(id_col, "fold", F.col(label).alias("label"), prob1.alias("pred")))
         test_parts.append(model.transform(test_v).select(id_col, prob1.alias("pred")))
         importances += [(feats[i], float(v), f + 1) for i, v in enumerate(model.featureImportances.toArray())]
-    oof = oof_parts[0]
-    for p in oof_parts[1:]:
-        oof = oof.unionByName(p)
+    oof = materialize(reduce(DataFrame.unionByName, oof_parts), folder)
     return {
         "oof": oof,
-        "test": EV.fold_average(test_parts, id_col, "pred"),
+        "test": materialize(EV.fold_average(test_parts, id_col, "pred"), folder),
         "fold_auc": EV.auc_by_fold(oof, "pred", "label"),
-        "importance": spark.createDataFrame(importances, "feature string, importance double, fold int"),
+        "importance": df.sparkSession.createDataFrame(importances, "feature string, importance double, fold int"),
     }
 
 
-def _rf(seed: int, trees: int, depth: int, weight: str | None = None) -> RandomForestRegressor:
+def scoring_run(applicants: DataFrame, children: Iterable[DataFrame], out_dir: str, name: str = "run",
+                top_features: int = 40, **training) -> dict[str, DataFrame]:
+    """B-13 as users run it: the applicant features with every child table, the k-fold
+    training, and its outputs under `out_dir`:
+
+    `submission` (CSV, id and averaged prediction), `metrics` (appended: run, fold, auc) and
+    `importance` (fold importances of the best features, B-14). Returns the training's frames."""
+    out = kfold_gbt(assemble(applicants, *children), **training)
+    label, id_col = training.get("label", "TARGET"), training.get("id_col", "SK_ID_CURR")
+    write_table(out["test"].select(id_col, F.col("pred").alias(label)), f"{out_dir}/submission", fmt="csv")
+    append_metrics(out["fold_auc"].select(F.lit(name).alias("run"), "fold", "auc"), f"{out_dir}/metrics")
+    write_table(EV.top_k_groups(out["importance"], "feature", "importance", top_features), f"{out_dir}/importance")
+    return out
+
+
+def forest(seed: int, trees: int, depth: int, weight: str | None = None) -> RandomForestRegressor:
+    """Regression forest whose splits look at all features, as the reference's does."""
     kw = {"weightCol": weight} if weight else {}
     return RandomForestRegressor(featuresCol="features", labelCol="_y", numTrees=trees, maxDepth=depth,
-                                 seed=seed, **kw)
+                                 featureSubsetStrategy="all", seed=seed, **kw)
+
+
+def sampled_label_ensemble(accepted: DataFrame, rejected: DataFrame, scored: DataFrame, pd_col: str, seed: int,
+                           trees: int, depth: int, draws: int, id_col: str = "SK_ID_CURR",
+                           folder: str | None = None, block: int = 20) -> DataFrame:
+    """M-13: one forest per draw of Bernoulli(pd) labels for the rejected rows; (id, p_ri) is
+    the mean of their predictions for `scored`. Predictions are checkpointed every `block`
+    draws, so the plan stays small."""
+    sums = None
+    for first in range(1, draws + 1, block):
+        parts = []
+        for draw in range(first, min(first + block, draws + 1)):
+            label = (hash01(id_col, EV.DEFAULT_SEED if seed is None else seed, F.lit(draw)) < F.col(pd_col)).cast("double")
+            rows = accepted.drop(pd_col).unionByName(rejected.withColumn("_y", label).drop(pd_col))
+            model = forest(seed + draw, trees, depth).fit(rows)
+            parts.append(model.transform(scored).select(id_col, F.col("prediction").alias("_s")))
+        if sums is not None:
+            parts.append(sums)
+        sums = materialize(reduce(DataFrame.unionByName, parts).groupBy(id_col).agg(F.sum("_s").alias("_s")), folder)
+    return sums.select(id_col, (F.col("_s") / F.lit(float(draws))).alias("p_ri"))
 
 
 def reject_inference(pd_data: DataFrame, features: list[str], seed: int = EV.DEFAULT_SEED,
-                     trees: int = 100, old_depth: int = 10, new_depth: int = 5,
-                     cut: float = 0.15, gap: float = 0.1) -> DataFrame:
+                     trees: int = 100, old_depth: int = 10, new_depth: int = 5, cut: float = 0.15,
+                     gap: float = 0.1, labels: str = "sampled", draws: int = 1000,
+                     folder: str | None = None) -> DataFrame:
     """B-20: old model on fold1 scores fold2; fold2 is split at PD `cut` into
     accepted / rejected; three new models are evaluated on fold3:
-    trained on all of fold2 (true labels), on accepted rows only, and on
-    accepted rows plus rejected rows with expected labels (weights pd, 1-pd).
+    trained on all of fold2 (true labels), on accepted rows only, and with inferred labels of
+    the rejected rows: `labels="sampled"` averages one forest per draw of simulated labels,
+    `labels="expected"` fits one forest on both labels of each, weighted by pd and 1 - pd.
     Returns (metric, value) rows: the AUCs and the disagreement capture rate.
     """
     parts = EV.nested_split(pd_data, "SK_ID_CURR", "TARGET", seed)
-    v = _assemble(parts.withColumn("_y", F.col("TARGET").cast("double")), features)
-    v = materialize(v)
+    v = materialize(_assemble(parts.withColumn("_y", F.col("TARGET").cast("double")), features), folder)
     f1, f2, f3 = (v.filter(F.col("part") == p) for p in ("fold1", "fold2", "fold3"))
-    old = _rf(seed, trees, old_depth).fit(f1)
-    scored2 = old.transform(f2).withColumnRenamed("prediction", "pd")
+    old = forest(seed, trees, old_depth).fit(f1)
+    scored2 = materialize(old.transform(f2).withColumnRenamed("prediction", "pd"), folder)
     accepted = scored2.filter(EV.accept_flag("pd", cut) == 1)
     rejected = scored2.filter(EV.accept_flag("pd", cut) == 0)
-    m_all = _rf(seed, trees, new_depth).fit(f2)
-    m_acc = _rf(seed, trees, new_depth).fit(accepted.drop("pd"))
-    ri_rows = (accepted.drop("pd").withColumn("weight", F.lit(1.0))
-               .unionByName(EV.expected_reject_rows(rejected, "pd", "_lab", "weight")
-                            .withColumn("_y", F.col("_lab").cast("double")).drop("_lab", "pd")))
-    m_ri = _rf(seed, trees, new_depth, "weight").fit(ri_rows)
-    keep = ["SK_ID_CURR", "TARGET"]
-    p3 = (m_all.transform(f3).select(*keep, F.col("prediction").alias("p_all"))
-          .join(m_acc.transform(f3).select("SK_ID_CURR", F.col("prediction").alias("p_acc")), "SK_ID_CURR")
-          .join(m_ri.transform(f3).select("SK_ID_CURR", F.col("prediction").alias("p_ri")), "SK_ID_CURR"))
-    spark = pd_data.sparkSession
-    rows = [("auc_old_model_fold2", EV.auc(scored2, "pd", "TARGET").first()["auc"])]
-    for name in ("p_all", "p_acc", "p_ri"):
-        rows.append((f"auc_{name}_fold3", EV.auc(p3, name, "TARGET").first()["auc"]))
-    cap = EV.capture_rate(p3, "p_all", "p_acc", "p_ri", gap, cut).first()
-    rows += [("capture_rate", cap["capture_rate"]), ("n_disagree", float(cap["n_disagree"])),
-             ("n_accepted", float(accepted.count())), ("n_rejected", float(rejected.count()))]
-    return spark.createDataFrame(rows, "metric string, value double")
+    m_all = forest(seed, trees, new_depth).fit(f2)
+    m_acc = forest(seed, trees, new_depth).fit(accepted.drop("pd"))
+    if labels == "sampled":
+        inferred = sampled_label_ensemble(accepted, rejected, f3, "pd", seed, trees, new_depth, draws, folder=folder)
+    elif labels == "expected":
+        rows = (accepted.drop("pd").withColumn("weight", F.lit(1.0))
+                .unionByName(EV.expected_reject_rows(rejected, "pd", "_lab", "weight")
+                             .withColumn("_y", F.col("_lab").cast("double")).drop("_lab", "pd")))
+        inferred = forest(seed, trees, new_depth, "weight").fit(rows).transform(f3).select(
+            "SK_ID_CURR", F.col("prediction").alias("p_ri"))
+    else:
+        raise ValueError('labels must be "sampled" or "expected"')
+    p3 = materialize(m_all.transform(f3).select("SK_ID_CURR", "TARGET", F.col("prediction").alias("p_all"))
+                     .join(m_acc.transform(f3).select("SK_ID_CURR", F.col("prediction").alias("p_acc")), "SK_ID_CURR")
+                     .join(inferred, "SK_ID_CURR"), folder)
+    named = [("auc_old_model_fold2", EV.auc(scored2, "pd", "TARGET"))]
+    named += [(f"auc_{name}_fold3", EV.auc(p3, name, "TARGET")) for name in ("p_all", "p_acc", "p_ri")]
+    out = reduce(DataFrame.unionByName, [f.select(F.lit(n).alias("metric"), F.col("auc").alias("value")) for n, f in named])
+    capture = EV.capture_rate(p3, "p_all", "p_acc", "p_ri", gap, cut)
+    split = scored2.agg(F.count(F.when(EV.accept_flag("pd", cut) == 1, 1)).cast("double").alias("n_accepted"),
+                        F.count(F.when(EV.accept_flag("pd", cut) == 0, 1)).cast("double").alias("n_rejected"))
+    capture = capture.select("capture_rate", F.col("n_disagree").cast("double").alias("n_disagree"))
+    return (out.unionByName(capture.unpivot([], ["capture_rate", "n_disagree"], "metric", "value"))
+            .unionByName(split.unpivot([], ["n_accepted", "n_rejected"], "metric", "value")))

@@ -7,9 +7,6 @@ friends, and we only read them. Local runs (tests, bench) get sane defaults.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plan in this package relies on. AQE turns sort-merge joins
@@ -21,13 +18,19 @@ SCALE_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # A builder that computes ~100 statistics in one aggregate carries a buffer of 2-3 fields
+    # per statistic; above this many fields Spark runs the stage interpreted. Aggregate functions
+    # are compiled into split methods, so a high limit makes no oversized ones.
+    "spark.sql.codegen.maxFields": "300",
     "spark.ui.enabled": "false",
 }
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  driver_memory: str = "8g", app: str = "lendscope") -> SparkSession:
-    """Session for tests and the bench; a cluster job builds its own."""
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, driver_memory: str = "8g",
+                  app: str = "lendscope", checkpoint_dir: str | None = None) -> SparkSession:
+    """Session for tests and the bench; a cluster job builds its own.
+
+    `checkpoint_dir` is used where the installation names no `spark.checkpoint.dir`."""
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", driver_memory)
@@ -37,49 +40,36 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if checkpoint_dir and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
-
-    On a cluster `spark.checkpoint.dir` points at shared storage and is used
-    as is. Only when it is unset (local tests) do we create a scratch folder.
-    """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="lendscope-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
-    return conf_dir
-
-
-def ensure_codegen_width(spark: SparkSession, fields: int) -> None:
-    """Keep wide aggregates in whole-stage codegen.
-
-    A builder that computes ~100 statistics in one aggregate carries a buffer
-    of 2-3 fields per statistic; above `spark.sql.codegen.maxFields` (default
-    100) Spark silently runs the stage interpreted, several times slower.
-    Aggregate functions are compiled into split methods
-    (`spark.sql.codegen.aggregate.splitAggregateFunc.enabled`), so raising the
-    field limit does not produce oversized methods. Only ever raises it.
-    """
-    current = int(spark.conf.get("spark.sql.codegen.maxFields", "100"))
-    if fields > current:
-        spark.conf.set("spark.sql.codegen.maxFields", str(fields))
+def shared_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """The shared folder for written intermediate tables: the argument, else the session's
+    `spark.checkpoint.dir`, else the folder set by `SparkContext.setCheckpointDir`."""
+    named = folder or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        named = held.get() if held.isDefined() else None
+    if not named:
+        raise ValueError("this needs a folder that the driver and all executors share: "
+                         "set spark.checkpoint.dir or pass the folder")
+    return named.rstrip("/")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
+def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder.
 
     Used where one derived table feeds many jobs (k-fold training); a lost
     executor then re-reads checkpoint files instead of recomputing the DAG.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    path = shared_dir(spark, folder)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(path)
     return df.checkpoint(eager=True)
 
 
-def checkpoint_path(spark: SparkSession, name: str) -> str:
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, name)
+def checkpoint_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    return f"{shared_dir(spark, folder)}/{name}"

@@ -53,9 +53,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.format(fmt).save(path)
 
 
-def append_metrics(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
-    """Append-only metric log (S-6): small driver-side rows appended as a table."""
-    spark.createDataFrame(rows, schema).write.mode("append").parquet(path)
+def append_metrics(rows: DataFrame, path: str) -> None:
+    """Append-only metric log (S-6): the rows are appended as one table write."""
+    rows.write.mode("append").parquet(path)
 
 
 def shape(df: DataFrame) -> tuple[int, int]:

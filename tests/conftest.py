@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from lendscope.session import local_session
-    s = local_session(cpus="*", shuffle_partitions=8, driver_memory="4g", app="lendscope-tests")
+    s = local_session(cpus="*", shuffle_partitions=8, driver_memory="4g", app="lendscope-tests",
+                      checkpoint_dir=tempfile.mkdtemp(prefix="lendscope-tests-"))
     yield s
     s.stop()
 

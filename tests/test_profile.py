@@ -1,16 +1,19 @@
-"""Profiling operators and the bounded vocabulary transfer."""
-import pytest
+"""Profiling operators and vocabularies."""
 from pyspark.sql import functions as F
 
 from lendscope.operators import profile as PR
 from lendscope.operators.encode import vocabulary
 
 
-def test_vocabulary_is_bounded(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("c"), F.lit("x").alias("d"))
-    assert vocabulary(df, ["d"]) == {"d": ["x"]}
-    with pytest.raises(ValueError, match="more than 10 levels"):
-        vocabulary(df, ["c"], max_levels=10)
+def test_vocabulary_has_no_limit(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("c"), F.lit("x").alias("d"))
+    got = vocabulary(df, ["c", "d"])
+    assert got["d"] == ["x"] and got["c"] == sorted(str(i) for i in range(3000))
+
+
+def test_value_counts_most_frequent_first(spark):
+    df = spark.createDataFrame([(c,) for c in "abcbcc"], "c string")
+    assert [tuple(r) for r in PR.value_counts(df, "c").collect()] == [("c", 3), ("b", 2), ("a", 1)]
 
 
 def test_null_ratios_long_table(spark):
