@@ -7,7 +7,7 @@ functions  column expressions (null-safe arithmetic, row-wise statistics, hashin
 operators  reusable relational operators (aggregation specs with cohorts, encoders,
            skew-safe ordered windows, profiling, folds and exact metrics)
 plans      the domain feature builders composed from the operators
-streaming  intentionally empty: the reference workload has no streams
+llm        operators of a training-data pipeline (optional, nothing else imports it)
 """
 
 __version__ = "0.1.0"
