@@ -21,7 +21,7 @@ import public_tokenizers
 import regex
 
 SLICE_CHARS = 1 << 20      # longer texts are matched in slices of about this many characters
-KEPT = 500_000             # bound of the matches, and of the parts, whose ids a worker keeps
+KEPT = 1_000_000           # bound of the matches, and of the parts, whose ids a worker keeps
 KEPT_CHARS = 48            # longer ones are not kept
 
 _WORDS = regex.compile(public_tokenizers.PATTERN)
