@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,15 +151,16 @@ def sketches(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFra
     return map_batches(src, sketch, f"id {id_type}, text_hash long, n long, set_a long, set_b long, registers binary")
 
 
-def _parts(batch: pa.RecordBatch, rows: int = 256, chars: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of a batch of about `chars` characters."""
-    texts = batch["text"].to_pylist()
-    first = held = 0
-    for i, text in enumerate(texts):
-        held += len(text)
-        if held >= chars or i + 1 - first >= rows or i + 1 == len(texts):
-            yield batch.slice(first, i + 1 - first), texts[first:i + 1]
-            first, held = i + 1, 0
+def _parts(batch: pa.RecordBatch, rows: int = 256, size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch of about `size` bytes of text."""
+    ends = np.cumsum(pa.compute.binary_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < batch.num_rows:
+        before = ends[first - 1] if first else 0
+        last = min(first + rows, batch.num_rows, max(first + 1, int(np.searchsorted(ends, before + size, side="right"))))
+        part = batch.slice(first, last - first)
+        yield part, part["text"].to_pylist()
+        first = last
 
 
 # -- candidates ------------------------------------------------------------
@@ -399,7 +401,22 @@ def _first():
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(table(spark, sf_dir, "documents"), Rule(shingle=3, percent=85, band=6))
-
+    found = near_dedup(table(spark, sf_dir, "documents"), Rule(shingle=3, percent=85, band=6))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP10_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM pairs JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+reach(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, e.y FROM reach JOIN e ON e.x = reach.r)
+SELECT reach.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id, reach.doc_id = min(r) AS kept
+FROM reach LEFT JOIN n ON n.doc_id = reach.doc_id GROUP BY reach.doc_id
+"""
 
-QUERIES = {"op10_near_dedup": (op10_near_dedup, None)}
+QUERIES = {"op10_near_dedup": (op10_near_dedup, OP10_SQL)}

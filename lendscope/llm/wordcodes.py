@@ -51,7 +51,7 @@ def word_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[::2], at[1::2]
 
 
-def word_codes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+def word_codes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 18) -> np.ndarray:
     """One code per word; worked off in blocks of about `block` bytes, cut between words."""
     out, first = [], 0
     while first < len(starts):
@@ -64,7 +64,7 @@ def word_codes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: in
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def window_codes(words: np.ndarray, size: int, salt: int = 0, block: int = 1 << 20) -> np.ndarray:
+def window_codes(words: np.ndarray, size: int, salt: int = 0, block: int = 1 << 16) -> np.ndarray:
     """Code of words[i:i+size] for every i at which it fits."""
     n = len(words) - size + 1
     out = [np.zeros(0, np.uint64)]
