@@ -265,4 +265,17 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {"op6_substring_dedup": (op6_substring_dedup, None)}
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS p FROM d WHERE len(w) >= 35),
+k AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 34], ' ')) AS h FROM s),
+r AS (SELECT doc_id, p FROM k QUALIFY count(*) OVER (PARTITION BY h) > 1),
+g AS (SELECT DISTINCT r.doc_id, r.p + o.i AS p FROM r, (SELECT range AS i FROM range(35)) o),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN g USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+QUERIES = {"op6_substring_dedup": (op6_substring_dedup, OP6_SQL)}
