@@ -62,11 +62,14 @@ def test_kept_words_are_bounded(monkeypatch, library):
     assert len(enc.matches) <= 5 and len(enc.parts) <= 5
 
 
-@pytest.mark.parametrize("chunk_bytes,bucket_words", [(1 << 25, 1 << 18), (500, 40)])
-def test_bpe_round_trip(spark, rank_library, chunk_bytes, bucket_words):
+@pytest.mark.parametrize("chunk_chars,bucket_bytes", [(1 << 23, 1 << 24), (500, 800)])
+def test_bpe_round_trip(spark, rank_library, chunk_chars, bucket_bytes):
     rows = corpus.odd_rows() + [(None, "no id"), (3, "one"), (3, "one")]
-    encoded = bpe.bpe_encode(corpus.table(spark, rows), RANKS, chunk_bytes=chunk_bytes, bucket_words=bucket_words)
-    got = bpe.bpe_decode(encoded, bpe.token_bytes(spark, RANKS)).collect()
+    encoded = bpe.bpe_encode(corpus.table(spark, rows), RANKS, chunk_chars=chunk_chars, bucket_bytes=bucket_bytes)
+    tokens = bpe.token_bytes(spark, RANKS)
+    got = bpe.bpe_decode(encoded, tokens).collect()
+    both = bpe.bpe_encode(corpus.table(spark, rows), RANKS, chunk_chars=chunk_chars, bucket_bytes=bucket_bytes, tokens=tokens)
+    assert Counter(map(str, both.collect())) == Counter(map(str, got))
     want = Counter((i, tuple(rank_library(t or "")), (t or "").encode()) for i, t in rows)
     assert Counter((r["doc_id"], tuple(ints(r["ids"])), bytes(r["decoded"])) for r in got) == want
     assert all(r["n_tokens"] == len(r["ids"]) // 4 for r in got)
