@@ -132,13 +132,14 @@ def label_encode(df: DataFrame, columns: Iterable[str],
     sorted levels) needs no job for its codes."""
     out = df
     for c in columns:
-        if vocab and c in vocab:
-            codes = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(vocab[c])], f"`{c}` string, code long")
-        else:
-            codes = label_codes(df, c)
-        codes = codes.select(quoted(c).alias("_level"), F.col("code").alias("_code"))
         keyed = out.withColumn("_level", quoted(c).cast("string"))
-        out = lookup_join(keyed, codes, ["_level"]).withColumn(c, F.coalesce("_code", F.lit(-1)).cast("bigint")).drop("_level", "_code")
+        if vocab and c in vocab and len(vocab[c]) <= BROADCAST_ROWS:
+            codes = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(vocab[c])], "_level string, _code long")
+            joined = keyed.join(F.broadcast(codes), "_level", "left")
+        else:
+            codes = label_codes(df, c).select(quoted(c).alias("_level"), F.col("code").alias("_code"))
+            joined = lookup_join(keyed, codes, ["_level"])
+        out = joined.withColumn(c, F.coalesce("_code", F.lit(-1)).cast("bigint")).drop("_level", "_code")
     return out.select(*[quoted(c) for c in df.columns])
 
 
