@@ -10,7 +10,25 @@ from ..sources import roles
 from .common import finish, query, r, sql_stat
 from .sqlroles import INT_COLS, with_roles
 
-_D = [s for s in BH.DELAY_CODES]
+# Fixed values, written out once more for the oracle.
+_STATUS = ["0", "1", "2", "3", "4", "5", "C", "X"]
+_RATIOS = ["STATUS_INT", "DELAY_SERIOUSITY", "STATUS_0", "STATUS_1", "STATUS_2", "STATUS_3", "STATUS_4", "STATUS_5", "STATUS_X"]
+_AGG = {
+    "DAYS_CREDIT": ["mean"], "CREDIT_DAY_OVERDUE": ["mean", "sum", "max"], "DAYS_CREDIT_ENDDATE": ["mean"],
+    "DAYS_CREDIT_UPDATE": ["mean", "max"], "AMT_CREDIT_MAX_OVERDUE": ["mean", "sum"], "CNT_CREDIT_PROLONG": ["sum"],
+    "AMT_CREDIT_SUM": ["mean", "sum"], "AMT_CREDIT_SUM_DEBT": ["mean", "sum"], "AMT_CREDIT_SUM_OVERDUE": ["mean"],
+    "AMT_CREDIT_SUM_LIMIT": ["mean", "sum"], "AMT_ANNUITY": ["max", "mean"], "DELAY_SERIOUSITY_SUM": ["mean", "sum"],
+    "STATUS_0_SUM": ["mean", "sum"], "STATUS_1_SUM": ["mean", "sum"], "STATUS_2_SUM": ["mean", "sum"],
+    "STATUS_3_SUM": ["mean", "sum"], "STATUS_4_SUM": ["mean", "sum"], "STATUS_5_SUM": ["mean", "sum"],
+    "STATUS_X_SUM": ["mean", "sum"], "ACTIVE_MONTHS": ["mean", "sum", "max"], "STATUS_0_RATIO": ["mean"],
+    "STATUS_1_RATIO": ["mean"], "STATUS_2_RATIO": ["mean"], "STATUS_3_RATIO": ["mean"], "STATUS_4_RATIO": ["mean"],
+    "STATUS_5_RATIO": ["mean"], "STATUS_X_RATIO": ["mean"], "DELAYED_ONCE_OR_MORE": ["sum", "mean"],
+    "DLYED_OOM_RATIO": ["mean"], "WEIGHTED_DELAY_SUM": ["mean", "sum"], "ACTIVE_LAST_MONTH": ["mean"],
+    "BUREAU_LOAN_COUNT": ["mean"], "BUREAU_LOAN_TYPE": ["mean"], "ACTIVE_LOANS_PERCENTAGE": ["mean"],
+    "CREDIT_ENDDATE_PERCENTAGE": ["mean"], "AVG_CREDITDAYS_PROLONGED": ["mean"], "AVERAGE_LOAN_TYPE": ["mean"],
+    "DEBT_CREDIT_RATIO": ["mean"], "OVERDUE_DEBT_RATIO": ["mean"], "DAYS_DIFF": ["mean"],
+    "DAYS_ENDDATE_DIFF": ["mean"],
+}
 
 # ---- oracle building blocks, in the reference's own structure ------------
 _H = """h AS (SELECT *, CASE WHEN STATUS IN ('C', 'X') THEN 0 ELSE CAST(STATUS AS INTEGER) END AS STATUS_INT FROM hist)
@@ -18,7 +36,7 @@ _H = """h AS (SELECT *, CASE WHEN STATUS IN ('C', 'X') THEN 0 ELSE CAST(STATUS A
 
 _BB = _H + """
 , bb AS (SELECT SK_ID_BUREAU, """ + ", ".join(
-    f"count(*) FILTER (WHERE STATUS = '{s}') AS STATUS_{s}_SUM" for s in BH.STATUS_CODES) + """,
+    f"count(*) FILTER (WHERE STATUS = '{s}') AS STATUS_{s}_SUM" for s in _STATUS) + """,
     count(*) AS n_months,
     CAST(coalesce(sum(STATUS_INT), 0) AS BIGINT) AS STATUS_INT_SUM,
     coalesce(sum(DELAY_SERIOUSITY), 0) AS DELAY_SERIOUSITY_SUM,
@@ -29,15 +47,15 @@ _BB = _H + """
     1 * STATUS_1_SUM + 2 * STATUS_2_SUM + 3 * STATUS_3_SUM + 4 * STATUS_4_SUM + 5 * STATUS_5_SUM AS WEIGHTED_DELAY_SUM
   FROM bb)
 , bb3 AS (SELECT *, """ + ", ".join(
-    f"CAST({b}_SUM AS DOUBLE) / nullif(ACTIVE_MONTHS, 0) AS {b}_RATIO" for b in BH.RATIO_BASES) + """,
+    f"CAST({b}_SUM AS DOUBLE) / nullif(ACTIVE_MONTHS, 0) AS {b}_RATIO" for b in _RATIOS) + """,
     CAST(DELAYED_ONCE_OR_MORE AS DOUBLE) / nullif(ACTIVE_MONTHS, 0) AS DLYED_OOM_RATIO
   FROM bb2)"""
 
-_BB_COLS = ([f"STATUS_{s}_SUM" for s in BH.STATUS_CODES if s != "C"]
+_BB_COLS = ([f"STATUS_{s}_SUM" for s in _STATUS if s != "C"]
             + ["STATUS_INT_SUM", "DELAY_SERIOUSITY_SUM", "ACTIVE_LAST_MONTH", "ACTIVE_MONTHS",
                "DELAYED_ONCE_OR_MORE", "WEIGHTED_DELAY_SUM", "DLYED_OOM_RATIO"]
-            + [f"{b}_RATIO" for b in BH.RATIO_BASES])
-_BB_DOUBLES = {"DELAY_SERIOUSITY_SUM", "DLYED_OOM_RATIO"} | {f"{b}_RATIO" for b in BH.RATIO_BASES}
+            + [f"{b}_RATIO" for b in _RATIOS])
+_BB_DOUBLES = {"DELAY_SERIOUSITY_SUM", "DLYED_OOM_RATIO"} | {f"{b}_RATIO" for b in _RATIOS}
 
 
 def _loans_sql(fix_active: bool) -> str:
@@ -72,7 +90,7 @@ def _loans_sql(fix_active: bool) -> str:
   FROM loans2 LEFT JOIN g1 ON loans2.SK_ID_BUREAU = g1.id1 LEFT JOIN g2 ON loans2.SK_ID_BUREAU = g2.id2)"""
 
 
-_BH_INTS = INT_COLS | {f"STATUS_{s}_SUM" for s in BH.STATUS_CODES} | {
+_BH_INTS = INT_COLS | {f"STATUS_{s}_SUM" for s in _STATUS} | {
     "STATUS_INT_SUM", "ACTIVE_MONTHS", "DELAYED_ONCE_OR_MORE", "WEIGHTED_DELAY_SUM", "ACTIVE_LAST_MONTH",
     "DAYS_DIFF", "DAYS_ENDDATE_DIFF", "BUREAU_LOAN_COUNT", "BUREAU_LOAN_TYPE"}
 
@@ -80,7 +98,7 @@ _BH_INTS = INT_COLS | {f"STATUS_{s}_SUM" for s in BH.STATUS_CODES} | {
 def _behaviour_sql(fix_active: bool) -> str:
     def spec(prefix):
         return ", ".join(f"{sql_stat(c, s, c in _BH_INTS)} AS {prefix}{c}_{s.upper()}"
-                         for c, stats in BH.BEHAVIOUR_AGG.items() for s in stats)
+                         for c, stats in _AGG.items() for s in stats)
     return with_roles("credit", "hist") + ", " + _loans_sql(fix_active) + f"""
 , buro AS (SELECT SK_ID_CURR, {spec('BURO_')} FROM loans GROUP BY SK_ID_CURR)
 , clo AS (SELECT SK_ID_CURR, {spec('CLOSED_')} FROM loans WHERE CREDIT_ACTIVE = 'Closed' GROUP BY SK_ID_CURR)

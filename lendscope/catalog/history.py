@@ -15,6 +15,25 @@ from ..sources import roles
 from .common import finish, query, r, sql_stat
 from .sqlroles import INT_COLS, with_roles
 
+# Fixed values, written out once more for the oracle.
+_STATUS = ["0", "1", "2", "3", "4", "5", "C", "X"]
+_SENTINEL_DAYS = ["DAYS_FIRST_DRAWING", "DAYS_FIRST_DUE", "DAYS_LAST_DUE_1ST_VERSION",
+                  "DAYS_LAST_DUE", "DAYS_TERMINATION"]
+_PREV_AGG = {
+    "AMT_ANNUITY": ["max", "mean"], "AMT_APPLICATION": ["max", "mean"], "AMT_CREDIT": ["max", "mean"],
+    "APP_CREDIT_PERC": ["max", "mean"], "AMT_DOWN_PAYMENT": ["max", "mean"], "AMT_GOODS_PRICE": ["max", "mean"],
+    "HOUR_APPR_PROCESS_START": ["max", "mean"], "RATE_DOWN_PAYMENT": ["max", "mean"],
+    "DAYS_DECISION": ["max", "mean"], "CNT_PAYMENT": ["mean", "sum"],
+}
+_POS_AGG = {
+    "MONTHS_BALANCE": ["max", "mean", "size"], "SK_DPD": ["max", "mean"], "SK_DPD_DEF": ["max", "mean"],
+}
+_INSTAL_AGG = {
+    "NUM_INSTALMENT_VERSION": ["nunique"], "DPD": ["max", "mean", "sum"], "DBD": ["max", "mean", "sum"],
+    "PAYMENT_PERC": ["mean", "var"], "PAYMENT_DIFF": ["mean", "var"], "AMT_INSTALMENT": ["max", "mean", "sum"],
+    "AMT_PAYMENT": ["min", "max", "mean", "sum"], "DAYS_ENTRY_PAYMENT": ["max", "mean", "sum"],
+}
+_CARD_STATS = ["max", "mean", "sum", "var"]
 PREV_STATUS = ["Approved", "Canceled", "Refused"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 RETURN_FLAGS = ["A", "N", "R"]
@@ -49,21 +68,21 @@ def _effective(declared: dict, mean_cols) -> dict:
 # ------------------------------------------------------------------ B-6
 _PREV_NUM = ["AMT_ANNUITY", "AMT_APPLICATION", "AMT_CREDIT", "AMT_DOWN_PAYMENT", "AMT_GOODS_PRICE",
              "HOUR_APPR_PROCESS_START", "RATE_DOWN_PAYMENT", "DAYS_DECISION", "CNT_PAYMENT",
-             *HI.PREV_SENTINEL_DAYS]
+             *_SENTINEL_DAYS]
 
 
 def _prev_sql() -> str:
     d1, n1 = _dummies("NAME_CONTRACT_TYPE", PRIORITIES)
     d2, n2 = _dummies("NAME_CONTRACT_STATUS", PREV_STATUS)
     ints = INT_COLS | set(n1) | set(n2)
-    spec = _effective(HI.PREV_NUM_AGG, _PREV_NUM + n1 + n2)
-    repl = ", ".join(f"CASE WHEN {c} = 365243 THEN NULL ELSE {c} END AS {c}" for c in HI.PREV_SENTINEL_DAYS)
+    spec = _effective(_PREV_AGG, _PREV_NUM + n1 + n2)
+    repl = ", ".join(f"CASE WHEN {c} = 365243 THEN NULL ELSE {c} END AS {c}" for c in _SENTINEL_DAYS)
     return with_roles("prev") + f"""
 , p AS (SELECT prev.* EXCLUDE (NAME_CONTRACT_TYPE, NAME_CONTRACT_STATUS) REPLACE ({repl}),
         {', '.join(d1 + d2)}, AMT_APPLICATION / nullif(AMT_CREDIT, 0) AS APP_CREDIT_PERC FROM prev)
 , a AS (SELECT SK_ID_CURR, {_items(spec, 'PREV_', ints)} FROM p GROUP BY SK_ID_CURR)
-, ap AS (SELECT SK_ID_CURR, {_items(HI.PREV_NUM_AGG, 'APPROVED_', ints)} FROM p WHERE "NAME_CONTRACT_STATUS_Approved" = 1 GROUP BY SK_ID_CURR)
-, rf AS (SELECT SK_ID_CURR, {_items(HI.PREV_NUM_AGG, 'REFUSED_', ints)} FROM p WHERE "NAME_CONTRACT_STATUS_Refused" = 1 GROUP BY SK_ID_CURR)
+, ap AS (SELECT SK_ID_CURR, {_items(_PREV_AGG, 'APPROVED_', ints)} FROM p WHERE "NAME_CONTRACT_STATUS_Approved" = 1 GROUP BY SK_ID_CURR)
+, rf AS (SELECT SK_ID_CURR, {_items(_PREV_AGG, 'REFUSED_', ints)} FROM p WHERE "NAME_CONTRACT_STATUS_Refused" = 1 GROUP BY SK_ID_CURR)
 SELECT a.*, ap.* EXCLUDE (SK_ID_CURR), rf.* EXCLUDE (SK_ID_CURR)
 FROM a LEFT JOIN ap ON a.SK_ID_CURR = ap.SK_ID_CURR LEFT JOIN rf ON a.SK_ID_CURR = rf.SK_ID_CURR"""
 
@@ -80,7 +99,7 @@ _POS_NUM = ["MONTHS_BALANCE", "CNT_INSTALMENT", "CNT_INSTALMENT_FUTURE", "SK_DPD
 
 def _pos_sql() -> str:
     d, n = _dummies("NAME_CONTRACT_STATUS", RETURN_FLAGS)
-    spec = _effective(HI.POS_AGG, _POS_NUM + n)
+    spec = _effective(_POS_AGG, _POS_NUM + n)
     return with_roles("pos") + f"""
 , p AS (SELECT pos.* EXCLUDE (NAME_CONTRACT_STATUS), {', '.join(d)} FROM pos)
 SELECT SK_ID_CURR, {_items(spec, 'POS_', INT_COLS | set(n))}, count(*) AS POS_COUNT FROM p GROUP BY SK_ID_CURR"""
@@ -116,7 +135,7 @@ _INSTAL_RAW = ["NUM_INSTALMENT_VERSION", "NUM_INSTALMENT_NUMBER", "DAYS_INSTALME
 
 
 def _instal_sql() -> str:
-    spec = _effective(HI.INSTAL_AGG, _INSTAL_RAW)
+    spec = _effective(_INSTAL_AGG, _INSTAL_RAW)
     return with_roles("instal") + f"""
 , i AS (SELECT *, AMT_PAYMENT / nullif(AMT_INSTALMENT, 0) AS PAYMENT_PERC, AMT_INSTALMENT - AMT_PAYMENT AS PAYMENT_DIFF,
         greatest(DAYS_ENTRY_PAYMENT - DAYS_INSTALMENT, 0) AS DPD, greatest(DAYS_INSTALMENT - DAYS_ENTRY_PAYMENT, 0) AS DBD
@@ -134,7 +153,7 @@ def installment_features(spark, base):
 def _card_sql() -> str:
     d, n = _dummies("NAME_CONTRACT_STATUS", EVENT_TYPES)
     cols = ["MONTHS_BALANCE", "AMT_BALANCE", "CNT_DRAWINGS_CURRENT"] + n
-    spec = {c: HI.CARD_STATS for c in cols}
+    spec = {c: _CARD_STATS for c in cols}
     return with_roles("card") + f"""
 , c AS (SELECT card.* EXCLUDE (NAME_CONTRACT_STATUS, SK_ID_PREV), {', '.join(d)} FROM card)
 SELECT SK_ID_CURR, {_items(spec, 'CC_', INT_COLS | set(n))}, count(*) AS CC_COUNT FROM c GROUP BY SK_ID_CURR"""
@@ -203,7 +222,7 @@ def category_share(spark, base):
 
 
 @query("category_counts", with_roles("hist") + "SELECT SK_ID_BUREAU, " + ", ".join(
-    f"count(*) FILTER (WHERE STATUS = '{s}') AS STATUS_{s}_COUNT" for s in BH.STATUS_CODES)
+    f"count(*) FILTER (WHERE STATUS = '{s}') AS STATUS_{s}_COUNT" for s in _STATUS)
     + " FROM hist GROUP BY SK_ID_BUREAU")
 def category_counts(spark, base):
     """A-12: count of each category per credit via pivot over a fixed vocabulary (no discovery job)."""

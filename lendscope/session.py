@@ -21,7 +21,7 @@ SCALE_DEFAULTS = {
     # A builder that computes ~100 statistics in one aggregate carries a buffer of 2-3 fields
     # per statistic; above this many fields Spark runs the stage interpreted. Aggregate functions
     # are compiled into split methods, so a high limit makes no oversized ones.
-    "spark.sql.codegen.maxFields": "300",
+    "spark.sql.codegen.maxFields": "250",
     "spark.ui.enabled": "false",
 }
 
