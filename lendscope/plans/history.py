@@ -89,17 +89,20 @@ def pos_changed_contract(pos: DataFrame) -> DataFrame:
     comparison counts as changed); per applicant, POS_COUNT and the mean of
     that flag over its contracts. Two-level roll-up (A-15) + left join (J-2).
 
-    The rows are read once, into counts and bounds per (applicant, contract); both levels
-    come from that table. A contract with several applicants belongs to the largest id."""
+    The rows are read once, into counts and bounds per (applicant, contract); one further
+    aggregate rolls those up by applicant and by contract side by side. A contract with
+    several applicants belongs to the largest id."""
     pairs = pos.groupBy("SK_ID_CURR", "SK_ID_PREV").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("CNT_INSTALMENT").alias("_lo"), F.max("CNT_INSTALMENT").alias("_hi"))
-    counts = pairs.groupBy("SK_ID_CURR").agg(F.sum("_n").alias("POS_COUNT"))
-    per_contract = pairs.groupBy("SK_ID_PREV").agg(
-        F.max("SK_ID_CURR").alias("SK_ID_CURR"),
-        differs_or_missing(F.max("_hi"), F.min("_lo")).alias("POS_CHANGED_CONTRACT"))
-    flags = per_contract.groupBy("SK_ID_CURR").agg(F.avg("POS_CHANGED_CONTRACT").alias("POS_CHANGED_CONTRACT"))
-    return counts.join(flags, "SK_ID_CURR", "left").select(
-        "SK_ID_CURR", F.col("POS_COUNT").cast("double").alias("POS_COUNT"), "POS_CHANGED_CONTRACT")
+        F.count(F.lit(1)).alias("n"), F.min("CNT_INSTALMENT").alias("lo"), F.max("CNT_INSTALMENT").alias("hi"))
+    by_applicant = F.struct(F.col("SK_ID_CURR").alias("c"), F.lit(None).alias("p"), "n", F.lit(None).alias("own"),
+                            F.lit(None).alias("lo"), F.lit(None).alias("hi"))
+    by_contract = F.struct(F.lit(None).alias("c"), F.col("SK_ID_PREV").alias("p"), F.lit(None).alias("n"),
+                           F.col("SK_ID_CURR").alias("own"), "lo", "hi")
+    both = (pairs.select(F.explode(F.array(by_applicant, by_contract)).alias("x")).select("x.*").groupBy("c", "p")
+            .agg(F.sum("n").alias("n"), F.max("own").alias("own"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+    flag = F.when(F.col("c").isNull(), differs_or_missing(F.col("hi"), F.col("lo")))
+    return (both.select(F.coalesce("c", "own").alias("SK_ID_CURR"), "n", flag.alias("flag")).groupBy("SK_ID_CURR")
+            .agg(F.sum("n").cast("double").alias("POS_COUNT"), F.avg("flag").alias("POS_CHANGED_CONTRACT")))
 
 
 def pos_n_contract(pos: DataFrame) -> DataFrame:

@@ -143,3 +143,10 @@ def test_contract_rollup_reads_its_rows_once(spark):
     pos = spark.createDataFrame(rows, "SK_ID_CURR long, SK_ID_PREV long, CNT_INSTALMENT double")
     got = {r[0]: (r[1], r[2]) for r in HI.pos_changed_contract(pos).collect()}
     assert got == {1: (4.0, 0.0), 2: (2.0, 1.0), 3: (1.0, 0.0)}      # contract 11 belongs to applicant 2
+
+
+def test_contract_rollup_plan(spark):
+    out = HI.pos_changed_contract(roles.pos_cash(spark, SF_SMALL))
+    out._jdf.collectToPython()
+    plan = plan_of(out)
+    assert plan.count("lineitem.parquet") == 1 and plan.count("orders.parquet") == 1
