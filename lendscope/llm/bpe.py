@@ -152,6 +152,9 @@ def bpe_encode(docs: DataFrame, ranks: str, pattern: str = public_tokenizers.PAT
     With `tokens` (see `token_bytes`) also `decoded`, looked up from the ids in the same task:
     the round trip then needs no second Python worker beside the first.
 
+    `docs` should be a stored table: a chunk that is computed again after an executor was
+    lost must hold the same rows in the same order.
+
     One row per input row, so null and repeated ids stay; a null text counts as empty and
     has no ids; an empty table gives an empty result.
     """

@@ -106,11 +106,14 @@ def _ranges(codes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
 
 
 def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text",
-                    chunk_bytes: int = 1 << 23, bucket_bytes: int = 1 << 25, whole_as_is: bool = False) -> DataFrame:
+                    chunk_bytes: int = 1 << 22, bucket_bytes: int = 1 << 24, whole_as_is: bool = False) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept (the text of the kept words joined
     by one space; with `whole_as_is`, a text that loses no word stays as it is).
     The id may be a struct, which carries further columns along.
 
+    `docs` should be a stored table: a chunk that is computed again after an executor was
+    lost must hold the same rows in the same order.
+
     `window` is odd. A null text has no words; texts under `window` words keep all of theirs.
     Repeated rows are documents of their own, so all of their windows repeat and none of them
     keeps those. An empty table gives an empty result. A bucket of step 1 takes the codes of
@@ -148,13 +151,15 @@ def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
         chunk = rows["chunk"].to_pylist()
         codes = [unpack_sorted(x) for x in rows["codes"].to_pylist()]
         marks = np.concatenate([unpack(x, np.uint8) for x in rows["marks"].to_pylist()])
-        flat = np.concatenate(codes)
-        distinct, of, count = np.unique(flat, return_inverse=True, return_counts=True)
-        reference, again = np.zeros(len(distinct), bool), count > 1
-        reference[of[marks & FIRST > 0]] = True
-        again[of[marks & AGAIN > 0]] = True
-        hit = (reference & again)[of]
         at = np.cumsum([0, *map(len, codes)])
+        flat = np.concatenate(codes)
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        held = np.bitwise_or.reduceat(marks[order], first)
+        count = np.diff(first, append=len(flat))
+        hit = np.zeros(len(flat), bool)
+        hit[order] = np.repeat((held & FIRST > 0) & ((count > 1) | (held & AGAIN > 0)), count)
         found = [c[hit[a:b]] for c, a, b in zip(codes, at[:-1], at[1:], strict=True)]
         return pa.table({"chunk": pa.array(chunk, pa.int64()), "hits": pa.array([pack_sorted(x) for x in found], pa.binary())}) \
             .filter(pa.array([len(x) > 0 for x in found]))
