@@ -84,11 +84,10 @@ def category_long(df: DataFrame, key: str, columns: Iterable[str] | None = None)
     return counts.join(rows, key).select(key, "column", "value", "count", (F.col("count") / F.col("_rows")).alias("share"))
 
 
-def one_hot_exprs(column: str, levels: Iterable[str], dummy_na: bool,
-                  as_double: bool = False) -> dict[str, Column]:
+def one_hot_exprs(column: str, levels: Iterable[str], dummy_na: bool) -> dict[str, Column]:
     """{`COL_value`: 0/1 column} for each level, plus `COL_nan` when `dummy_na`."""
     c = quoted(column)
-    one, zero = (F.lit(1.0), F.lit(0.0)) if as_double else (F.lit(1), F.lit(0))
+    one, zero = F.lit(1), F.lit(0)
     out = {f"{column}_{v}": F.when(c == F.lit(v), one).otherwise(zero) for v in levels}
     if dummy_na:
         out[f"{column}_nan"] = F.when(c.isNull(), one).otherwise(zero)

@@ -52,20 +52,18 @@ def category_counts(df: DataFrame, category: str, id_col: str, out: str = "count
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Equal-width histogram as a table (A-23): bin index, lower/upper edge, count.
 
-    Edges come from one min/max aggregate (two scalars). The last bin is closed
-    on the right, as in numpy/matplotlib. Empty bins are not listed.
+    Edges come from one min/max aggregate, a scalar subquery of the plan. The last bin is
+    closed on the right, as in numpy/matplotlib. Empty bins are not listed.
     """
-    lo, hi = df.agg(F.min(column), F.max(column)).first()
-    if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, count bigint")
-    lo, hi = float(lo), float(hi)
-    width = (hi - lo) / bins if hi > lo else 1.0
     v = F.col(column).cast("double")
-    b = F.least(F.floor((v - F.lit(lo)) * F.lit(float(bins)) / F.lit(hi - lo if hi > lo else 1.0)),
-                F.lit(bins - 1)).cast("int")
-    counts = df.filter(F.col(column).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    return counts.select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("lower"),
-                         (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"), "count")
+    ends = df.agg(F.struct(F.min(v).alias("lo"), F.max(v).alias("hi")).alias("ends")).scalar()
+    known = df.filter(v.isNotNull()).select(v.alias("v"), ends.alias("e"))
+    lo, span = F.col("e.lo"), F.col("e.hi") - F.col("e.lo")
+    at = F.least(F.floor((F.col("v") - lo) * F.lit(float(bins)) / F.when(span > 0, span).otherwise(1.0)), F.lit(bins - 1))
+    width = F.when(span > 0, span / F.lit(float(bins))).otherwise(1.0)
+    counts = known.groupBy(at.cast("int").alias("bin"), lo.alias("lo"), width.alias("width")).agg(F.count(F.lit(1)).alias("count"))
+    return counts.select("bin", (F.col("lo") + F.col("bin") * F.col("width")).alias("lower"),
+                         (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("upper"), "count")
 
 
 def global_stats(df: DataFrame, column: str) -> DataFrame:
