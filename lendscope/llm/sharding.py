@@ -1,12 +1,15 @@
 """Sharding by vector bin packing: balance bytes, tokens and rows jointly.
 
-Rows of one text stay together unless their group is large; the placement works on
-*units* whose number is bounded by the parameters, never by the data:
+Rows of one text stay together unless their group holds more than `whole` of a shard's
+mean load; the placement works on *units* whose number is bounded by the parameters,
+never by the data:
 
 * small groups are dealt by the hash of their text to a fixed number of bundles;
-* a group above `share` of a shard's mean load (in bytes, tokens or rows) is split by
-  the hash of its id into as many units as it needs, so a text that holds a third of
-  all rows still spreads over the shards. At most 3 * shards / share such groups exist.
+* a group above `share` of a shard's mean load (in bytes, tokens or rows) is a unit of
+  its own. At most 3 * shards / share such groups exist;
+* a group above `whole` of a shard's mean load does not fit a shard well: its rows are
+  split by the hash of id and row into units of about `share`, so a text that holds a
+  third of all rows still spreads over the shards, whether or not its ids differ.
 
 Units are placed largest first, each into the shard where the dot product of the
 unit's load with the shard's residual capacity (all three normalised by the totals) is
@@ -16,6 +19,9 @@ as long as that lowers the spread of bytes. The driver sees unit totals only.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -69,7 +75,7 @@ def even_out(size: np.ndarray, shard: np.ndarray, shards: int, rounds: int = 400
 
 def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text",
                     row_bytes: int = 16, bundles_per_shard: int = 128, share: float = 1 / 64,
-                    slot_rows: int = 1 << 18) -> DataFrame:
+                    whole: float = 1 / 2, slot_rows: int = 1 << 18) -> DataFrame:
     """One row per input row: id, size, text_crc32, law ('bytes'), shard, slot, grown_shard (null).
 
     size = UTF-8 bytes + `row_bytes`; null text counts as none. Null ids are placed
@@ -83,18 +89,21 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
         F.col(id_col).alias("id"), F.xxhash64("t").alias("h"),
         (F.octet_length("t") + F.lit(row_bytes)).cast("long").alias("size"),
         F.regexp_count("t", F.lit(WORD)).cast("long").alias("tokens"),
-        F.crc32(F.col("t").cast("binary")).alias("crc")), "shard-rows")
+        F.crc32(F.col("t").cast("binary")).alias("crc"),
+        F.monotonically_increasing_id().alias("row")), "shard-rows")       # stored: the same in every later read
 
     total = slim.agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("size"), F.sum("tokens").alias("tokens")).first()
-    limit = {c: max(1.0, (total[c] or 0) * share / shards) for c in ("rows", "size", "tokens")}
-    parts = F.greatest(*[F.ceil(F.col(c) / F.lit(limit[c])) for c in limit]).cast("int")
+    mean = {c: (total[c] or 0) / shards for c in ("rows", "size", "tokens")}
+    limit = {c: max(1.0, mean[c] * share) for c in mean}
+    parts = F.greatest(*[F.ceil(F.col(c) / F.lit(limit[c])) for c in limit])
+    large = reduce(or_, [F.col(c) > F.lit(mean[c] * whole) for c in mean])
     # At most 3 * shards / share groups exceed a limit, whatever the input: a bounded list.
     hot = (slim.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("size"), F.sum("tokens").alias("tokens"))
-           .select("h", parts.alias("parts")).filter("parts > 1"))
+           .filter(parts > 1).select("h", F.when(large, F.least(parts, "rows")).otherwise(1).cast("long").alias("parts")))
     hot = stored(hot, "shard-hot")
     bundles = shards * bundles_per_shard
     unit = F.when(F.col("parts").isNull(), F.struct(F.lit(0).cast("long").alias("g"), F.pmod("h", F.lit(bundles)).cast("long").alias("k"))) \
-        .otherwise(F.struct(F.col("h").alias("g"), (F.lit(bundles) + F.pmod(F.xxhash64("id", F.lit(7)), F.col("parts").cast("long"))).alias("k")))
+        .otherwise(F.struct(F.col("h").alias("g"), (F.lit(bundles) + F.pmod(F.xxhash64("id", "row"), "parts")).alias("k")))
     rows = slim.join(F.broadcast(hot), "h", "left").withColumn("unit", unit)
 
     units = (rows.groupBy("unit").agg(F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))

@@ -35,6 +35,29 @@ def test_small_groups_stay_together(spark):
     assert all(where.setdefault(text[r["doc_id"]], r["shard"]) == r["shard"] for r in got)
 
 
+def test_groups_within_half_a_shard_stay_whole_with_many_shards(spark):
+    rnd = __import__("random").Random(3)
+    rows, n = [], 0
+    for copies in [12, 9, 7, 5, 4, 3, 3] + [2] * 60 + [1] * 837:               # 1,000 rows, 25 a shard
+        text = corpus.prose(rnd, 20)
+        rows += [(n + i, text) for i in range(copies)]
+        n += copies
+    got, text, where = run(corpus.table(spark, rows), shards=40), dict(rows), {}
+    assert len(got) == 1000
+    assert all(where.setdefault(text[r["doc_id"]], r["shard"]) == r["shard"] for r in got)
+    size = np.bincount([r["shard"] for r in got], weights=[r["size"] for r in got], minlength=40)
+    assert size.max() / size.min() < 1.05
+
+
+def test_a_large_group_spreads_without_distinct_ids(spark):
+    for same in (None, 7):
+        rows = [(same, "the one hot text") if i % 3 == 0 else (i, corpus.prose(__import__("random").Random(i), 20)) for i in range(3000)]
+        got = run(corpus.table(spark, rows), shards=8)
+        size = np.bincount([r["shard"] for r in got], weights=[r["size"] for r in got], minlength=8)
+        count = np.bincount([r["shard"] for r in got], minlength=8)
+        assert len(got) == 3000 and size.max() / size.min() < 1.02 and count.max() / count.min() < 1.6
+
+
 def test_empty_and_tiny_tables(spark):
     assert shard_documents(corpus.empty(spark)).count() == 0
     assert len(run(corpus.table(spark, [(1, None)]))) == 1
