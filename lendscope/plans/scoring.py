@@ -8,20 +8,23 @@ differs, so model quality is reported, not matched.
 Scale notes: the assembled feature table is checkpointed once to the shared
 checkpoint folder before the k fits (every fit re-reads it, and a lost
 executor re-reads files instead of recomputing the whole feature DAG). Early
-stopping uses Spark's `validationIndicatorCol` with the held-out fold, like the
-reference's eval-set early stopping.
+stopping looks at the held-out fold with a patience and keeps its best round, like the
+reference's eval-set early stopping; Spark's own `validationIndicatorCol` has no
+patience and ends at the first round that gets worse.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark import inheritable_thread_target
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -46,15 +49,51 @@ def _assemble(df: DataFrame, feats: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep").transform(filled)
 
 
-def kfold_gbt(df: DataFrame, k: int = 5, seed: int = EV.DEFAULT_SEED, max_iter: int = 50,
+def best_round(loss: list[float], patience: int) -> tuple[int, bool]:
+    """(best round from 1, whether `patience` rounds after it brought no better one)."""
+    best = 0
+    for i, v in enumerate(loss):
+        if v < loss[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first `rounds` trees."""
+    j, jvm = model._java_obj, SparkSession.active().sparkContext._jvm
+    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        f"{model.uid}_{rounds}", j.trees()[:rounds], j.treeWeights()[:rounds], model.numFeatures, model.numClasses)
+    return GBTClassificationModel(cut).setFeaturesCol(model.getFeaturesCol())
+
+
+def fit_patiently(gbt: GBTClassifier, train: DataFrame, valid: DataFrame, max_iter: int,
+                  patience: int) -> tuple[GBTClassificationModel, int, int]:
+    """(model of the best round, best round, rounds trained) by the log loss of `valid`.
+
+    Spark cannot go on from a trained model, so a run whose last `patience` rounds still
+    hold the best one is repeated with twice the rounds, up to `max_iter`."""
+    rounds = min(max_iter, patience + max(50, patience // 4))
+    while True:
+        model = gbt.copy({gbt.maxIter: rounds}).fit(train)
+        best, stopped = best_round(model.evaluateEachIteration(valid), patience)
+        if stopped or rounds >= max_iter:
+            return first_rounds(model, best), best, rounds
+        rounds = min(max_iter, 2 * rounds)
+
+
+def kfold_gbt(df: DataFrame, k: int = 5, seed: int = EV.DEFAULT_SEED, max_iter: int = 10_000, patience: int = 200,
               max_depth: int = 5, step_size: float = 0.1, subsampling: float = 0.87,
               feature_subset: str = "0.95", id_col: str = "SK_ID_CURR", label: str = "TARGET",
               stratified: bool = False, folder: str | None = None) -> dict[str, DataFrame]:
     """B-13: k-fold boosted trees on the train rows (label not NULL).
 
+    Each fold trains until `patience` rounds bring no better log loss of the held-out fold
+    (at most `max_iter` rounds) and keeps its best round; the folds train side by side.
     `stratified` deals the folds inside each label. Returns frames: `oof` (id, fold, label,
     pred), `test` (id, fold-averaged pred), `fold_auc` (fold, auc; fold -1 = all out-of-fold
-    rows) and `importance` (feature, importance, fold). The feature table and the predictions
+    rows), `importance` (feature, importance, fold) and `rounds` (fold, best, trained). The feature table and the predictions
     are checkpointed in the shared folder (`folder`, else the session's): each model scores
     its rows once.
     """
@@ -63,13 +102,17 @@ def kfold_gbt(df: DataFrame, k: int = 5, seed: int = EV.DEFAULT_SEED, max_iter:
     train = base.filter(F.col(label).isNotNull())
     train = EV.stratified_kfold(train, id_col, label, k, seed) if stratified else EV.kfold(train, id_col, k, seed)
     train_v, test_v = _assemble(train, feats), _assemble(base.filter(F.col(label).isNull()), feats)
+    gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxDepth=max_depth, stepSize=step_size,
+                        subsamplingRate=subsampling, featureSubsetStrategy=feature_subset, seed=seed)
+    train_v = train_v.withColumn("_y", F.col(label).cast("double"))
+
+    def fit(f: int) -> tuple[GBTClassificationModel, int, int]:
+        return fit_patiently(gbt, train_v.filter(F.col("fold") != f), train_v.filter(F.col("fold") == f), max_iter, patience)
+
+    with ThreadPool(k) as pool:
+        fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(k))
     oof_parts, test_parts, importances = [], [], []
-    for f in range(k):
-        gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxIter=max_iter, maxDepth=max_depth,
-                            stepSize=step_size, subsamplingRate=subsampling,
-                            featureSubsetStrategy=feature_subset, seed=seed,
-                            validationIndicatorCol="_valid", validationTol=0.0)
-        model = gbt.fit(train_v.withColumns({"_y": F.col(label).cast("double"), "_valid": F.col("fold") == f}))
+    for f, (model, _, _) in enumerate(fitted):
         prob1 = vector_to_array(F.col("probability"))[1]
         valid = model.transform(train_v.filter(F.col("fold") == f))
         oof_parts.append(valid.select(id_col, "fold", F.col(label).alias("label"), prob1.alias("pred")))
@@ -81,6 +124,7 @@ def kfold_gbt(df: DataFrame, k: int = 5, seed: int = EV.DEFAULT_SEED, max_iter:
         "test": materialize(EV.fold_average(test_parts, id_col, "pred"), folder),
         "fold_auc": EV.auc_by_fold(oof, "pred", "label"),
         "importance": df.sparkSession.createDataFrame(importances, "feature string, importance double, fold int"),
+        "rounds": df.sparkSession.createDataFrame([(f, b, n) for f, (_, b, n) in enumerate(fitted)], "fold int, best int, trained int"),
     }
 
 

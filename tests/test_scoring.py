@@ -41,6 +41,28 @@ def test_scoring_run_outputs(spark, stratified):
     assert best["feature"] == "x"
 
 
+def test_best_round_waits_for_its_patience():
+    loss = [5.0, 4.0, 4.5, 4.2, 3.0, 3.5, 3.4, 3.3, 1.0]
+    assert SC.best_round(loss, 2) == (2, True) and SC.best_round(loss, 3) == (5, True) and SC.best_round(loss, 4) == (9, False)
+
+
+def test_folds_train_past_their_best_round_and_keep_it(spark):
+    df, k, patience = planted(spark), 2, 6
+    out = SC.kfold_gbt(df, k=k, max_depth=2, patience=patience)
+    rounds = {r["fold"]: (r["best"], r["trained"]) for r in out["rounds"].collect()}
+    pred = {r["SK_ID_CURR"]: r["pred"] for r in out["oof"].collect()}
+    train = SC._assemble(EV.kfold(df.filter("TARGET is not null"), "SK_ID_CURR", k), ["x", "z"]).withColumn("_y", F.col("TARGET").cast("double"))
+    for f in range(k):
+        best, trained = rounds[f]
+        assert trained - best >= patience                             # no cap bound
+        gbt = SC.GBTClassifier(labelCol="_y", maxIter=best, maxDepth=2, stepSize=0.1, subsamplingRate=0.87,
+                               featureSubsetStrategy="0.95", seed=EV.DEFAULT_SEED)
+        valid = train.filter(F.col("fold") == f)
+        got = gbt.fit(train.filter(F.col("fold") != f)).transform(valid)
+        assert {r[0]: r[1] for r in got.select("SK_ID_CURR", SC.vector_to_array("probability")[1]).collect()} == pytest.approx(
+            {r["SK_ID_CURR"]: pred[r["SK_ID_CURR"]] for r in valid.collect()})
+
+
 @pytest.mark.parametrize("labels", ["sampled", "expected"])
 def test_reject_inference(spark, labels):
     df = planted(spark, 600).na.drop(subset=["TARGET"]).na.fill(0.5)
