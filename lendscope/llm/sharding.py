@@ -14,7 +14,8 @@ never by the data:
 Units are placed largest first, each into the shard where the dot product of the
 unit's load with the shard's residual capacity (all three normalised by the totals) is
 highest; then units are moved or swapped between the fullest and the emptiest shards
-as long as that lowers the spread of bytes. The driver sees unit totals only.
+as long as that lowers the spread of bytes and takes neither tokens nor rows further from
+their mean (beyond a tolerance). Blank-separated words stand in for tokens. The driver sees unit totals only.
 """
 
 from __future__ import annotations
@@ -45,10 +46,16 @@ def place(loads: np.ndarray, shards: int) -> np.ndarray:
     return out
 
 
-def even_out(size: np.ndarray, shard: np.ndarray, shards: int, rounds: int = 4000) -> np.ndarray:
+def even_out(size: np.ndarray, shard: np.ndarray, shards: int, rounds: int = 4000,
+             others: np.ndarray | None = None, tolerance: float = 0.02) -> np.ndarray:
     """Exchange one unit of the fullest shard for one of the emptiest (or for none)
-    so that the difference of their sizes shrinks most; stop when nothing helps."""
+    so that the difference of their sizes shrinks most; stop when nothing helps.
+
+    `others` (units, measures): an exchange counts only if it leaves both shards within
+    `tolerance` of the mean in each of these, or no further from it than the further one was."""
     total = np.bincount(shard, weights=size, minlength=shards)
+    held = np.zeros((len(size), 0)) if others is None else others / np.maximum(others.sum(axis=0) / shards, 1e-300)
+    load = np.stack([np.bincount(shard, weights=h, minlength=shards) for h in held.T], axis=1) if held.shape[1] else np.zeros((shards, 0))
     for _ in range(rounds):
         a, b = int(total.argmax()), int(total.argmin())
         gap = total[a] - total[b]
@@ -57,15 +64,26 @@ def even_out(size: np.ndarray, shard: np.ndarray, shards: int, rounds: int = 400
             break
         ub = np.append(ub, -1)                                  # -1: move without exchange
         sb = np.append(size[ub[:-1]], 0.0)
-        o = np.argsort(sb, kind="stable")
-        want = size[ua] - gap / 2                               # best size to get back
-        at = np.searchsorted(sb[o], want)
-        near = np.stack([np.clip(at - 1, 0, len(o) - 1), np.clip(at, 0, len(o) - 1)])
-        miss = np.abs(sb[o][near] - want)
-        k = np.unravel_index(int(miss.argmin()), miss.shape)
-        if miss[k] >= gap / 2 - 1e-9:
+        hb = np.vstack([held[ub[:-1]], np.zeros((1, held.shape[1]))])
+        # Every pair, a slice of the fullest shard's units at a time.
+        best = (gap / 2 - 1e-9, -1, -1)
+        bound = np.maximum(tolerance, np.maximum(abs(load[a] - 1), abs(load[b] - 1)))
+        for i in range(0, len(ua), 64):
+            u = ua[i:i + 64]
+            miss = np.abs(size[u][:, None] - sb[None, :] - gap / 2)
+            for j in range(held.shape[1]):
+                move = held[u, j][:, None] - hb[None, :, j]
+                off = np.maximum(np.abs(load[a, j] - move - 1), np.abs(load[b, j] + move - 1))
+                miss = np.where(off <= bound[j] + 1e-12, miss, np.inf)
+            k = np.unravel_index(int(miss.argmin()), miss.shape)
+            if miss[k] < best[0]:
+                best = (miss[k], u[k[0]], ub[k[1]])
+        _, x, y = best
+        if x < 0:
             break
-        x, y = ua[k[1]], ub[o][near[k]]
+        move = held[x] - (held[y] if y >= 0 else 0.0)
+        load[a] -= move
+        load[b] += move
         shard[x] = b
         if y >= 0:
             shard[y] = a
@@ -112,7 +130,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     if units:
         loads = np.array([[u["size"], u["tokens"], u["rows"]] for u in units], dtype=float)
         where = place(loads / np.maximum(loads.sum(axis=0), 1.0), shards)
-        where = even_out(loads[:, 0], where, shards)
+        where = even_out(loads[:, 0], where, shards, others=loads[:, 1:])
         shard_of = [(u["g"], u["k"], int(s)) for u, s in zip(units, where, strict=True)]
     plan = spark.createDataFrame(shard_of, "g long, k long, shard int")
     placed = rows.select("id", "size", "crc", F.col("unit.g").alias("g"), F.col("unit.k").alias("k")) \

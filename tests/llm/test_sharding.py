@@ -71,3 +71,14 @@ def test_placement_balances_every_measure():
     for j in range(3):
         total = np.bincount(shard, weights=loads[:, j], minlength=10)
         assert abs(total - 0.1).max() < 0.01
+
+
+def test_exchanges_by_bytes_keep_the_other_measures():
+    rnd = np.random.default_rng(2)
+    size, rows = rnd.lognormal(0, 1.2, 400), rnd.integers(1, 9, 400).astype(float)
+    loads = np.stack([size, rows], axis=1)
+    before = place(loads / loads.sum(axis=0), 10)
+    after = even_out(size, before.copy(), 10, others=rows[:, None])
+    off = [abs(np.bincount(s, weights=rows, minlength=10) / rows.sum() * 10 - 1).max() for s in (before, after)]
+    spread = [np.ptp(np.bincount(s, weights=size, minlength=10)) for s in (before, after)]
+    assert off[1] <= max(0.02, off[0]) + 1e-9 and spread[1] <= spread[0]
