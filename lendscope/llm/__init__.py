@@ -6,9 +6,11 @@ The subpackage is self-contained: nothing else in the library imports it.
 from . import (
     ann,
     bpe,
+    centroids,
     exact_dedup,
     near_dedup,
     packing,
+    piece_bpe,
     quality,
     sharding,
     substring_dedup,
@@ -16,7 +18,8 @@ from . import (
     token_output,
 )
 
-_MODULES = (bpe, token_counts, packing, exact_dedup, quality, substring_dedup, sharding, token_output, ann, near_dedup)
+_MODULES = (bpe, token_counts, packing, exact_dedup, quality, substring_dedup, sharding, token_output, ann, near_dedup,
+            centroids, piece_bpe)
 
 
 def queries():
