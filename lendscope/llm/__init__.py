@@ -7,6 +7,7 @@ from . import (
     ann,
     bpe,
     centroids,
+    collocations,
     exact_dedup,
     near_dedup,
     packing,
@@ -19,7 +20,7 @@ from . import (
 )
 
 _MODULES = (bpe, token_counts, packing, exact_dedup, quality, substring_dedup, sharding, token_output, ann, near_dedup,
-            centroids, piece_bpe)
+            collocations, centroids, piece_bpe)
 
 
 def queries():
