@@ -3,6 +3,8 @@ and the two model runs (M-1..M-15, A-24, K-16, K-17, B-13, B-14, B-20)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import hash01
@@ -12,6 +14,7 @@ from ..plans import application as A
 from ..plans import bureau as B
 from ..plans import history as HI
 from ..plans import scoring as SC
+from ..session import checkpoint_path
 from ..sources import roles
 from .common import finish, query, r
 from .application import _application_features_sql
@@ -201,6 +204,58 @@ def gbt_stump_oof(spark, base):
     return finish(out["oof"].unionByName(test))
 
 
+def _boosted_sql(rounds: int, step: float) -> str:
+    """Margins of `rounds` trees of depth 1 on the 0/1 feature: per fold model and group, the mean
+    of what the margin leaves over; the first tree counts whole. A fold keeps the round with the
+    least log loss of its held-out rows."""
+    out = """
+, g AS (SELECT k.fold, t.x, avg(t.TARGET) AS m FROM (SELECT range AS fold FROM range(5)) k JOIN t ON t.fold <> k.fold GROUP BY 1, 2)
+, f1 AS (SELECT *, 2 * m - 1 AS f FROM g)"""
+    for i in range(2, rounds + 1):
+        out += f"""
+, f{i} AS (SELECT * REPLACE (f + {step} * (m * 4 / (1 + exp(2 * f)) - (1 - m) * 4 / (1 + exp(-2 * f))) AS f) FROM f{i - 1})"""
+    rows = " UNION ALL ".join(f"SELECT {i} AS round, fold, x, f FROM f{i}" for i in range(1, rounds + 1))
+    return out + f"""
+, r AS ({rows})
+, loss AS (SELECT r.fold, r.round, avg(ln(1 + exp(-2 * (2 * t.TARGET - 1) * r.f))) AS loss FROM r JOIN t ON t.fold = r.fold AND t.x = r.x GROUP BY 1, 2)
+, best AS (SELECT fold, arg_min(round, loss) AS round FROM loss GROUP BY fold)
+, f AS (SELECT r.fold, r.x, 1 / (1 + exp(-2 * r.f)) AS p FROM r JOIN best ON best.fold = r.fold AND best.round = r.round)"""
+
+
+@query("gbt_rounds_oof", _ONE_FEATURE + _boosted_sql(3, 0.1) + f"""
+SELECT t.SK_ID_CURR, t.fold, t.TARGET AS label, {r('f.p')} AS pred FROM t JOIN f ON t.fold = f.fold AND t.x = f.x
+UNION ALL SELECT s.SK_ID_CURR, -1 AS fold, NULL AS label, {r('avg(f.p)')} AS pred
+FROM s JOIN f ON s.x = f.x WHERE s.TARGET IS NULL GROUP BY s.SK_ID_CURR""")
+def gbt_rounds_oof(spark, base):
+    """M-5, B-13 in closed form over several rounds: three trees of depth 1 on a 0/1 feature,
+    the last from stored margins."""
+    out = SC.kfold_gbt(_one_feature(spark, base), k=5, max_iter=3, max_depth=1, subsampling=1.0, feature_subset="all", block=2)
+    test = out["test"].select("SK_ID_CURR", F.lit(-1).alias("fold"), F.lit(None).cast("int").alias("label"), "pred")
+    return finish(out["oof"].unionByName(test))
+
+
+@query("scoring_outputs", _ONE_FEATURE + _boosted_sql(2, 0.1) + f"""
+, o AS (SELECT t.fold, t.TARGET AS label, f.p AS score FROM t JOIN f ON t.fold = f.fold AND t.x = f.x)
+SELECT 'submission' AS output, CAST(s.SK_ID_CURR AS VARCHAR) AS name, -1 AS fold, {r('avg(f.p)')} AS value
+FROM s JOIN f ON s.x = f.x WHERE s.TARGET IS NULL GROUP BY s.SK_ID_CURR
+UNION ALL SELECT 'metrics', 'closed form', CAST(fold AS INTEGER), {r('auc')} FROM {_auc_sql('o', 'fold')}
+UNION ALL SELECT 'metrics', 'closed form', -1, {r('auc')} FROM {_auc_sql('(SELECT *, 0 AS g FROM o)', 'g')}
+UNION ALL SELECT 'importance', 'x', CAST(fold + 1 AS INTEGER), 1.0 FROM g GROUP BY fold HAVING max(m) > min(m)
+""")
+def scoring_outputs(spark, base):
+    """S-4, S-6, B-13, B-14: what a scoring run writes, read back from its files: the submission,
+    the metric log and the importances, here of two trees of depth 1 on one 0/1 feature."""
+    folder = checkpoint_path(spark, f"scoring-{uuid.uuid4().hex}")
+    SC.scoring_run(_one_feature(spark, base), [], folder, "closed form", k=5, max_iter=2, max_depth=1, subsampling=1.0, feature_subset="all")
+    submission = spark.read.option("header", True).schema("SK_ID_CURR long, TARGET double").csv(f"{folder}/submission")
+    return finish(
+        submission.select(F.lit("submission").alias("output"), F.col("SK_ID_CURR").cast("string").alias("name"),
+                          F.lit(-1).alias("fold"), F.col("TARGET").alias("value"))
+        .unionByName(spark.read.parquet(f"{folder}/metrics").select(F.lit("metrics").alias("output"), F.col("run").alias("name"), "fold", F.col("auc").alias("value")))
+        .unionByName(spark.read.parquet(f"{folder}/importance").filter("importance > 0").select(
+            F.lit("importance").alias("output"), F.col("feature").alias("name"), "fold", F.col("importance").alias("value"))))
+
+
 @query("forest_stump", _ONE_FEATURE + f"""
 SELECT t.SK_ID_CURR, {r('m.v')} AS pred FROM t JOIN (SELECT x, avg(TARGET) AS v FROM t GROUP BY x) m ON t.x = m.x""")
 def forest_stump(spark, base):

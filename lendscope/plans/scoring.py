@@ -2,35 +2,36 @@
 
 The reference trains a leaf-wise boosting library per fold and a random
 forest for the reject-inference experiment. Here both are Spark ML learners
-(GBTClassifier, RandomForestRegressor) fitted on DataFrames; the learner
-differs, so model quality is reported, not matched.
+(single trees joined to boosted ensembles, RandomForestRegressor) fitted on DataFrames; the
+learner differs, so model quality is reported, not matched.
 
 Scale notes: the assembled feature table is checkpointed once to the shared
 checkpoint folder before the k fits (every fit re-reads it, and a lost
 executor re-reads files instead of recomputing the whole feature DAG). Early
 stopping looks at the held-out fold with a patience and keeps its best round, like the
-reference's eval-set early stopping; Spark's own `validationIndicatorCol` has no
-patience and ends at the first round that gets worse.
+reference's eval-set early stopping. Spark's boosted trees know no patience and cannot go
+on from a trained model, so the rounds are run here, one Spark tree each.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions import hash01
 from ..operators import evaluation as EV
-from ..session import materialize
+from ..session import drop_stored, materialize, store
 from ..sources.tables import append_metrics, write_table
 from .history import assemble
 
@@ -60,71 +61,123 @@ def best_round(loss: list[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
-    """The model of the first `rounds` trees."""
-    j, jvm = model._java_obj, SparkSession.active().sparkContext._jvm
-    cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        f"{model.uid}_{rounds}", j.trees()[:rounds], j.treeWeights()[:rounds], model.numFeatures, model.numClasses)
-    return GBTClassificationModel(cut).setFeaturesCol(model.getFeaturesCol())
-
-
-def fit_patiently(gbt: GBTClassifier, train: DataFrame, valid: DataFrame, max_iter: int,
-                  patience: int) -> tuple[GBTClassificationModel, int, int]:
-    """(model of the best round, best round, rounds trained) by the log loss of `valid`.
-
-    Spark cannot go on from a trained model, so a run whose last `patience` rounds still
-    hold the best one is repeated with twice the rounds, up to `max_iter`."""
-    rounds = min(max_iter, patience + max(50, patience // 4))
-    while True:
-        model = gbt.copy({gbt.maxIter: rounds}).fit(train)
-        best, stopped = best_round(model.evaluateEachIteration(valid), patience)
-        if stopped or rounds >= max_iter:
-            return first_rounds(model, best), best, rounds
-        rounds = min(max_iter, 2 * rounds)
+def ensemble(kind: type, trees: list, weights: list[float], **columns: str):
+    """A model of `kind` (a GBT model class of Spark ML) that adds up weighted trees, by the
+    public constructor of its JVM class."""
+    sc = SparkSession.active().sparkContext
+    ml = sc._jvm.org.apache.spark.ml
+    package = ml.classification if kind is GBTClassificationModel else ml.regression
+    held = sc._gateway.new_array(ml.regression.DecisionTreeRegressionModel, len(trees))
+    factors = sc._gateway.new_array(sc._jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights, strict=True)):
+        held[i], factors[i] = tree, weight
+    model = kind(getattr(package, kind.__name__)(f"trees_{uuid.uuid4().hex}", held, factors)).setFeaturesCol("features")
+    return model.setPredictionCol(columns["prediction"]) if columns else model
+
+
+def _with_margin(rows: DataFrame, fold: int, fresh: list, step: float) -> DataFrame:
+    """`_f`: the stored margin of the fold's model plus its trees since then. Trees take the
+    step as weight; a model's first tree counts whole."""
+    if not fresh:
+        return rows.withColumn("_f", F.col("_m")[fold])
+    weights = [1.0 if number == 0 else step for number, _ in fresh]
+    model = ensemble(GBTRegressionModel, [tree for _, tree in fresh], weights, prediction="_new")
+    return model.transform(rows).withColumn("_f", F.col("_m")[fold] + F.col("_new"))
+
+
+def boost_folds(matrix: DataFrame, k: int, learner: RandomForestRegressor, max_iter: int, patience: int, step: float,
+                subsampling: float = 1.0, block: int = 25, folder: str | None = None) -> tuple[list[list], list[list[float]]]:
+    """Boosted trees of k fold models under log loss: (trees, held-out losses), per fold a list
+    by round.
+
+    `matrix` has `features`, `_y` (+1 or -1), `fold` and `_id`; model f trains on the other folds.
+    It is stored with a column of the k margins. A round fits one tree per model to what its margins
+    leave over (the negative gradient), the folds side by side (of a share `subsampling` of the
+    rows, by a hash of id and round), and takes the loss of the held-out rows; a model stops when `patience` rounds brought no better one. After `block` rounds the
+    new margins are stored in place of the old ones: nothing is trained twice, a plan holds at
+    most `block` trees, and a lost executor reads the last stored margins again.
+    """
+    spark = matrix.sparkSession
+    state, path = store(matrix.withColumn("_m", F.array_repeat(F.lit(0.0), k)), "boost", folder)
+    trees: list[list] = [[] for _ in range(k)]
+    losses: list[list[float]] = [[] for _ in range(k)]
+    active, kept = list(range(k)), 0
+    y = F.col("_y")
+
+    def one(f: int) -> None:
+        number = len(trees[f])
+        since = list(enumerate(trees[f]))[kept:]
+        left = y if number == 0 else 4.0 * y / (1.0 + F.exp(2.0 * y * F.col("_f")))
+        rows = state.filter(F.col("fold") != f)
+        if subsampling < 1:
+            rows = rows.filter(F.pmod(F.xxhash64("_id", F.lit(learner.getSeed() + number)), F.lit(1 << 20)) < subsampling * (1 << 20))
+        rows = _with_margin(rows, f, since, step).select("features", left.alias("_r"))
+        fitted = learner.copy({learner.seed: learner.getSeed() + number}).fit(rows)
+        trees[f].append(fitted._java_obj.trees()[0])
+        held = _with_margin(state.filter(F.col("fold") == f), f, [*since, (number, trees[f][-1])], step)
+        x = -2.0 * y * F.col("_f")
+        loss = 2.0 * (F.greatest(x, F.lit(0.0)) + F.log1p(F.exp(-F.abs(x))))
+        losses[f].append(held.agg(F.avg(loss)).first()[0])
+
+    while active:
+        with ThreadPool(len(active)) as pool:
+            pool.map(inheritable_thread_target(spark)(one), active)
+        rounds = len(trees[active[0]])
+        active = [f for f in active if rounds < max_iter and losses[f][-1] is not None and not best_round(losses[f], patience)[1]]
+        if active and rounds - kept == block:
+            moved = state
+            for f in active:
+                moved = _with_margin(moved, f, list(enumerate(trees[f]))[kept:], step).withColumnRenamed("_f", f"_f{f}").drop("_new")
+            margins = F.array(*[F.col(f"_f{f}") if f in active else F.col("_m")[f] for f in range(k)])
+            old, (state, path) = path, store(moved.withColumn("_m", margins).select(*state.columns), "boost", folder)
+            drop_stored(spark, old)
+            kept = rounds
+    drop_stored(spark, path)
+    return trees, losses
 
 
 def kfold_gbt(df: DataFrame, k: int = 5, seed: int = EV.DEFAULT_SEED, max_iter: int = 10_000, patience: int = 200,
               max_depth: int = 5, step_size: float = 0.1, subsampling: float = 0.87,
               feature_subset: str = "0.95", id_col: str = "SK_ID_CURR", label: str = "TARGET",
-              stratified: bool = False, folder: str | None = None) -> dict[str, DataFrame]:
+              stratified: bool = False, folder: str | None = None, block: int = 25) -> dict[str, DataFrame]:
     """B-13: k-fold boosted trees on the train rows (label not NULL).
 
     Each fold trains until `patience` rounds bring no better log loss of the held-out fold
-    (at most `max_iter` rounds) and keeps its best round; the folds train side by side.
-    `stratified` deals the folds inside each label. Returns frames: `oof` (id, fold, label,
-    pred), `test` (id, fold-averaged pred), `fold_auc` (fold, auc; fold -1 = all out-of-fold
-    rows), `importance` (feature, importance, fold) and `rounds` (fold, best, trained). The feature table and the predictions
-    are checkpointed in the shared folder (`folder`, else the session's): each model scores
-    its rows once.
+    (at most `max_iter` rounds) and keeps its best round; the folds train side by side (see
+    `boost_folds`). A fold without rows keeps one round. `stratified` deals the folds inside
+    each label. Returns frames: `oof` (id, fold, label, pred), `test` (id, fold-averaged pred),
+    `fold_auc` (fold, auc; fold -1 = all out-of-fold rows), `importance` (feature, importance,
+    fold) and `rounds` (fold, best, trained). The feature table and the predictions are
+    checkpointed in the shared folder (`folder`, else the session's): each model scores its
+    rows once.
     """
     feats = feature_columns(df)
     base = materialize(df, folder)
     train = base.filter(F.col(label).isNotNull())
     train = EV.stratified_kfold(train, id_col, label, k, seed) if stratified else EV.kfold(train, id_col, k, seed)
     train_v, test_v = _assemble(train, feats), _assemble(base.filter(F.col(label).isNull()), feats)
-    gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxDepth=max_depth, stepSize=step_size,
-                        subsamplingRate=subsampling, featureSubsetStrategy=feature_subset, seed=seed)
-    train_v = train_v.withColumn("_y", F.col(label).cast("double"))
-
-    def fit(f: int) -> tuple[GBTClassificationModel, int, int]:
-        return fit_patiently(gbt, train_v.filter(F.col("fold") != f), train_v.filter(F.col("fold") == f), max_iter, patience)
-
-    with ThreadPool(k) as pool:
-        fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(k))
-    oof_parts, test_parts, importances = [], [], []
-    for f, (model, _, _) in enumerate(fitted):
+    learner = forest(seed, 1, max_depth).setBootstrap(False).setFeatureSubsetStrategy(feature_subset).setLabelCol("_r")
+    signed = train_v.select(F.col(id_col).alias("_id"), "fold", "features", F.when(F.col(label) == 1, 1.0).otherwise(-1.0).alias("_y"))
+    trees, losses = boost_folds(signed, k, learner, max_iter, patience, step_size, subsampling, block, folder)
+
+    oof_parts, test_parts, importances, rounds = [], [], [], []
+    for f in range(k):
+        best = best_round(losses[f], patience)[0]
+        model = ensemble(GBTClassificationModel, trees[f][:best], [1.0] + [step_size] * (best - 1))
         prob1 = vector_to_array(F.col("probability"))[1]
         valid = model.transform(train_v.filter(F.col("fold") == f))
         oof_parts.append(valid.select(id_col, "fold", F.col(label).alias("label"), prob1.alias("pred")))
         test_parts.append(model.transform(test_v).select(id_col, prob1.alias("pred")))
-        importances += [(feats[i], float(v), f + 1) for i, v in enumerate(model.featureImportances.toArray())]
+        values = dict(enumerate(model.featureImportances.toArray().tolist()))
+        importances += [(name, values.get(i, 0.0), f + 1) for i, name in enumerate(feats)]
+        rounds.append((f, best, len(trees[f])))
     oof = materialize(reduce(DataFrame.unionByName, oof_parts), folder)
     return {
         "oof": oof,
         "test": materialize(EV.fold_average(test_parts, id_col, "pred"), folder),
         "fold_auc": EV.auc_by_fold(oof, "pred", "label"),
         "importance": df.sparkSession.createDataFrame(importances, "feature string, importance double, fold int"),
-        "rounds": df.sparkSession.createDataFrame([(f, b, n) for f, (_, b, n) in enumerate(fitted)], "fold int, best int, trained int"),
+        "rounds": df.sparkSession.createDataFrame(rounds, "fold int, best int, trained int"),
     }
 
 

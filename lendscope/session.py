@@ -7,6 +7,8 @@ friends, and we only read them. Local runs (tests, bench) get sane defaults.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plan in this package relies on. AQE turns sort-merge joins
@@ -73,3 +75,17 @@ def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
 
 def checkpoint_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
     return f"{shared_dir(spark, folder)}/{name}"
+
+
+def store(df: DataFrame, name: str, folder: str | None = None) -> tuple[DataFrame, str]:
+    """Write `df` as Parquet under the shared folder: (the table read back, its path). Unlike a
+    checkpoint it keeps its columns apart, so later passes read only what they need."""
+    path = checkpoint_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}", folder)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_stored(spark: SparkSession, path: str) -> None:
+    """Delete a table that `store` has written and nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

@@ -3,6 +3,7 @@ import random
 import uuid
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from lendscope.operators import evaluation as EV
@@ -47,22 +48,30 @@ def test_best_round_waits_for_its_patience():
 
 
 def test_folds_train_past_their_best_round_and_keep_it(spark):
-    df, k, patience = planted(spark), 2, 6
-    out = SC.kfold_gbt(df, k=k, max_depth=2, patience=patience)
+    """Rounds that go on from stored margins give the trees of one long run."""
+    df, k, patience = planted(spark), 2, 4
+    out = SC.kfold_gbt(df, k=k, max_depth=2, patience=patience, subsampling=1.0, feature_subset="all", block=3)
     rounds = {r["fold"]: (r["best"], r["trained"]) for r in out["rounds"].collect()}
     pred = {r["SK_ID_CURR"]: r["pred"] for r in out["oof"].collect()}
     train = SC._assemble(EV.kfold(df.filter("TARGET is not null"), "SK_ID_CURR", k), ["x", "z"]).withColumn("_y", F.col("TARGET").cast("double"))
     for f in range(k):
         best, trained = rounds[f]
-        assert trained - best >= patience                             # no cap bound
-        gbt = SC.GBTClassifier(labelCol="_y", maxIter=best, maxDepth=2, stepSize=0.1, subsamplingRate=0.87,
-                               featureSubsetStrategy="0.95", seed=EV.DEFAULT_SEED)
+        assert trained - best == patience                             # no cap bound
+        gbt = GBTClassifier(labelCol="_y", maxIter=best, maxDepth=2, stepSize=0.1, seed=EV.DEFAULT_SEED)
         valid = train.filter(F.col("fold") == f)
         got = gbt.fit(train.filter(F.col("fold") != f)).transform(valid)
         assert {r[0]: r[1] for r in got.select("SK_ID_CURR", SC.vector_to_array("probability")[1]).collect()} == pytest.approx(
             {r["SK_ID_CURR"]: pred[r["SK_ID_CURR"]] for r in valid.collect()})
 
 
+def test_block_size_changes_no_tree(spark):
+    df = planted(spark, 200)
+    runs = [SC.kfold_gbt(df, k=2, max_iter=4, max_depth=2, patience=9, subsampling=0.8, block=b)["oof"].collect() for b in (1, 3, 50)]
+    first = {r["SK_ID_CURR"]: r["pred"] for r in runs[0]}
+    for run in runs[1:]:
+        assert {r["SK_ID_CURR"]: r["pred"] for r in run} == pytest.approx(first)
+
+
 @pytest.mark.parametrize("labels", ["sampled", "expected"])
 def test_reject_inference(spark, labels):
     df = planted(spark, 600).na.drop(subset=["TARGET"]).na.fill(0.5)
