@@ -76,7 +76,7 @@ def auc(df: DataFrame, score: str, label: str, by: Iterable[str] = (), n_buckets
 def auc_of_counts(g: DataFrame, score: str, by: Iterable[str] = (), n_buckets: int | None = None) -> DataFrame:
     """`auc` from the counts of `score_label_counts`."""
     by = list(by)
-    p = prefix_sums(g, [score], ["neg"], quantile_bucket(g, score, n_buckets or N_BUCKETS), by)
+    p = prefix_sums(g, [score], ["neg"], quantile_bucket(g, score, n_buckets), by)
     contrib = F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0))
     return p.groupBy(*by).agg(
         F.try_divide(F.sum(contrib), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"),
@@ -98,7 +98,7 @@ def roc_points(df: DataFrame, score: str, label: str, by: Iterable[str] = (),
     `score >= t`), the false and true positive rates."""
     by = list(by)
     g = score_label_counts(df, score, label, by)
-    p = prefix_sums(g, [F.col(score).desc()], ["pos", "neg"], -quantile_bucket(g, score, n_buckets or N_BUCKETS), by)
+    p = prefix_sums(g, [F.col(score).desc()], ["pos", "neg"], -quantile_bucket(g, score, n_buckets), by)
     if by:
         j = p.join(g.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N")), by)
     else:  # one global pair of totals, as scalars of the plan

@@ -9,8 +9,9 @@ Scale notes
   runs `lag` over those pairs (bounded by the value domain, e.g. day offsets),
   and joins the gap back on the row id of each pair's first row.
 * `prefix_sums` replaces an unpartitioned running-sum window (one task for the
-  whole table) by bucket totals -> offsets over a tiny table -> running sums
-  inside each bucket, so the work is spread over `n_buckets` tasks.
+  whole table) by bucket totals -> offsets over a small table -> running sums
+  inside each bucket. Buckets follow the rows: bounds come from a mergeable,
+  row-weighted quantile summary, and their number from the row count.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def gap_to_previous(df: DataFrame, key: str, value: str, row_id: str, out: str,
@@ -77,20 +79,60 @@ def uniform_bucket(h: Column, n_buckets: int, modulus: float = 4294967296.0) ->
     return F.floor(h.cast("double") * n_buckets / modulus).cast("int")
 
 
-N_BUCKETS = 128       # buckets of a global order; independent of the shuffle setting
+N_BUCKETS = 4096          # finest division of a global order; independent of the shuffle setting
+BUCKET_ROWS = 4096        # rows for which a further bucket is worth it
+_STEP = 16                # bounds are searched in steps of 256, 16 and 1
+_SAMPLE = 16384           # values that stand for a column of strings
 
 
-def quantile_bucket(df: DataFrame, column: str, n_buckets: int = N_BUCKETS) -> Column:
-    """Bucket index monotone in `column` (numbers or strings), near-equal in rows.
+def quantile_bounds(df: DataFrame, column: str, n_buckets: int | None = None, bucket_rows: int = BUCKET_ROWS) -> Column:
+    """Ascending distinct bounds that cut the rows of `df` into near-equal parts by `column`, as
+    a scalar subquery (no job at plan time): about one bucket for `bucket_rows` rows, at most
+    N_BUCKETS; with `n_buckets`, that many. A struct of three arrays: every 256th bound (`far`),
+    every 16th (`near`), and all.
 
-    The bounds are the `n_buckets - 1` values with the smallest hashes, i.e. a uniform
-    sample, read as a scalar subquery: no job at plan time, and one expression of
-    constant size however many buckets there are."""
+    Numbers: a mergeable quantile summary over the rows, whose rank error is a small part of a
+    bucket, so equal values weigh as often as they stand there. Strings, which such a summary
+    does not take: quantiles of a uniform sample of the distinct values (the smallest hashes),
+    so buckets are near-equal in values."""
     c = F.col(column)
-    sample = df.filter(c.isNotNull()).select(c.alias("v")).orderBy(F.xxhash64("v"), "v").limit(n_buckets - 1)
-    bounds = sample.agg(F.sort_array(F.collect_list("v")).alias("bounds")).scalar()
-    # The place of the value among the bounds (subqueries may not stand inside a lambda).
-    return (F.array_position(F.sort_array(F.array_append(bounds, c)), c) - 1).cast("int")
+    known = df.filter(c.isNotNull()).select(c.alias("v"))
+    if isinstance(known.schema["v"].dataType, NumericType):
+        grid = ",".join(str(i / N_BUCKETS) for i in range(1, N_BUCKETS))
+        points = F.expr(f"approx_percentile(v, CAST(split('{grid}', ',') AS ARRAY<DOUBLE>), {8 * N_BUCKETS})")
+        made = known.agg(points.alias("points"), F.count(F.lit(1)).alias("rows"))
+        finest, size = 1, N_BUCKETS
+    else:
+        sample = known.distinct().orderBy(F.xxhash64("v"), "v").limit(_SAMPLE)
+        made = sample.agg(F.sort_array(F.collect_list("v")).alias("points")).crossJoin(      # one row each
+            known.agg(F.count_distinct("v").alias("rows")))
+        finest, size = _STEP, F.size("points")
+    wanted = F.lit(n_buckets) if n_buckets else F.greatest(F.lit(1), F.ceil(F.col("rows") / bucket_rows))
+    stride = F.greatest(F.lit(finest if not n_buckets else 1), F.floor(size / wanted)).cast("int")
+    made = made.select("points", stride.alias("stride"))
+    bounds = made.select(F.array_distinct(_every("points", F.col("stride"))).alias("all"))
+    return bounds.select(F.struct(_every("all", F.lit(_STEP * _STEP)).alias("far"), _every("all", F.lit(_STEP)).alias("near"), "all")).scalar()
+
+
+def _every(values: str, step: Column) -> Column:
+    return F.filter(values, lambda _, i: (i + 1) % step == 0)
+
+
+def place_among(bounds: Column, c: Column) -> Column:
+    """Number of the bounds (see `quantile_bounds`) below `c`, by three short searches instead of
+    one through all. Plain array functions: subqueries may not stand in lambdas."""
+    def below(part: Column) -> Column:
+        return (F.array_position(F.sort_array(F.array_append(part, c)), c) - 1).cast("int")
+
+    far = below(bounds["far"])
+    near = far * _STEP + below(F.slice(bounds["near"], far * _STEP + 1, _STEP))
+    return near * _STEP + below(F.slice(bounds["all"], near * _STEP + 1, _STEP))
+
+
+def quantile_bucket(df: DataFrame, column: str, n_buckets: int | None = None, bucket_rows: int = BUCKET_ROWS) -> Column:
+    """Bucket index monotone in `column` (numbers or strings), near-equal in rows (strings: in
+    distinct values) as far as single values allow; see `quantile_bounds`."""
+    return place_among(quantile_bounds(df, column, n_buckets, bucket_rows), F.col(column)).cast("int")
 
 
 def prefix_sums(df: DataFrame, order: Iterable[str | Column], values: Iterable[str],
@@ -128,7 +170,7 @@ def group_median(df: DataFrame, value: str, group: str, out: str,
     """
     v = df.filter(F.col(value).isNotNull())
     counts = v.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_sums(counts, [value], ["_c"], quantile_bucket(counts, value, n_buckets or N_BUCKETS), [group])
+    ranked = prefix_sums(counts, [value], ["_c"], quantile_bucket(counts, value, n_buckets), [group])
     totals = counts.groupBy(group).agg(F.sum("_c").alias("_n"))
     j = ranked.join(totals, group)
     lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
