@@ -25,7 +25,7 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -36,6 +36,7 @@ from ..sources.tables import append_metrics, write_table
 from .history import assemble
 
 EXCLUDED = ("TARGET", "SK_ID_CURR", "SK_ID_BUREAU", "SK_ID_PREV", "index")
+CELLS = 1 << 22      # matrix cells (rows x features) of a training task
 MISSING = -999.0     # trees split on it like any value; Spark ML trees reject NaN
 
 
@@ -50,6 +51,10 @@ def _assemble(df: DataFrame, feats: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep").transform(filled)
 
 
+def vector_size(column: str) -> Column:
+    return F.size(vector_to_array(F.col(column)))
+
+
 def best_round(loss: list[float], patience: int) -> tuple[int, bool]:
     """(best round from 1, whether `patience` rounds after it brought no better one)."""
     best = 0
@@ -98,7 +103,10 @@ def boost_folds(matrix: DataFrame, k: int, learner: RandomForestRegressor, max_i
     most `block` trees, and a lost executor reads the last stored margins again.
     """
     spark = matrix.sparkSession
-    state, path = store(matrix.withColumn("_m", F.array_repeat(F.lit(0.0), k)), "boost", folder)
+    # A round runs some ten jobs over the matrix: no more tasks than its cells need.
+    cells = matrix.agg(F.sum(F.lit(1)), F.max(vector_size("features"))).first()
+    parts = max(1, -(-(cells[0] or 0) * (cells[1] or 0) // CELLS))
+    state, path = store(matrix.withColumn("_m", F.array_repeat(F.lit(0.0), k)).coalesce(parts), "boost", folder)
     trees: list[list] = [[] for _ in range(k)]
     losses: list[list[float]] = [[] for _ in range(k)]
     active, kept = list(range(k)), 0
