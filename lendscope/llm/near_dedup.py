@@ -29,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_batches, only, ship_package, stored, table, text_or_empty
@@ -39,6 +39,8 @@ from .wordcodes import mixed, texts_as_words, window_codes, word_codes
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2      # b, a and q of the two-byte registers
 SLACK = 12.0                                       # log likelihood by which a link must be ruled out
 CELL = 512                                         # nodes verified or compared together
+CELL_SHINGLES = 1 << 20                            # and shingles of their texts, about
+CELLS_A_TASK = 4
 NO_ID = -(1 << 62)                                 # join key of rows without an id
 
 
@@ -52,19 +54,30 @@ class Rule:
 
 # -- sets and sketches -----------------------------------------------------
 
-def shingle_sets(texts: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, bounds): the distinct shingle codes of each text, ascending, one after the other.
-    A text of fewer words is one shingle, the whole sequence; one without words has none."""
-    data, starts, ends, first = texts_as_words([t.encode().lower() for t in texts])     # bytes: A-Z only
-    words = word_codes(data, starts, ends)
-    codes = window_codes(words, shingle)
-    sets = []
+def shingle_sets(texts: list[str], shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, others, bounds): the distinct shingle codes of each text, ascending, one after the
+    other, and beside each its second, independent code. A text of fewer words is one shingle,
+    the whole sequence; one without words has none."""
+    data, _, _, first = texts_as_words([t.encode().lower() for t in texts])             # bytes: A-Z only
+    words, again = word_codes(data)
+    codes, seconds = window_codes(words, shingle), window_codes(again, shingle)
+    sets, others = [], []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= shingle:
-            sets.append(np.unique(codes[a:b - shingle + 1]))
+            mine, at = np.unique(codes[a:b - shingle + 1], return_index=True)
+            sets.append(mine)
+            others.append(seconds[a:b - shingle + 1][at])
         else:
-            sets.append(window_codes(words[a:b], b - a, salt=b - a) if b > a else np.zeros(0, np.uint64))
-    return np.concatenate([*sets, np.zeros(0, np.uint64)]), np.cumsum([0, *map(len, sets)])
+            for out, of in ((sets, words), (others, again)):
+                out.append(window_codes(of[a:b], b - a, salt=b - a) if b > a else np.zeros(0, np.uint64))
+    return np.concatenate([*sets, np.zeros(0, np.uint64)]), np.concatenate([*others, np.zeros(0, np.uint64)]), np.cumsum([0, *map(len, sets)])
+
+
+def signatures(codes: np.ndarray, others: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers per set, one from each of the independent codes of its shingles."""
+    sums = [np.concatenate([[np.uint64(0)], np.cumsum(mixed(c, salt), dtype=np.uint64)]) for c, salt in ((codes, 31), (others, 32))]
+    a, b = ((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums)
+    return a, b
 
 
 def register_values(codes: np.ndarray, bounds: np.ndarray, registers: int) -> np.ndarray:
@@ -73,11 +86,16 @@ def register_values(codes: np.ndarray, bounds: np.ndarray, registers: int) -> np
     full = np.flatnonzero(np.diff(bounds))
     if not len(full):
         return out
-    factor = np.random.default_rng(85).integers(0, 1 << 31, registers, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    # One hash per register: multiplying alone would leave the order of different registers
+    # dependent, so the product is folded and multiplied again.
+    factor = np.random.default_rng(85).integers(0, 1 << 31, (2, registers), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     x = (codes >> np.uint64(32)).astype(np.uint32)
-    least, product = np.empty((registers, len(full)), np.uint32), np.empty_like(x)
+    least, product, high = np.empty((registers, len(full)), np.uint32), np.empty_like(x), np.empty_like(x)
     for i in range(registers):
-        np.multiply(x, factor[i], out=product)
+        np.multiply(x, factor[0, i], out=product)
+        np.right_shift(product, np.uint32(15), out=high)
+        np.bitwise_xor(product, high, out=product)
+        np.multiply(product, factor[1, i], out=product)
         np.minimum.reduceat(product, bounds[:-1][full], out=least[i])
     exponential = -np.log1p(-(least.T + 0.5) / 2.0**32) / RATE
     out[full] = np.clip(np.floor(1 - np.log(exponential) / np.log(BASE)), 0, TOP + 1)
@@ -140,9 +158,8 @@ def sketches(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFra
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in _parts(batch):
-                codes, bounds = shingle_sets(texts, rule.shingle)
-                sums = [np.concatenate([[np.uint64(0)], np.cumsum(mixed(codes, salt), dtype=np.uint64)]) for salt in (31, 32)]
-                a, b = ((s[bounds[1:]] - s[bounds[:-1]]).view(np.int64) for s in sums)
+                codes, others, bounds = shingle_sets(texts, rule.shingle)
+                a, b = signatures(codes, others, bounds)
                 rows = register_values(codes, bounds, rule.registers)
                 yield pa.RecordBatch.from_arrays([part["id"], part["text_hash"], pa.array(np.diff(bounds)), pa.array(a), pa.array(b),
                                                   pa.array([r.tobytes() for r in rows], pa.binary())],
@@ -198,10 +215,10 @@ def star_seats(members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                 part = batch.slice(at, 4096)
                 ok, _ = passing(_registers(part["r_x"], rule.registers), _registers(part["r_y"], rule.registers),
                                 part["n_x"].to_numpy(), part["n_y"].to_numpy(), rule.percent)
-                yield pa.RecordBatch.from_arrays([part[c].filter(pa.array(ok)) for c in ("x", "y")], ["x", "y"])
+                yield pa.RecordBatch.from_arrays([part[c].filter(pa.array(ok)) for c in ("x", "y", "n_x")], ["x", "y", "n_x"])
 
-    passed = stored(map_batches(pairs.select("x", "y", "n_x", "r_x", "n_y", "r_y"), judge, "x long, y long"), "near-star")
-    blocks = passed.groupBy("y").agg(F.ceil(F.count(F.lit(1)) / CELL).cast("long").alias("blocks"))
+    passed = stored(map_batches(pairs.select("x", "y", "n_x", "r_x", "n_y", "r_y"), judge, "x long, y long, n_x long"), "near-star")
+    blocks = passed.groupBy("y").agg(_blocks(F.count(F.lit(1)), F.sum("n_x")).alias("blocks"))
     spokes = passed.join(blocks, "y").select(
         F.col("y").alias("team"), F.pmod(F.xxhash64("x"), F.col("blocks")).alias("i"), F.col("x").alias("node"), F.lit(False).alias("major"))
     hubs = spokes.select("team", "i").distinct().select("team", "i", F.col("team").alias("node"), F.lit(True).alias("major"))
@@ -209,23 +226,29 @@ def star_seats(members: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                                            "major", F.col("i").alias("block"))
 
 
-def cross_seats(teams: DataFrame, components: DataFrame) -> DataFrame:
+def _blocks(nodes: Column, shingles: Column) -> Column:
+    """Blocks of about CELL nodes and CELL_SHINGLES shingles."""
+    return F.greatest(F.lit(1), F.ceil(nodes / CELL), F.ceil(shingles / CELL_SHINGLES)).cast("long")
+
+
+def cross_seats(teams: DataFrame, components: DataFrame, nodes: DataFrame) -> DataFrame:
     """(team, i, j, node, component, major, block): seats of the members (team, node) of
     teams that hold several components.
 
     A team's members of its largest component (`major`) need no comparison with each other.
-    The others go to blocks of about CELL, and so do the majors. Cell (i, j) seats other
+    The others go to blocks (see `_blocks`), and so do the majors. Cell (i, j) seats other
     blocks i <= j, or, for j < 0, other block i and major block -j; so a team of any size is
     spread over many cells, none of them above 2 * CELL nodes."""
-    m = (teams.select("team", "node").join(components, "node", "left")
-         .select("team", "node", F.coalesce("component", "node").alias("component")))
-    counts = m.groupBy("team", "component").agg(F.count(F.lit(1)).alias("n"))
-    several = (counts.groupBy("team").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"),
-                                          F.max(F.struct("n", "component")).alias("most"))
+    m = (teams.select("team", "node").join(components, "node", "left").join(nodes.select("node", "n"), "node")
+         .select("team", "node", F.coalesce("component", "node").alias("component"), "n"))
+    counts = m.groupBy("team", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n").alias("size"))
+    several = (counts.groupBy("team").agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all"), F.sum("size").alias("all_size"),
+                                          F.max(F.struct("n", "component", "size")).alias("most"))
                .filter("parts > 1")
                .select("team", F.col("most.component").alias("major_component"),
-                       F.ceil(F.col("most.n") / CELL).cast("long").alias("major_blocks"),
-                       F.ceil((F.col("all") - F.col("most.n")) / CELL).cast("long").alias("other_blocks")))
+                       _blocks(F.col("most.n"), F.col("most.size")).alias("major_blocks"),
+                       _blocks(F.col("all") - F.col("most.n"), F.col("all_size") - F.col("most.size")).alias("other_blocks")))
+    m = m.drop("n")
     m = m.join(several, "team").withColumn("major", F.col("component") == F.col("major_component"))
     m = m.withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("major"), F.col("major_blocks")).otherwise(F.col("other_blocks"))))
     others = F.sequence(F.lit(0).cast("long"), F.col("other_blocks") - 1)
@@ -274,7 +297,7 @@ _CELL = ("team", "i", "j")
 def cross_groups(members: DataFrame, components: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): edges that connect the nodes of every passing pair of different components
     that shares a bucket, at most one per node and cell."""
-    seats = cross_seats(members.select(F.col("bucket").alias("team"), "node"), components)
+    seats = cross_seats(members.select(F.col("bucket").alias("team"), "node"), components, nodes)
     rows = seats.join(nodes.select("node", "n", "registers"), "node").select(*_CELL, "node", "component", "major", "block", "n", "registers")
 
     def compare(rows: pa.Table) -> pa.Table:
@@ -296,29 +319,35 @@ def verified(seats: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, id
              slots: int = 1 << 18) -> DataFrame:
     """(a, b): links between nodes of different components that share a cell, enough of them
     to connect whatever the links of the cell connect. `seats` is a stored table."""
-    guests = stored(seats.join(nodes.select("node", "n", "set_a", "set_b", "key", "registers"), "node"), "near-guests")
-
-    # Texts of the nodes in question. The slots of their ids (at most `slots` numbers, however
-    # large the tables) thin the documents out before the shuffle; the join decides.
-    slot = F.pmod(F.xxhash64("key"), F.lit(slots))
+    guests = stored(seats.join(nodes.select("node", "n", "set_a", "set_b", "key", F.col("first.text_hash").alias("text_hash"), "registers"), "node"),
+                    "near-guests")
+    cells = guests.select(*_CELL).distinct().count()
+
+    # Texts of the nodes in question, one for each id and text: rows that share an id, or have
+    # none, are told apart by the text's hash, and copies of a row are reduced before the
+    # shuffle. The slots of both (at most `slots` numbers, however large the tables) thin the
+    # documents out first; the join decides.
+    slot = F.pmod(F.xxhash64("key", "text_hash"), F.lit(slots))
     asked = guests.select(slot.alias("slot")).distinct()
     texts = (only(docs, id_col, text_col)
              .select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), text_or_empty(text_col).alias("text"))
-             .withColumn("slot", slot).join(F.broadcast(asked), "slot", "left_semi").select("key", "text"))
-    seated = guests.join(texts, "key").select(*_CELL, "node", "component", "major", "block", "n", "set_a", "set_b", "registers", "text")
+             .withColumn("text_hash", F.xxhash64("text"))
+             .withColumn("slot", slot).join(F.broadcast(asked), "slot", "left_semi")
+             .groupBy("key", "text_hash").agg(F.max("text").alias("text")))
+    seated = (guests.join(texts, ["key", "text_hash"])
+              .select(*_CELL, "node", "component", "major", "block", "n", "set_a", "set_b", "registers", "text")
+              .repartition(max(1, -(-cells // CELLS_A_TASK)), *_CELL))       # by work, not by bytes
 
     def check(rows: pa.Table) -> pa.Table:
-        # Ids may repeat: the text of a node is the one with the node's signature.
+        # Hashes of texts may be equal: the text of a node is the one with the node's signature.
         own, sets = [], []
         for at in range(0, rows.num_rows, 256):
             part = rows.slice(at, 256)
-            codes, bounds = shingle_sets(part["text"].to_pylist(), rule.shingle)
-            wanted = zip(part["set_a"].to_pylist(), part["set_b"].to_pylist(), strict=True)
-            for i, signature in enumerate(wanted):
-                mine = codes[bounds[i]:bounds[i + 1]]
-                if tuple(int(mixed(mine, s).sum(dtype=np.uint64).view(np.int64)) for s in (31, 32)) == signature:
-                    own.append(at + i)
-                    sets.append(mine)
+            codes, others, bounds = shingle_sets(part["text"].to_pylist(), rule.shingle)
+            a, b = signatures(codes, others, bounds)
+            for i in np.flatnonzero((a == part["set_a"].to_numpy()) & (b == part["set_b"].to_numpy())).tolist():
+                own.append(at + i)
+                sets.append(codes[bounds[i]:bounds[i + 1]])
         _, first = np.unique(rows["node"].to_numpy()[own], return_index=True)      # repeated rows of a node are alike
         cell, sets = Cell(rows.drop_columns(["text"]).take([own[i] for i in first]), rule), [sets[i] for i in first]
         pairs = [(estimate[k], x, y) for x, ys, estimate in cell.passing() for k, y in enumerate(ys.tolist())]
@@ -378,7 +407,7 @@ def near_dedup(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
     groups = stored(cross_groups(members, components, nodes, rule), "near-groups")
     if not groups.isEmpty():
         teams = connected(groups).select(F.col("component").alias("team"), "node")
-        seats = stored(cross_seats(teams, components), "near-seats")
+        seats = stored(cross_seats(teams, components, nodes), "near-seats")
         more = stored(verified(seats, nodes, docs, rule, id_col, text_col), "near-links")
         components = connected(links.unionByName(more))
 

@@ -15,7 +15,7 @@ Both look-ups send, for each chunk of documents (about `chunk_bytes`), its disti
 once to buckets of the code's range, and get back which of them count. A passage that a
 third of all documents share is so one code per chunk, never one per document, and no
 pairs are formed. Probe codes keep 48 bits, as a chance hit only costs a check in step 2;
-there 96 bits decide.
+there 96 bits decide, of two codes that share nothing: a word has two independent ones.
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ class Words:
 
     def __init__(self, texts: list[str]):
         self.bytes, self.starts, self.ends, self.first = texts_as_words([t.encode() for t in texts])
-        self.codes = word_codes(self.bytes, self.starts, self.ends)
+        self.codes, self.others = word_codes(self.bytes)
 
     def windows(self, size: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(places, codes) of the windows that lie in one document."""
@@ -179,7 +179,7 @@ def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
             place, code = words.windows(window, salt=1)
             picked = near[place]
             place, code = place[picked], code[picked]
-            check = (window_codes(words.codes, window, salt=2)[place] >> np.uint64(32)).astype("<u4") if len(place) else np.zeros(0, "<u4")
+            check = (window_codes(words.others, window, salt=2)[place] >> np.uint64(32)).astype("<u4") if len(place) else np.zeros(0, "<u4")
             order = np.lexsort((check, code))
             place, code, check = place[order], code[order], check[order]
             new = np.ones(len(code), bool)

@@ -1,31 +1,20 @@
-"""Words of whole texts as 64-bit codes, vectorised over a batch of texts.
+"""Words of whole texts as codes, vectorised over a batch of texts.
 
 Words are maximal runs of bytes other than space, tab, line feed, vertical tab, form feed
-and carriage return. A word's code and the code of a run of words are polynomials mod 2^64
-taken from prefix sums, then mixed; equal words have equal codes, and unequal ones collide
-with a probability of about 2^-64 per pair.
+and carriage return. A word has two codes, the halves of a 128-bit digest of its bytes
+(XXH3). The code of a run of words joins codes of shorter runs by a non-linear mixer, by
+powers of two: no sum over places, so no structure of a text makes different runs equal.
+Equal words and runs have equal codes; unequal ones share one with a probability of about
+2^-64 for each of the two independent codes.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
-_BASE = 0x9E3779B97F4A7C15                      # odd, so it has an inverse mod 2^64
-_LETTER = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(n: int, base: int) -> np.ndarray:
-    """base^0 .. base^(n-1), kept for the next call."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = 1 << max(12, int(n - 1).bit_length())
-        steps = np.full(size, base % 2**64, np.uint64)
-        steps[0] = 1
-        have = _powers[base] = np.cumprod(steps, dtype=np.uint64)
-    return have[:n]
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -35,14 +24,6 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _runs(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial of values[start:end] for each run, independent of where it stands."""
-    n = len(values)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * powers(n, base), dtype=np.uint64, out=sums[1:])
-    return (sums[ends] - sums[starts]) * powers(n + 1, pow(base, -1, 2**64))[starts]
-
-
 def word_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of every word in a buffer of bytes."""
     edge = np.ones(len(text) + 2, bool)
@@ -51,17 +32,22 @@ def word_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[::2], at[1::2]
 
 
-def word_codes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 18) -> np.ndarray:
-    """One code per word; worked off in blocks of about `block` bytes, cut between words."""
-    out, first = [], 0
-    while first < len(starts):
-        last = max(first + 1, int(np.searchsorted(ends, starts[first] + block, side="right")))
-        low, high = starts[first], ends[last - 1]
-        code = _runs(_LETTER[text[low:high]], starts[first:last] - low, ends[first:last] - low, _BASE)
-        size = (ends[first:last] - starts[first:last]).astype(np.uint64)
-        out.append(mixed(code + size * np.uint64(0xD6E8FEB86659FD93)))
-        first = last
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+def word_codes(text: np.ndarray, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """The two codes of every word in a buffer of bytes, in order; digests are taken in blocks."""
+    raw, digest = text.tobytes(), xxhash.xxh3_128_digest
+    out, at = [], 0
+    while at < len(raw):
+        last = at + block
+        while last < len(raw) and not _BLANK[raw[last]]:
+            last += 1
+        out.append(b"".join(map(digest, raw[at:last].split())))      # bytes.split cuts at these six blanks
+        at = last
+    codes = np.frombuffer(b"".join(out), "<u8").reshape(-1, 2)
+    return np.ascontiguousarray(codes[:, 0]), np.ascontiguousarray(codes[:, 1])
+
+
+def _joined(left: np.ndarray, right: np.ndarray, salt: int) -> np.ndarray:
+    return mixed(left * np.uint64(0xA0761D6478BD642F) + right, salt)
 
 
 def window_codes(words: np.ndarray, size: int, salt: int = 0, block: int = 1 << 16) -> np.ndarray:
@@ -70,9 +56,17 @@ def window_codes(words: np.ndarray, size: int, salt: int = 0, block: int = 1 <<
     out = [np.zeros(0, np.uint64)]
     for first in range(0, max(n, 0), block):
         last = min(n, first + block)
-        part = mixed(words[first:last + size - 1], salt + 7)
-        at = np.arange(last - first)
-        out.append(mixed(_runs(part, at, at + size, 0xA0761D6478BD642F), salt))
+        run, width, count = mixed(words[first:last + size - 1], salt + 7), 1, last - first
+        whole, have = None, 0                                        # runs of `have` words: the low bits of `size`
+        while True:
+            if size & width:
+                whole = run[:count] if whole is None else _joined(whole, run[have:have + count], salt + 8)
+                have += width
+            if have == size:
+                break
+            run = _joined(run[:-width], run[width:], salt + width)
+            width *= 2
+        out.append(mixed(whole, salt))
     return np.concatenate(out)
 
 

@@ -73,6 +73,41 @@ def test_one_large_family_in_small_cells(spark, monkeypatch):
     assert run(corpus.table(spark, rows), rule)[0] == brute(rows, rule)
 
 
+def test_a_third_without_ids(spark, monkeypatch):
+    """Many rows without an id, copies and near copies among them, and ids that repeat."""
+    monkeypatch.setattr(nd, "CELL_SHINGLES", 400)
+    rule = nd.Rule(3, 85, 180, 6)
+    rows = [(None if i % 3 == 0 else i // 2, t) for i, t in families(12, bases=5, size=8)]
+    rows += [(None, corpus.prose(random.Random(3), 40))] * 30 + rows[:6]
+    assert run(corpus.table(spark, rows), rule)[0] == brute(rows, rule)
+
+
+def test_words_that_polynomials_confuse(spark):
+    one = "".join("ab"[bin(i).count("1") & 1] for i in range(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(3))
+    rows = [(1, f"{rest} {one} x"), (2, f"{rest} {other} x"), (3, one), (4, other), (5, f"{rest} {one} x")]
+    rule = nd.Rule(3, 85, 180, 6)
+    assert run(corpus.table(spark, rows), rule)[0] == brute(rows, rule)
+
+
+@pytest.mark.parametrize("band,percent", [(6, 85), (5, 80)])
+def test_recall_at_the_limit(band, percent):
+    """Pairs just at the limit share a band, and their sketches pass."""
+    rng = np.random.default_rng(percent)
+    met = passed = 0
+    pairs, n = 3000, 400
+    for at in range(0, pairs, 100):
+        both = round(2 * n * percent / (100 + percent))
+        codes = rng.integers(0, 2**64, (100, 2 * n - both), dtype=np.uint64)
+        rows = [np.sort(c[:n]) for c in codes] + [np.sort(c[n - both:]) for c in codes]
+        made = nd.register_values(np.concatenate(rows), np.arange(len(rows) + 1) * n, 180)
+        bands = nd.band_codes(made, band)
+        met += int((bands[:100] == bands[100:]).any(axis=1).sum())
+        passed += int(nd.passing(made[:100], made[100:], n, n, percent)[0].sum())
+    assert met >= pairs - 1 and passed >= pairs - 1
+
+
 def test_one_of_each_component_stays_also_for_repeated_ids(spark):
     base = corpus.prose(random.Random(1), 80)
     rows = [(5, base), (5, base + " more"), (6, base), (9, "quite another text"), (None, "quite another text")]
@@ -115,6 +150,14 @@ def test_sizes_alone_rule_a_link_out():
     assert not nd.passing(ra[None], rb[None], 1000, 800, 85)[0][0]
 
 
+def test_a_hub_is_not_one_task(spark):
+    """A hub of a third of all edges: joined by broadcast, and the result is right."""
+    edges = [(3000, i) for i in range(1, 2500)] + [(i, i + 1) for i in range(3001, 8000)]
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(8)
+    got = {r["node"]: r["component"] for r in connected(frame).collect()}
+    assert got == {**dict.fromkeys(range(1, 2500), 1), 3000: 1, **dict.fromkeys(range(3001, 8001), 3001)}
+
+
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 60)],
                                    [(5, 9), (9, 7), (2, 3), (3, 2), (7, 100), (50, 100)]])
 def test_components(spark, edges):

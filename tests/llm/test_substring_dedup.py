@@ -82,11 +82,31 @@ def test_word_codes():
     flat = [w for ws in words for w in ws]
     assert [bytes(data[a:b]).decode() for a, b in zip(starts, ends, strict=True)] == flat
     assert first.tolist() == np.cumsum([0, *map(len, words)]).tolist()
-    codes = wordcodes.word_codes(data, starts, ends)
-    assert len(set(codes.tolist())) == len(set(flat))
-    assert (wordcodes.word_codes(data, starts, ends, block=7) == codes).all()
-    for size in (1, 3, 9):
-        grams = [tuple(flat[i:i + size]) for i in range(len(flat) - size + 1)]
-        got = wordcodes.window_codes(codes, size)
-        assert len(set(zip(grams, got.tolist(), strict=True))) == len(set(grams)) == len(set(got.tolist()))
-        assert (wordcodes.window_codes(codes, size, block=11) == got).all()
+    for codes in wordcodes.word_codes(data):
+        assert len(set(codes.tolist())) == len(set(flat)) and len(codes) == len(flat)
+        for size in (1, 2, 3, 4, 9, 18, 35):
+            grams = [tuple(flat[i:i + size]) for i in range(len(flat) - size + 1)]
+            got = wordcodes.window_codes(codes, size)
+            assert len(set(zip(grams, got.tolist(), strict=True))) == len(set(grams)) == len(set(got.tolist()))
+            assert (wordcodes.window_codes(codes, size, block=11) == got).all()
+    small, whole = wordcodes.word_codes(data, block=7), wordcodes.word_codes(data)
+    assert all((x == y).all() for x, y in zip(small, whole, strict=True))
+
+
+def thue_morse(length, swap=False):
+    return "".join("ab"[(bin(i).count("1") & 1) ^ swap] for i in range(length))
+
+
+@pytest.mark.parametrize("length", [1024, 2048, 4096])
+def test_words_that_polynomials_confuse(spark, length):
+    """Words, and windows of two words in that order, which any polynomial mod 2^64 maps alike."""
+    one, other = thue_morse(length), thue_morse(length, True)
+    data = np.frombuffer(f"{one} {other}".encode(), np.uint8)
+    for codes in wordcodes.word_codes(data):
+        assert codes[0] != codes[1]
+    a, b = ([int(x == "a") for x in w] for w in (one, other))
+    letters = np.array([3, 5], np.uint64)
+    assert (wordcodes.window_codes(letters[a], length) != wordcodes.window_codes(letters[b], length)).all()
+    rest = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, f"{rest} {one} {rest}"), (2, f"{rest} {other} {rest}"), (3, f"{rest} {one} {rest[::-1]}")]
+    assert run(corpus.table(spark, rows), window=21) == brute(rows, 21)
