@@ -1,11 +1,12 @@
 """Nearest neighbours by vantage-point trees, one per shard.
 
-Index. Vectors are dealt by a hash of their id to shards of about `shard_rows`; each shard
+Index. Vectors are dealt by a hash of id, vector and row to shards of about `shard_rows`; each shard
 becomes one row of a stored table: its vectors in tree order plus the tree's nodes. A node
 splits its vectors by the median distance to a vantage point; a node that no distance
 splits (copies) or of at most `leaf` vectors is a leaf, looked at as one block.
 
-Search. The stated queries travel in blocks to every shard. For a query at distance d of a
+Search. The stated queries travel in blocks to every shard, where the tree comes first: it is
+decoded once, and the blocks stream past it. For a query at distance d of a
 node's vantage point, whose subtree lies in distances [lo, hi] of it, the triangle
 inequality says no vector there is nearer than max(d - hi, lo - d). A subtree is skipped
 if that bound exceeds `factor` times the query's k-th best distance in this shard so far: factor 1
@@ -29,6 +30,7 @@ from .common import map_batches, only, ship_package, stored, table
 
 INDEX = "shard long, dims int, ids binary, vectors binary, nodes binary"
 QUERY_BLOCK = 256
+SHARDS_A_TASK = 2
 
 NODE = np.dtype([("first", "<i4"), ("end", "<i4"), ("vantage", "<i4"), ("inner", "<i4"), ("outer", "<i4"),
                  ("inner_lo", "<f8"), ("inner_hi", "<f8"), ("outer_lo", "<f8"), ("outer_hi", "<f8")])
@@ -131,12 +133,13 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 def build_index(rows: DataFrame, shard_rows: int = 8192, leaf: int = 256) -> DataFrame:
-    """The stored index over `usable` rows. A hash of id and vector deals rows evenly whatever repeats."""
+    """The stored index over `usable` rows. A hash of id, vector and row number deals rows
+    evenly whatever repeats, copies of a whole row too."""
     spark = rows.sparkSession
     ship_package(spark)
     n = rows.count()
     shards = max(1, -(-n // shard_rows))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id", "v", F.monotonically_increasing_id()), F.lit(shards)))
 
     def tree_of(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -156,29 +159,35 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10, factor: float = 1.
     vectors of one query id the smallest (in array order) is asked. Repeated candidate rows
     are candidates each."""
     # A block of queries goes to every shard: blocks x shards rows, each a bounded piece of work.
-    last = index.agg(F.max("shard")).first()[0]
+    shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
     one = queries.groupBy("id").agg(F.min("v").alias("v"))
     blocks = max(1, -(-one.count() // QUERY_BLOCK))
     dealt = (one.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
              .groupBy("block").agg(F.collect_list(F.struct("id", "v")).alias("queries")))
-    asked = dealt.select("queries", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last or 0).cast("long"))).alias("shard"))
-    work = asked.join(index, "shard")
+    asked = dealt.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.lit(True).alias("asks"), "queries")
+    work = (index.withColumn("asks", F.lit(False)).unionByName(asked, allowMissingColumns=True)
+            .repartition(-(-shards // SHARDS_A_TASK), "shard").sortWithinPartitions("shard", "asks"))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, trees = None, []
         for batch in batches:
             for row in range(batch.num_rows):
-                dims = batch["dims"][row].as_py()
-                ids = np.frombuffer(batch["ids"][row].as_py(), np.int64)
-                vectors = np.frombuffer(batch["vectors"][row].as_py(), np.float64).reshape(-1, dims)
-                tree = np.frombuffer(batch["nodes"][row].as_py(), NODE)
+                if batch["shard"][row].as_py() != shard:
+                    shard, trees = batch["shard"][row].as_py(), []
+                if not batch["asks"][row].as_py():
+                    dims = batch["dims"][row].as_py()
+                    ids, vectors, nodes = (np.frombuffer(batch[c][row].as_py(), kind)
+                                           for c, kind in (("ids", np.int64), ("vectors", np.float64), ("nodes", NODE)))
+                    trees.append((vectors.reshape(-1, dims), ids, nodes))
+                    continue
                 q_of, i_of, d_of = [], [], []
                 for q in batch["queries"][row].as_py():
-                    if len(q["v"]) != dims:
-                        continue
-                    near, far = search_tree(vectors, ids, tree, np.array(q["v"]), q["id"], k, factor)
-                    q_of.append(np.full(len(near), q["id"], np.int64))
-                    i_of.append(near)
-                    d_of.append(far)
+                    for vectors, ids, tree in trees:
+                        if len(q["v"]) == vectors.shape[1]:
+                            near, far = search_tree(vectors, ids, tree, np.array(q["v"]), q["id"], k, factor)
+                            q_of.append(np.full(len(near), q["id"], np.int64))
+                            i_of.append(near)
+                            d_of.append(far)
                 if q_of:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (q_of, i_of, d_of)],
                                                      ["query_id", "vec_id", "score"])

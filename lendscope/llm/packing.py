@@ -247,7 +247,8 @@ def best_fit_pack(pieces: DataFrame, capacity: int, length_col: str = "length",
     `pieces` must be a stored table: it is read for the histogram and again for the ranks.
     Ranks among equal lengths: rows are dealt to buckets by a hash, numbered inside
     (length, bucket), and shifted by the counts of the buckets before, so that no length,
-    however frequent, is numbered by one task.
+    however frequent, is numbered by one task; a column `row` (any distinct numbers) deals
+    rows that are alike in everything else.
     """
     spark = pieces.sparkSession
     counts = {int(r[0]): int(r[1]) for r in pieces.groupBy(length_col).count().collect()}     # <= capacity rows
@@ -285,8 +286,9 @@ def best_fit_pack(pieces: DataFrame, capacity: int, length_col: str = "length",
 def pack_documents(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int | None = 0,
                    id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their places. An empty table gives an empty result."""
-    pieces = stored(cut_documents(docs, vocabulary, capacity, end_id, id_col, text_col, with_ids), "pieces")
-    return best_fit_pack(pieces, capacity)[0].withColumnRenamed("id", id_col)
+    pieces = cut_documents(docs, vocabulary, capacity, end_id, id_col, text_col, with_ids)
+    pieces = stored(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    return best_fit_pack(pieces, capacity)[0].drop("row").withColumnRenamed("id", id_col)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

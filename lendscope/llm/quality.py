@@ -1,9 +1,9 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
-Terms of a text are its style, read from the bytes of the whole text: trigrams of
-character classes (lower, upper, digit, space, line end, every punctuation mark, beyond
-ASCII), the same trigrams joined with whether the word repeats the one before, and word
-lengths. Language, source and ids take no part. A bounded, documented sample of labelled
+Terms of a text, read from the bytes of the whole text: its style (trigrams of character
+classes: lower, upper, digit, space, line end, every punctuation mark, beyond ASCII; word
+lengths joined with whether a word repeats the one before) and its words, hashed by their
+letters in order without regard to the case of A-Z. Language, source and ids take no part. A bounded, documented sample of labelled
 rows (`sample`, the smallest id hashes; the contract's held-out fold never enters) gives
 the term weights, the latent space (truncated SVD of the weighted, normalised rows) and
 the labelled vectors: sample x dims floats, broadcast. Every document then gets its exact
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import map_batches, only, table, text_or_empty
 
-TERMS = 3075
+STYLE, WORDS = 3075, 2048
+TERMS = STYLE + WORDS
 BLOCK = 1 << 20      # bytes of text looked at together
 
 
@@ -42,38 +43,63 @@ _WIDTH = 40
 _LETTER = np.random.default_rng(7).integers(1, 1 << 44, 256)
 
 
+_LOWER = np.arange(256)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+_PLACE = np.random.default_rng(9).integers(1, 1 << 62, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _blocks(text: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """(the two bytes before, block): a block ends with a word, so memory is bounded for long
+    texts (by a word's size where a word is longer than a block) and no word is cut."""
+    at = 0
+    while at < len(text):
+        end = at + BLOCK
+        while end < len(text) and _CLASS[text[end]] not in (5, 6):
+            end += 1
+        yield text[max(at - 2, 0):at], text[at:end]
+        at = end
+
+
 def term_counts(text: bytes) -> np.ndarray:
-    """Counts of the hashed terms of one whole text."""
+    """Counts of the hashed terms of one whole text, whatever its length."""
     counts = np.zeros(TERMS, np.int64)
-    tail = b""
-    for at in range(0, len(text), BLOCK):                           # bounded memory for long texts
-        raw = np.frombuffer(tail + text[at:at + BLOCK], np.uint8)
-        tail = raw[-2:].tobytes() if len(raw) >= 2 else b""
+    last, n_words, n_same, distinct = None, 0, 0, []
+    for before, block in _blocks(text):
+        raw = np.frombuffer(before + block, np.uint8)
         c = _CLASS[raw]
-        if len(c) < 3:
-            continue
-        gram = (c[:-2] * _WIDTH + c[1:-1]) * _WIDTH + c[2:]
-        counts[:2048] += np.bincount((gram * 2654435761 >> 7) & 2047, minlength=2048)
-        gap = (c == 5) | (c == 6)
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], gap, [True]]).astype(np.int8)))
+        if len(c) >= 3:
+            gram = (c[:-2] * _WIDTH + c[1:-1]) * _WIDTH + c[2:]
+            counts[:2048] += np.bincount((gram * 2654435761 >> 7) & 2047, minlength=2048)
+        raw, c = raw[len(before):], c[len(before):]
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], (c == 5) | (c == 6), [True]]).astype(np.int8)))
         start, end = edge[::2], edge[1::2]
-        if len(start) < 2:
+        if not len(start):
             continue
-        size = end - start
-        before = np.concatenate([[0], np.cumsum(_LETTER[raw])])
-        word = before[end] - before[start]                          # one number per bag of bytes
-        first = c[start]
+        sums = np.concatenate([[0], np.cumsum(_LETTER[raw])])
+        bag = sums[end] - sums[start]                               # one number per bag of bytes
+        begins = np.zeros(len(raw), np.int64)
+        begins[start] = start
+        place = np.arange(len(raw)) - np.maximum.accumulate(begins)
+        code = np.concatenate([[np.uint64(0)], np.cumsum(_LETTER.astype(np.uint64)[_LOWER[raw]] * _PLACE[place & 63], dtype=np.uint64)])
+        counts[STYLE:] += np.bincount(((code[end] - code[start]) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(53)).astype(np.int64), minlength=WORDS)
+        word = bag if last is None else np.append(last, bag)
         same = word[1:] == word[:-1]
-        counts[2048:2048 + 1024] += np.bincount((np.minimum(size[1:], 15) * 2 + same) * 8 + np.minimum(first[1:], 7), minlength=1024)[:1024]
-        counts[3072:3075] += [4 * int(same.sum()), len(word), len(np.unique(word))]
+        size, first = (end - start)[len(bag) - len(same):], c[start][len(bag) - len(same):]
+        counts[2048:3072] += np.bincount((np.minimum(size, 15) * 2 + same) * 8 + np.minimum(first, 7), minlength=1024)[:1024]
+        last, n_words, n_same = bag[-1], n_words + len(bag), n_same + int(same.sum())
+        distinct.append(np.unique(bag))
+    if n_words > 1:
+        counts[3072:STYLE] = 4 * n_same, n_words, len(np.unique(np.concatenate(distinct)))
     return counts
 
 
 def term_weights(counts: np.ndarray) -> np.ndarray:
-    """Square roots of the terms' shares of the text: length takes no part. Terms of whole
-    words count double, as they are far fewer than the trigrams."""
+    """Square roots of the terms' shares of the text: length takes no part. Style terms of
+    whole words count double, as they are far fewer than the trigrams; the words themselves
+    count a quarter, so that they decide between texts of one style."""
     row = np.sqrt(counts / max(1, counts[:2048].sum())).astype(np.float32)
-    row[2048:] *= 2
+    row[2048:STYLE] *= 2
+    row[STYLE:] *= 0.25
     return row
 
 

@@ -15,7 +15,9 @@ Units are placed largest first, each into the shard where the dot product of the
 unit's load with the shard's residual capacity (all three normalised by the totals) is
 highest; then units are moved or swapped between the fullest and the emptiest shards
 as long as that lowers the spread of bytes and takes neither tokens nor rows further from
-their mean (beyond a tolerance). Blank-separated words stand in for tokens. The driver sees unit totals only.
+their mean (beyond a tolerance). For tokens stand the blank-separated words, or a token for
+every TOKEN_BYTES bytes where that is more (texts without blanks). The driver sees unit
+totals only.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import only, stored, table, text_or_empty
 
+TOKEN_BYTES = 4
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -106,7 +109,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
     slim = stored(t.select(
         F.col(id_col).alias("id"), F.xxhash64("t").alias("h"),
         (F.octet_length("t") + F.lit(row_bytes)).cast("long").alias("size"),
-        F.regexp_count("t", F.lit(WORD)).cast("long").alias("tokens"),
+        F.greatest(F.regexp_count("t", F.lit(WORD)), F.ceil(F.octet_length("t") / TOKEN_BYTES)).cast("long").alias("tokens"),
         F.crc32(F.col("t").cast("binary")).alias("crc"),
         F.monotonically_increasing_id().alias("row")), "shard-rows")       # stored: the same in every later read
 
@@ -133,16 +136,16 @@ def shard_documents(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", t
         where = even_out(loads[:, 0], where, shards, others=loads[:, 1:])
         shard_of = [(u["g"], u["k"], int(s)) for u, s in zip(units, where, strict=True)]
     plan = spark.createDataFrame(shard_of, "g long, k long, shard int")
-    placed = rows.select("id", "size", "crc", F.col("unit.g").alias("g"), F.col("unit.k").alias("k")) \
+    placed = rows.select("id", "size", "crc", "row", F.col("unit.g").alias("g"), F.col("unit.k").alias("k")) \
         .join(F.broadcast(plan), ["g", "k"])
 
     # Slots: number rows inside (shard, bucket), then add the rows of the buckets before.
     buckets = max(8, -(-int(total["rows"]) // (shards * slot_rows)) * 8)
-    dealt = placed.withColumn("bucket", F.pmod(F.xxhash64("id", "crc"), F.lit(buckets)).cast("int"))
+    dealt = placed.withColumn("bucket", F.pmod(F.xxhash64("id", "crc", "row"), F.lit(buckets)).cast("int"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (dealt.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
               .select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
-    inside = Window.partitionBy("shard", "bucket").orderBy("id", "size", "crc")
+    inside = Window.partitionBy("shard", "bucket").orderBy("id", "size", "crc", "row")
     return (dealt.withColumn("at", F.row_number().over(inside) - 1).join(starts, ["shard", "bucket"])
             .select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"),
                     "shard", (F.col("first") + F.col("at")).cast("long").alias("slot"),

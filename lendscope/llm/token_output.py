@@ -9,6 +9,8 @@ segment is one row of a Parquet file (Spark's writers have no raw format) holdin
     seeds      displacement per hash bucket      } minimal perfect hash of the
     prints     32-bit fingerprint per slot       } distinct keys of the segment
     ordinals   first document of the slot's key  }
+    copies     number of documents of that key   }
+    nulls      number of documents without a key
 
 A key's bucket gives a displacement, key and displacement give the slot, the slot's
 fingerprint tells a foreign key with error 2^-32, and the slot's ordinal gives the place
@@ -29,11 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, only, shared_dir, table, text_or_empty
+from .common import map_batches, only, shared_dir, ship_package, table, text_or_empty
 from .encoder import encoder
 
 SEGMENT = ("shard int, segment int, first_key long, last_key long, documents long, n_ids long, "
-           "ids binary, ends binary, keys array<bigint>, seeds binary, prints binary, ordinals binary")
+           "ids binary, ends binary, keys array<bigint>, seeds binary, prints binary, ordinals binary, copies binary, nulls long")
 DIRECT = np.int64(1) << 40        # a displacement from here on names the slot itself
 
 
@@ -131,16 +133,16 @@ def write_segments(docs: DataFrame, path: str, vocabulary: str, end_id: int | No
             ends = np.cumsum([len(x) // width for x in held], dtype="<u8")
             null = np.array([k is None for k in keys])
             number = np.array([0 if k is None else k for k in keys], np.int64)
-            codes, first = np.unique(key_codes(number, null), return_index=True)
+            codes, first, times = np.unique(key_codes(number, null), return_index=True, return_counts=True)
             seeds, slots = build_hash(codes)
-            ordinals, prints = np.zeros(len(codes), "<u4"), np.zeros(len(codes), "<u4")
-            ordinals[slots], prints[slots] = first, fingerprints(codes)
+            ordinals, prints, copies = (np.zeros(len(codes), "<u4") for _ in range(3))
+            ordinals[slots], prints[slots], copies[slots] = first, fingerprints(codes), times
             out = pa.RecordBatch.from_pylist([{
                 "shard": shard, "segment": segment, "last_key": keys[-1],
                 "first_key": next((k for k in keys if k is not None), None),
                 "documents": len(keys), "n_ids": int(ends[-1]), "ids": b"".join(held), "ends": ends.tobytes(),
                 "keys": keys, "seeds": seeds.astype("<i8").tobytes(), "prints": prints.tobytes(),
-                "ordinals": ordinals.tobytes()}], schema=SCHEMA)
+                "ordinals": ordinals.tobytes(), "copies": copies.tobytes(), "nulls": int(null.sum())}], schema=SCHEMA)
             segment, size = segment + 1, 0
             keys.clear()
             held.clear()
@@ -165,7 +167,7 @@ def write_segments(docs: DataFrame, path: str, vocabulary: str, end_id: int | No
 SCHEMA = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("first_key", pa.int64()), ("last_key", pa.int64()),
                     ("documents", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.binary()), ("ends", pa.binary()),
                     ("keys", pa.list_(pa.int64())), ("seeds", pa.binary()), ("prints", pa.binary()),
-                    ("ordinals", pa.binary())])
+                    ("ordinals", pa.binary()), ("copies", pa.binary()), ("nulls", pa.int64())])
 
 
 # -- reading ---------------------------------------------------------------
@@ -226,29 +228,75 @@ OUT = pa.schema([("shard", pa.int32()), ("segment", pa.int32()), ("key", pa.int6
                  ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
+def _in_ranges(keys: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the key, number of the range) wherever a key lies in one of the ascending
+    ranges; neighbours may share a bound, as a key's documents may go on in the next one."""
+    first, last = np.searchsorted(high, keys, side="left"), np.searchsorted(low, keys, side="right")
+    many = np.maximum(last - first, 0)
+    key = np.repeat(np.arange(len(keys)), many)
+    return key, np.arange(len(key)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
+
+
 def fetch(files: DataFrame, keys: DataFrame, vocabulary: str, key_col: str = "key") -> DataFrame:
-    """Keyed access: (key, ids) for those of the distinct `keys` that are stored; a key
-    stored several times gives its first document of each segment. Keys are routed by the
-    key range of each shard (one row per writing task), then probe the segments' indexes."""
-    ranges = files.groupBy("shard").agg(F.min("first_key").alias("lo"), F.max("last_key").alias("hi"))
+    """Keyed access: (key, ids) of every stored document of the distinct `keys`, null among
+    them; absent keys have no row. Keys find their shards by binary search in the shards' key
+    ranges (a row per writing task, broadcast) and their segments by one in the shard's
+    segments, then probe the segments' indexes."""
+    spark = files.sparkSession
+    ship_package(spark)
+    ranges = files.groupBy("shard").agg(F.min("first_key").alias("lo"), F.max("last_key").alias("hi"), F.sum("nulls").alias("nulls"))
+    rows = ranges.orderBy("shard").collect()                                # one per writing task
+    known = [r for r in rows if r["lo"] is not None]
+    shared = spark.sparkContext.broadcast((
+        *(np.array([r[c] for r in known], np.int64) for c in ("lo", "hi", "shard")), np.array([r["shard"] for r in rows if r["nulls"]], np.int64)))
     asked = keys.select(F.col(key_col).cast("long").alias("k")).distinct()
-    wanted = asked.join(F.broadcast(ranges), (F.col("k") >= F.col("lo")) & (F.col("k") <= F.col("hi"))).select("shard", "k")
-    inside = (wanted.join(files.select("shard", "segment", "first_key", "last_key"), "shard")
-              .filter(F.col("k").between(F.col("first_key"), F.col("last_key")))
-              .groupBy("shard", "segment").agg(F.collect_set("k").alias("asked")))
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high, shard, with_null = shared.value
+        for batch in batches:
+            column = batch["k"]
+            if column.null_count and len(with_null):
+                yield pa.RecordBatch.from_arrays([pa.array(with_null, pa.int32()), pa.nulls(len(with_null), pa.int64())], ["shard", "k"])
+            some = column.drop_null().to_numpy()
+            key, at = _in_ranges(some, low, high)
+            yield pa.RecordBatch.from_arrays([pa.array(shard[at], pa.int32()), pa.array(some[key], pa.int64())], ["shard", "k"])
+
+    def to_segments(key, wanted: pa.Table, segments: pa.Table) -> pa.Table:
+        segments, column = segments.sort_by("segment"), wanted["k"].combine_chunks()
+        numbers = segments["segment"].to_numpy()
+        keyed = segments.filter(segments["first_key"].is_valid())
+        some = column.drop_null().to_numpy()
+        at, of = _in_ranges(some, keyed["first_key"].to_numpy(), keyed["last_key"].to_numpy())
+        found = [pa.array(some[at], pa.int64())]
+        place = [keyed["segment"].to_numpy()[of] if len(of) else np.zeros(0, np.int32)]
+        if column.null_count:
+            place.append(numbers[segments["nulls"].to_numpy() > 0])
+            found.append(pa.nulls(len(place[-1]), pa.int64()))
+        place = np.concatenate(place)
+        shard = segments["shard"][0].as_py() if segments.num_rows else 0
+        return pa.table({"shard": pa.array(np.full(len(place), shard), pa.int32()), "segment": pa.array(place, pa.int32()), "k": pa.concat_arrays(found)})
+
+    wanted = map_batches(asked, route, "shard int, k long")
+    bounds = files.select("shard", "segment", "first_key", "last_key", "nulls")
+    placed = wanted.groupBy("shard").cogroup(bounds.groupBy("shard")).applyInArrow(to_segments, "shard int, segment int, k long")
+    inside = placed.groupBy("shard", "segment").agg(F.collect_list(F.struct("k")).alias("asked"))
     hits = inside.join(files.drop("keys"), ["shard", "segment"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = encoder(vocabulary).dtype
         for batch in batches:
             for segment in batch.to_pylist():
-                asked = np.array(sorted(segment["asked"]), np.int64)
-                got = _documents(segment, asked, np.zeros(len(asked), bool), dtype.itemsize)
+                keys = sorted((r["k"] for r in segment["asked"]), key=lambda k: (k is not None, k))
+                null = np.array([k is None for k in keys])
+                number = np.array([k or 0 for k in keys], np.int64)
+                slot = look_up(key_codes(number, null), np.frombuffer(segment["seeds"], "<i8"), np.frombuffer(segment["prints"], "<u4"))
+                times = np.where(slot >= 0, np.frombuffer(segment["copies"], "<u4")[slot], 0).astype(np.int64)
+                got = _documents(segment, np.repeat(number, times), np.repeat(null, times), dtype.itemsize)
                 ids = [np.frombuffer(x, dtype).astype(np.int32).tolist() for x in got["ids"]]
-                yield pa.RecordBatch.from_pydict({"key": asked[got["found"]], "ids": ids},
+                yield pa.RecordBatch.from_pydict({"key": [k for k, n in zip(keys, times.tolist(), strict=True) for _ in range(n)], "ids": ids},
                                                  pa.schema([("key", pa.int64()), ("ids", pa.list_(pa.int32()))]))
 
-    return map_batches(hits.select("asked", "ids", "ends", "seeds", "prints", "ordinals"), read, "key long, ids array<int>")
+    return map_batches(hits.select("asked", "ids", "ends", "seeds", "prints", "ordinals", "copies"), read, "key long, ids array<int>")
 
 
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

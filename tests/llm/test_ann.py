@@ -70,3 +70,16 @@ def test_empty_tables(spark):
     none, some = table(spark, []), table(spark, vectors(4, 30))
     assert ann.search(ann.build_index(none), some).count() == 0
     assert ann.search(ann.build_index(some), none).count() == 0
+
+
+def test_a_third_with_one_id(spark):
+    """One id on a third of the rows, copies among them: no shard far above its share."""
+    rnd = np.random.default_rng(8)
+    rows = [(7 if i % 3 == 0 else i, [1.0] * 4 if i % 6 == 0 else rnd.normal(size=4).tolist()) for i in range(3000)]
+    df = table(spark, rows)
+    index = ann.build_index(df, 300, 16)
+    sizes = [len(r["ids"]) // 8 for r in index.collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 450
+    got = sorted(map(tuple, ann.search(index, df.filter("id in (7, 100, 202)"), 10).collect()))
+    first = min(v for i, v in rows if i == 7)
+    assert got == brute(rows, [(7, first), (100, rows[100][1]), (202, rows[202][1])], 10)

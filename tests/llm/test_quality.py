@@ -77,3 +77,30 @@ def test_long_texts_are_counted_in_blocks(monkeypatch):
     monkeypatch.setattr(quality, "BLOCK", 100)
     parts = quality.term_counts(text)
     assert whole[:2048].sum() == parts[:2048].sum() and (whole[:2048] == parts[:2048]).all()
+
+
+def test_long_texts_count_as_in_one_piece(monkeypatch):
+    """Blocks neither cut words nor forget the word before: any block size, the same counts."""
+    rnd = random.Random(21)
+    for text in (corpus.prose(rnd, 800), "same " * 300, "x" * 999 + " y", " \n a", "Ab cD\tAb", ""):
+        whole = quality.term_counts(text.encode())
+        for size in (1, 7, 64, 500):
+            with monkeypatch.context() as m:
+                m.setattr(quality, "BLOCK", size)
+                assert (quality.term_counts(text.encode()) == whole).all()
+
+
+def test_words_tell_texts_of_one_style_apart():
+    """Two vocabularies of the same shape: only the words differ."""
+    rnd = random.Random(22)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    kinds = [["".join(rnd.choice(letters) for _ in range(4)) for _ in range(30)] for _ in range(2)]
+    texts = [(k, " ".join(rnd.choice(kinds[k]) for _ in range(60))) for k in (0, 1) for _ in range(80)]
+    rnd.shuffle(texts)
+    rows = np.stack([quality.term_weights(quality.term_counts(t.encode())) for _, t in texts])
+    label = np.array([float(k) for k, _ in texts])
+    model = quality.fit(rows[:100], label[:100], 16, 5)
+    assert ((model.score(rows[100:]) > 0.5) == (label[100:] > 0.5)).mean() > 0.95
+    assert (quality.term_counts(b"Word wORD") == quality.term_counts(b"Word wORD")).all()
+    assert (quality.term_counts(b"no")[quality.STYLE:] == quality.term_counts(b"No")[quality.STYLE:]).all()
+    assert (quality.term_counts(b"on")[quality.STYLE:] != quality.term_counts(b"no")[quality.STYLE:]).any()

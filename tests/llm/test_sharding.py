@@ -82,3 +82,19 @@ def test_exchanges_by_bytes_keep_the_other_measures():
     off = [abs(np.bincount(s, weights=rows, minlength=10) / rows.sum() * 10 - 1).max() for s in (before, after)]
     spread = [np.ptp(np.bincount(s, weights=size, minlength=10)) for s in (before, after)]
     assert off[1] <= max(0.02, off[0]) + 1e-9 and spread[1] <= spread[0]
+
+
+def test_texts_without_blanks_weigh_by_their_bytes(spark):
+    """Long texts without a blank are spread as their tokens are, not as one word each."""
+    rows = [(i, ("日本語の文章" * 40) if i % 10 == 0 else "w " * 30) for i in range(2000)]
+    got = run(corpus.table(spark, rows), shards=5)
+    text = dict(rows)
+    tokens = np.bincount([r["shard"] for r in got], weights=[max(len(text[r["doc_id"]].split()), len(text[r["doc_id"]].encode()) / 4) for r in got])
+    assert tokens.max() / tokens.min() < 1.1
+
+
+def test_a_third_of_the_rows_alike(spark):
+    rows = [(7, "the same row")] * 400 + [(i, f"text {i}") for i in range(800)]
+    got = run(corpus.table(spark, rows).repartition(5), shards=6, slot_rows=20)
+    for s in range(6):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))

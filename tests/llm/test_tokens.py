@@ -136,10 +136,25 @@ def test_token_files_and_keyed_access(spark, library):
     assert found == {i: [*library(text[i]), 2] for i in (7, 13, -5, 100)}
 
 
+def test_keyed_access_to_repeats_and_null_keys(spark, library):
+    """A key and the missing key hold many documents over several segments and tasks: all are found."""
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text number {i % 40} of many") for i in range(240)]
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}-repeats"
+    token_output.write_segments(corpus.table(spark, rows).repartition(4), path, JSON, segment_ids=60)
+    files = spark.read.parquet(path)
+    assert files.filter("array_contains(keys, 5)").count() > 3 and files.filter("nulls > 0").count() > 3
+    for asked in ([None, 5, 8, 9999], [5], [None], [8, 11, -1], []):
+        keys = spark.createDataFrame([(k,) for k in asked + asked], "key long")
+        got = Counter((r["key"], tuple(r["ids"])) for r in token_output.fetch(files, keys, JSON).collect())
+        assert got == Counter((k, tuple(library(t))) for k, t in rows if k in asked)
+
+
 def test_token_files_of_an_empty_table(spark):
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}-empty"
     token_output.write_segments(corpus.empty(spark), path, JSON)
-    assert token_output.read_documents(spark.read.schema(token_output.SEGMENT).parquet(path), JSON).count() == 0
+    files = spark.read.schema(token_output.SEGMENT).parquet(path)
+    assert token_output.read_documents(files, JSON).count() == 0
+    assert token_output.fetch(files, spark.createDataFrame([(1,), (None,)], "key long"), JSON).count() == 0
 
 
 def test_perfect_hash_is_minimal_and_spots_foreign_keys():
@@ -178,6 +193,25 @@ def test_packing(spark, library, capacity):
     assert len(sequences) <= least * 1.05 + 1
 
 
+def test_a_third_of_the_rows_alike(spark):
+    """Rows alike in every column are numbered in many buckets, and places stay gapless."""
+    rows = [(7, "the same row again")] * 300 + [(i, f"another text {i}" + " word" * (i % 7)) for i in range(600)]
+    got = packing.pack_documents(corpus.table(spark, rows).repartition(6), JSON, capacity=64).collect()
+    assert len(got) == 900
+    places = {}
+    for r in got:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for held in places.values():
+        at = 0
+        for offset, length in sorted(held):
+            assert offset == at
+            at += length
+        assert at <= 64
+    pieces = packing.cut_documents(corpus.table(spark, rows), JSON, 64, 0, "doc_id", "text", False).withColumn("row", F.monotonically_increasing_id())
+    same = pieces.filter("id = 7").select(F.pmod(F.xxhash64(*[c for c in pieces.columns if c != "ids"]), F.lit(16)).alias("b"))
+    assert same.groupBy("b").count().agg(F.max("count")).first()[0] < 60
+
+
 def test_packing_of_an_empty_table(spark):
     assert packing.pack_documents(corpus.empty(spark), JSON).count() == 0
 
