@@ -1,8 +1,9 @@
 """Connected components by alternating large-star and small-star steps.
 
 Every step is a join with a grouped minimum, which is pre-aggregated, and the table never
-leaves the executors. The edges of a node with very many neighbours do not meet in one task:
-such nodes, at most HOT of them by their counted degree, are joined by a broadcast. Before the first step each task
+leaves the executors. The minima are dealt anew before the join, so that both of its sides
+are plain shuffles: adaptive execution then splits the edges of a node with very many
+neighbours over tasks. Before the first step each task
 joins the edges that it holds to stars, which are fewer and shallower. Each round is
 written to the shared folder; the number of rounds is logarithmic in practice.
 """
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 from .common import map_batches, stored
 
 EDGES = 1 << 20       # edges that a task joins at a time
-HOT = 4096            # nodes broadcast at most
 
 
 def stars(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -59,13 +59,9 @@ def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return table, (seen.get["n"], seen.get["x"])
 
 
-def _with_least(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
-    """`edges` with the least neighbour `m` of their end `a`; `n` edges in all, so fewer than
-    HOT nodes have more than n / HOT of them."""
-    often = max(1024, -(-n // HOT))
-    hot = F.broadcast(least.filter(F.col("degree") > often).select("a", "m"))
-    return (edges.join(hot, "a")
-            .unionByName(edges.join(hot.select("a"), "a", "left_anti").join(least.filter(F.col("degree") <= often).select("a", "m"), "a")))
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """`edges` with the least neighbour `m` of their end `a`."""
+    return edges.join(least.repartition("a"), "a")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -75,10 +71,10 @@ def connected(edges: DataFrame) -> DataFrame:
     now, mark = _written(local.distinct())
     while mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count(F.lit(1)).alias("degree"))
-        large = _with_least(both, least, 2 * mark[0]).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree"))
-        small = (_with_least(large, least, mark[0]).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        large = _with_least(both, least).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = (_with_least(large, least).select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
         before = mark
         now, mark = _written(small)

@@ -40,7 +40,7 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2      # b, a and q of the two-byte r
 SLACK = 12.0                                       # log likelihood by which a link must be ruled out
 CELL = 512                                         # nodes verified or compared together
 CELL_SHINGLES = 1 << 20                            # and shingles of their texts, about
-CELLS_A_TASK = 4
+TASK_ROWS = 1 << 13                                # nodes verified by a task, about
 NO_ID = -(1 << 62)                                 # join key of rows without an id
 
 
@@ -321,7 +321,7 @@ def verified(seats: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, id
     to connect whatever the links of the cell connect. `seats` is a stored table."""
     guests = stored(seats.join(nodes.select("node", "n", "set_a", "set_b", "key", F.col("first.text_hash").alias("text_hash"), "registers"), "node"),
                     "near-guests")
-    cells = guests.select(*_CELL).distinct().count()
+    rows = guests.count()
 
     # Texts of the nodes in question, one for each id and text: rows that share an id, or have
     # none, are told apart by the text's hash, and copies of a row are reduced before the
@@ -336,7 +336,7 @@ def verified(seats: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, id
              .groupBy("key", "text_hash").agg(F.max("text").alias("text")))
     seated = (guests.join(texts, ["key", "text_hash"])
               .select(*_CELL, "node", "component", "major", "block", "n", "set_a", "set_b", "registers", "text")
-              .repartition(max(1, -(-cells // CELLS_A_TASK)), *_CELL))       # by work, not by bytes
+              .repartition(max(1, -(-rows // TASK_ROWS)), *_CELL))          # by work, not by bytes
 
     def check(rows: pa.Table) -> pa.Table:
         # Hashes of texts may be equal: the text of a node is the one with the node's signature.
