@@ -6,11 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.aggspec import AggSpec
-from ..operators.encode import listed, one_hot
+from ..operators.encode import category_long, listed, one_hot
 from ..plans import application as A
 from ..plans import behaviour as BH
 from ..plans import bureau as B
 from ..plans import history as HI
+from ..plans import wide as WI
 from ..sources import roles
 from .common import finish, query, r, sql_stat
 from .sqlroles import INT_COLS, with_roles
@@ -179,15 +180,9 @@ def _assemble_sql() -> str:
 @query("assemble_wide", _assemble_sql())
 def assemble_wide(spark, base):
     """B-12: applicant features left-joined with the five child feature tables."""
-    app = A.application_features(roles.application_train(spark, base), roles.application_test(spark, base))
-    return finish(HI.assemble(
-        app,
-        B.bureau_and_balance(roles.credit(spark, base), roles.history(spark, base)),
-        HI.previous_applications(roles.previous(spark, base)),
-        HI.pos_cash(roles.pos_cash(spark, base)),
-        HI.installments(roles.instalments(spark, base)),
-        HI.credit_card(roles.card(spark, base)),
-    ))
+    return finish(WI.applicant_table(
+        roles.application_train(spark, base), roles.application_test(spark, base), roles.credit(spark, base), roles.history(spark, base),
+        roles.previous(spark, base), roles.pos_cash(spark, base), roles.instalments(spark, base), roles.card(spark, base)))
 
 
 # ------------------------------------------------------------------ A-14 / A-11 / A-12 / J-4
@@ -231,6 +226,18 @@ def category_counts(spark, base):
     return finish(p.withColumnsRenamed({s: f"STATUS_{s}_COUNT" for s in BH.STATUS_CODES}))   # P-4 rename by map
 
 
+@query("category_long", with_roles("credit") + """
+, l AS (SELECT SK_ID_CURR, 'CREDIT_TYPE' AS "column", CREDIT_TYPE AS value FROM credit
+        UNION ALL SELECT SK_ID_CURR, 'CREDIT_ACTIVE', CREDIT_ACTIVE FROM credit)
+, n AS (SELECT SK_ID_CURR, count(*) AS n FROM credit GROUP BY SK_ID_CURR)
+SELECT l.SK_ID_CURR, l."column", l.value, count(*) AS count, """ + r("count(*) / any_value(n.n)") + """ AS share
+FROM l JOIN n ON n.SK_ID_CURR = l.SK_ID_CURR GROUP BY 1, 2, 3""")
+def category_long_q(spark, base):
+    """A-11, A-12 as rows, for columns with too many levels for dummy columns."""
+    credit = roles.credit(spark, base).select("SK_ID_CURR", "CREDIT_TYPE", "CREDIT_ACTIVE")
+    return finish(category_long(credit, "SK_ID_CURR"))
+
+
 @query("semi_join_latest_status", with_roles("credit", "hist") + """
 SELECT STATUS, count(SK_ID_BUREAU) AS N_MONTHS, count(DISTINCT SK_ID_BUREAU) AS N_CREDITS
 FROM hist WHERE SK_ID_BUREAU IN (SELECT SK_ID_BUREAU FROM credit WHERE CREDIT_ACTIVE = 'Active')

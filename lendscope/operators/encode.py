@@ -1,10 +1,11 @@
 """Categorical encoders (K-13..K-17, A-11, A-12, A-24, B-15, B-16).
 
-One-hot columns need their names at plan time, so their vocabulary is read to the driver
-in one job (distinct values of all requested columns at once), without a limit on levels:
-what a wide encoding cannot hold as columns, `category_long` gives as rows. Callers that
-know their categories pass `vocab=` and skip the job. Label codes and target means need no
-driver list: they are distributed tables, attached by `lookup_join`.
+One-hot columns need their names at plan time, so their vocabulary is read to the driver, in
+one job for any number of tables (`vocabularies`). The job counts distinct values by a sketch
+and tracks a bounded number of levels; only columns proven to have at most MAX_LEVELS reach
+the driver. What a wide encoding cannot hold as columns, `category_long` gives as rows.
+Callers that know their categories pass `vocab=` and skip the job. Label codes and target
+means need no driver list: they are distributed tables, attached by `lookup_join`.
 
 `lookup_join` never shuffles the fact side onto a category. It reads at most
 `BROADCAST_ROWS` rows of the lookup table; a table within that size is broadcast, a larger
@@ -14,6 +15,7 @@ one is joined with salted keys, so a category holding a third of all rows is spr
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ from pyspark.sql.types import StringType
 from .series import prefix_sums, quantile_bucket
 
 BROADCAST_ROWS = 100_000     # a lookup table up to this many rows is broadcast
+MAX_LEVELS = 2_000           # levels of a column that may become dummy columns
+LEVEL_BYTES = 256            # and the longest of them
 SALTS = 32
 
 
@@ -50,19 +54,44 @@ def string_columns(df: DataFrame, among: Iterable[str] | None = None) -> list[st
             if isinstance(f.dataType, StringType) and (allowed is None or f.name in allowed)]
 
 
-def vocabulary(df: DataFrame, columns: Iterable[str]) -> dict[str, list[str]]:
-    """Sorted distinct non-null values of each column, in one job."""
-    columns = list(columns)
-    if not columns:
-        return {}
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), quoted(c).cast("string").alias("value"))
-                                for c in columns]))
-    distinct = (df.select(pairs.alias("p")).select("p.name", "p.value")
-                .filter(F.col("value").isNotNull()).distinct())
-    out = {c: [] for c in columns}
-    for row in distinct.collect():
-        out[row["name"]].append(row["value"])
-    return {c: sorted(v) for c, v in out.items()}
+def _levels(df: DataFrame, columns: list[str], table: str, max_levels: int) -> DataFrame:
+    """(table, name, levels, seen, rows, estimate, long) per column, from one aggregate without
+    keys, in bounded memory. The tracked levels are all of them, with exact counts, unless a
+    column has more than three quarters of the 4 * `max_levels` that the sketch has room for."""
+    aggregates = []
+    for i, c in enumerate(columns):
+        v = quoted(c).cast("string")
+        short = F.when(F.octet_length(v) <= LEVEL_BYTES, v)
+        aggregates += [F.call_function("approx_top_k", short, F.lit(2 * max_levels), F.lit(4 * max_levels)).alias(f"top{i}"),
+                       F.approx_count_distinct(v).alias(f"estimate{i}"),
+                       F.count(F.when(F.octet_length(v) > LEVEL_BYTES, 1)).alias(f"long{i}")]
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *aggregates)
+    return wide.select(F.lit(table).alias("table"), "rows", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("name"), F.col(f"top{i}.item").alias("levels"),
+                 F.aggregate(f"top{i}", F.lit(0).cast("long"), lambda total, x: total + x["count"]).alias("seen"),
+                 F.col(f"estimate{i}").alias("estimate"), F.col(f"long{i}").alias("long")) for i, c in enumerate(columns)])).alias("c")) \
+        .select("table", "rows", F.col("c.name").alias("name"), "c.seen", "c.estimate", "c.long",
+                F.when((F.col("c.long") == 0) & (F.col("c.seen") == F.col("rows")) & (F.col("c.estimate") <= 2 * max_levels)
+                       & (F.size(F.array_compact("c.levels")) <= max_levels), F.array_compact("c.levels")).alias("levels"))
+
+
+def vocabularies(tables: Mapping[str, DataFrame | tuple[DataFrame, Iterable[str]]], max_levels: int = MAX_LEVELS) -> dict[str, dict[str, list[str]]]:
+    """{table: {column: sorted distinct non-null values}} of the string columns (or the given
+    ones) of several tables, in one job. A column with more than `max_levels` levels, or a value
+    of more than LEVEL_BYTES bytes, is left out: its levels never leave the executors."""
+    wanted = {name: (t[0], list(t[1])) if isinstance(t, tuple) else (t, string_columns(t)) for name, t in tables.items()}
+    parts = [_levels(df, columns, name, max_levels) for name, (df, columns) in wanted.items() if columns]
+    out: dict[str, dict[str, list[str]]] = {name: {} for name in wanted}
+    if parts:
+        for row in reduce(DataFrame.unionByName, parts).select("table", "name", "levels").collect():      # a row per column
+            if row["levels"] is not None:
+                out[row["table"]][row["name"]] = sorted(row["levels"])
+    return out
+
+
+def vocabulary(df: DataFrame, columns: Iterable[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
+    """`vocabularies` of one table."""
+    return vocabularies({"": (df, columns)}, max_levels)[""]
 
 
 def listed(column: str, levels: Iterable[str]) -> Column:
@@ -96,17 +125,21 @@ def one_hot_exprs(column: str, levels: Iterable[str], dummy_na: bool) -> dict[st
 
 def one_hot(df: DataFrame, columns: Iterable[str] | None = None, dummy_na: bool = False,
             vocab: Mapping[str, list[str]] | None = None,
-            keep_original: bool = False) -> tuple[DataFrame, list[str]]:
+            keep_original: bool = False, max_levels: int = MAX_LEVELS) -> tuple[DataFrame, list[str]]:
     """pandas `get_dummies` equivalent (K-14, K-15).
 
     Encodes `columns` (default: every string column). With `dummy_na` a
     `COL_nan` indicator is emitted even when the column has no missing value.
-    Returns the new frame and the list of dummy column names.
+    Returns the new frame and the list of dummy column names. A column with more than
+    `max_levels` levels and no `vocab` is an error: `category_long` is the form for it.
     """
     cols = string_columns(df) if columns is None else string_columns(df, columns)
     vocab = dict(vocab or {})
     missing = [c for c in cols if c not in vocab]
-    vocab.update(vocabulary(df, missing))
+    vocab.update(vocabulary(df, missing, max_levels))
+    wide = [c for c in cols if c not in vocab]
+    if wide:
+        raise ValueError(f"{', '.join(wide)}: too many or too long levels for dummy columns; use category_long, pass vocab= or leave the column out")
     dummies: dict[str, Column] = {}
     for c in cols:
         dummies.update(one_hot_exprs(c, vocab[c], dummy_na))

@@ -26,7 +26,7 @@ def con():
 
 
 def test_every_query_has_oracle_or_is_a_model_run():
-    assert set(QUERIES) - set(SQL) == {"gbt_oof_auc", "rf_pd"}
+    assert set(QUERIES) - set(SQL) == {"rf_pd"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -90,7 +90,7 @@ def test_model_run_small(spark):
     assert out["importance"].count() == 3 * len(SC.feature_columns(app))
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"gbt_oof_auc", "rf_pd"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"rf_pd"}))
 def test_plan_hygiene(spark, name):
     """No Python UDFs in the row path, no cartesian products or nested-loop joins."""
     plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()

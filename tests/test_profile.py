@@ -1,14 +1,38 @@
 """Profiling operators and vocabularies."""
+import pytest
 from pyspark.sql import functions as F
 
 from lendscope.operators import profile as PR
-from lendscope.operators.encode import vocabulary
-
-
-def test_vocabulary_has_no_limit(spark):
-    df = spark.range(3000).select(F.col("id").cast("string").alias("c"), F.lit("x").alias("d"))
-    got = vocabulary(df, ["c", "d"])
-    assert got["d"] == ["x"] and got["c"] == sorted(str(i) for i in range(3000))
+from lendscope.operators.encode import category_long, one_hot, vocabularies, vocabulary
+
+
+def test_vocabulary_guards_the_driver(spark):
+    """A million levels, very long ones and just too many are found without leaving the executors."""
+    n = F.col("id")
+    df = spark.range(1_000_000).select(
+        F.concat(F.lit("level "), n.cast("string")).alias("million"), F.when(n % 3 > 0, (n % 2000).cast("string")).alias("most"),
+        (n % 2001).cast("string").alias("more"), F.when(n == 5, F.repeat(F.lit("long "), 60)).otherwise("short").alias("text"),
+        F.when(n % 2 == 0, (n % 7).cast("string")).alias("few"), F.lit(None).cast("string").alias("none"))
+    got = vocabulary(df, df.columns)
+    assert set(got) == {"most", "few", "none"}
+    assert got["most"] == sorted(str(i) for i in range(2000)) and got["few"] == list("0123456") and got["none"] == []
+    with pytest.raises(ValueError, match="million.*category_long"):
+        one_hot(df, ["million", "few"])
+
+
+def test_vocabularies_of_several_tables(spark):
+    a = spark.createDataFrame([("x", "1"), (None, "2")], "c string, d string")
+    b = spark.createDataFrame([("y", 1)], "c string, n int")
+    assert vocabularies({"a": a, "b": b, "some": (a, ["d"]), "empty": a.limit(0), "numbers": b.select("n")}) == {
+        "a": {"c": ["x"], "d": ["1", "2"]}, "b": {"c": ["y"]}, "some": {"d": ["1", "2"]}, "empty": {"c": [], "d": []}, "numbers": {}}
+    assert vocabularies({}) == {}
+
+
+def test_category_long_of_many_levels(spark):
+    df = spark.range(20_000).select((F.col("id") % 10).alias("k"), F.when(F.col("id") >= 10, F.col("id").cast("string")).alias("c"))
+    got = category_long(df, "k")
+    assert got.count() == 20_000 and got.filter("value is null").count() == 10
+    assert got.agg(F.min("share"), F.max("share")).first() == (1 / 2000, 1 / 2000)
 
 
 def test_value_counts_most_frequent_first(spark):
