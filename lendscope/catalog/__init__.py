@@ -1,6 +1,6 @@
 """Check-query catalog: every builder/operator exercised on the driver tables,
 each with an independent DuckDB formulation (oracle) where SQL can express it."""
-from . import application, behaviour, credit, history, modeling, profile  # noqa: F401  (registers queries)
+from . import application, behaviour, credit, history, modeling, portfolio, profile  # noqa: F401  (registers queries)
 from .common import REGISTRY
 
 

@@ -31,6 +31,7 @@ from pyspark.sql.types import NumericType
 
 from ..functions import hash01
 from ..operators import evaluation as EV
+from ..operators.blending import balanced_draws
 from ..session import drop_stored, materialize, store
 from ..sources.tables import append_metrics, write_table
 from .history import assemble
@@ -211,24 +212,84 @@ def forest(seed: int, trees: int, depth: int, weight: str | None = None) -> Rand
                                  featureSubsetStrategy="all", seed=seed, **kw)
 
 
+def mean_prediction(fit, members: int, scored: DataFrame, out: str, block: int, parallel: int, folder: str | None) -> DataFrame:
+    """`scored` with the mean prediction of `members` models. `fit(number)` trains one (numbers
+    from 1); `parallel` of them train side by side. After `block` models their sum is
+    stored in place of the one before, so neither the plan nor the driver grows with them, and
+    each model scores its rows once."""
+    spark = scored.sparkSession
+    state, path = store(scored.withColumn("_s", F.lit(0.0)), "members", folder)
+    for first in range(1, members + 1, block):
+        numbers = range(first, min(first + block, members + 1))
+        with ThreadPool(parallel) as pool:
+            models = pool.map(inheritable_thread_target(spark)(fit), numbers)
+        moved = state
+        for i, model in enumerate(models):
+            moved = model.setPredictionCol(f"_p{i}").transform(moved)
+        total = reduce(lambda x, y: x + y, [F.col(f"_p{i}") for i in range(len(models))], F.col("_s"))
+        old, (state, path) = path, store(moved.withColumn("_s", total).select(*state.columns), "members", folder)
+        drop_stored(spark, old)
+    return state.withColumn(out, F.col("_s") / F.lit(float(members))).drop("_s")
+
+
 def sampled_label_ensemble(accepted: DataFrame, rejected: DataFrame, scored: DataFrame, pd_col: str, seed: int,
                            trees: int, depth: int, draws: int, id_col: str = "SK_ID_CURR",
-                           folder: str | None = None, block: int = 20) -> DataFrame:
+                           folder: str | None = None, block: int = 20, parallel: int = 4, bootstrap: bool = True) -> DataFrame:
     """M-13: one forest per draw of Bernoulli(pd) labels for the rejected rows; (id, p_ri) is
-    the mean of their predictions for `scored`. Predictions are checkpointed every `block`
-    draws, so the plan stays small."""
-    sums = None
-    for first in range(1, draws + 1, block):
-        parts = []
-        for draw in range(first, min(first + block, draws + 1)):
-            label = (hash01(id_col, EV.DEFAULT_SEED if seed is None else seed, F.lit(draw)) < F.col(pd_col)).cast("double")
-            rows = accepted.drop(pd_col).unionByName(rejected.withColumn("_y", label).drop(pd_col))
-            model = forest(seed + draw, trees, depth).fit(rows)
-            parts.append(model.transform(scored).select(id_col, F.col("prediction").alias("_s")))
-        if sums is not None:
-            parts.append(sums)
-        sums = materialize(reduce(DataFrame.unionByName, parts).groupBy(id_col).agg(F.sum("_s").alias("_s")), folder)
-    return sums.select(id_col, (F.col("_s") / F.lit(float(draws))).alias("p_ri"))
+    the mean of their predictions for `scored`. Both sets are stored once as one matrix; a draw
+    is a column expression over it (see `mean_prediction`)."""
+    both = accepted.withColumn("_pd", F.lit(None).cast("double")).drop(pd_col).unionByName(
+        rejected.withColumn("_pd", F.col(pd_col).cast("double")).drop(pd_col))
+    matrix, path = store(both.select(id_col, "features", "_y", "_pd"), "draws", folder)
+
+    def fit(draw: int):
+        drawn = (hash01(id_col, EV.DEFAULT_SEED if seed is None else seed, F.lit(draw)) < F.col("_pd")).cast("double")
+        rows = matrix.withColumn("_y", F.when(F.col("_pd").isNull(), F.col("_y")).otherwise(drawn))
+        return forest(seed + draw, trees, depth).setBootstrap(bootstrap).fit(rows)
+
+    out = mean_prediction(fit, draws, scored.select(id_col, "features"), "p_ri", block, parallel, folder).select(id_col, "p_ri")
+    drop_stored(matrix.sparkSession, path)
+    return out
+
+
+def bagged_trees(df: DataFrame, features: list[str], label: str, members: int, depth: int = 5, seed: int = EV.DEFAULT_SEED,
+                 id_col: str = "SK_ID_CURR", folder: str | None = None, block: int = 20, parallel: int = 4) -> DataFrame:
+    """(id, pred) of all rows: mean of trees that each train on a balanced draw of the labelled
+    rows (`operators.blending.balanced_draws`). The matrix is stored once with the drawing
+    members of each row."""
+    draws = balanced_draws(df.select(id_col, label), id_col, label, members, seed).groupBy(id_col).agg(F.collect_set("member").alias("_in"))
+    rows = _assemble(df, features).select(id_col, "features", F.col(label).cast("double").alias("_y")).join(draws, id_col, "left")
+    matrix, path = store(rows, "bagged", folder)
+
+    def fit(member: int):
+        mine = matrix.filter(F.array_contains("_in", member))
+        return forest(seed + member, 1, depth).setBootstrap(False).fit(mine)
+
+    out = mean_prediction(fit, members, matrix.select(id_col, "features"), "pred", block, parallel, folder).select(id_col, "pred")
+    drop_stored(matrix.sparkSession, path)
+    return out
+
+
+def drift_classifier(train: DataFrame, test: DataFrame, features: list[str], k: int = 3, trees: int = 20, depth: int = 5,
+                     seed: int = EV.DEFAULT_SEED, id_col: str = "SK_ID_CURR", folder: str | None = None) -> dict[str, DataFrame]:
+    """Adversarial validation: forests learn the origin of a row (0 train, 1 test) and judge the
+    rows of the fold that they have not seen. Returns `auc` (0.5: the sets look alike), `oof`
+    (id, origin, pred) and `importance` (feature, importance, fold)."""
+    rows = train.select(id_col, *features).withColumn("_y", F.lit(0.0)).unionByName(test.select(id_col, *features).withColumn("_y", F.lit(1.0)))
+    matrix, path = store(_assemble(EV.kfold(rows, id_col, k, seed), features).select(id_col, "fold", "_y", "features"), "drift", folder)
+
+    def fit(f: int):
+        return forest(seed + f, trees, depth).fit(matrix.filter(F.col("fold") != f))
+
+    with ThreadPool(k) as pool:
+        models = pool.map(inheritable_thread_target(matrix.sparkSession)(fit), range(k))
+    parts = [m.transform(matrix.filter(F.col("fold") == f)).select(id_col, F.col("_y").cast("int").alias("origin"), F.col("prediction").alias("pred"))
+             for f, m in enumerate(models)]
+    oof = materialize(reduce(DataFrame.unionByName, parts), folder)
+    drop_stored(matrix.sparkSession, path)
+    rows = [(name, float(v), f + 1) for f, m in enumerate(models) for name, v in zip(features, m.featureImportances.toArray(), strict=True)]
+    return {"auc": EV.auc(oof, "pred", "origin").select("auc"), "oof": oof,
+            "importance": oof.sparkSession.createDataFrame(rows, "feature string, importance double, fold int")}
 
 
 def reject_inference(pd_data: DataFrame, features: list[str], seed: int = EV.DEFAULT_SEED,
