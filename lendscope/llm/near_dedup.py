@@ -294,11 +294,17 @@ class Cell:
 _CELL = ("team", "i", "j")
 
 
+def _tasks(seats: DataFrame) -> int:
+    """Tasks for the cells of a stored table of seats: by their work, not by their few bytes."""
+    return max(1, -(-seats.count() // TASK_ROWS))
+
+
 def cross_groups(members: DataFrame, components: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(a, b): edges that connect the nodes of every passing pair of different components
     that shares a bucket, at most one per node and cell."""
-    seats = cross_seats(members.select(F.col("bucket").alias("team"), "node"), components, nodes)
-    rows = seats.join(nodes.select("node", "n", "registers"), "node").select(*_CELL, "node", "component", "major", "block", "n", "registers")
+    seats = stored(cross_seats(members.select(F.col("bucket").alias("team"), "node"), components, nodes), "near-cross")
+    rows = (seats.join(nodes.select("node", "n", "registers"), "node").select(*_CELL, "node", "component", "major", "block", "n", "registers")
+            .repartition(_tasks(seats), *_CELL))
 
     def compare(rows: pa.Table) -> pa.Table:
         cell = Cell(rows, rule, bucket=True)
@@ -321,7 +327,6 @@ def verified(seats: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, id
     to connect whatever the links of the cell connect. `seats` is a stored table."""
     guests = stored(seats.join(nodes.select("node", "n", "set_a", "set_b", "key", F.col("first.text_hash").alias("text_hash"), "registers"), "node"),
                     "near-guests")
-    rows = guests.count()
 
     # Texts of the nodes in question, one for each id and text: rows that share an id, or have
     # none, are told apart by the text's hash, and copies of a row are reduced before the
@@ -336,7 +341,7 @@ def verified(seats: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, id
              .groupBy("key", "text_hash").agg(F.max("text").alias("text")))
     seated = (guests.join(texts, ["key", "text_hash"])
               .select(*_CELL, "node", "component", "major", "block", "n", "set_a", "set_b", "registers", "text")
-              .repartition(max(1, -(-rows // TASK_ROWS)), *_CELL))          # by work, not by bytes
+              .repartition(_tasks(guests), *_CELL))
 
     def check(rows: pa.Table) -> pa.Table:
         # Hashes of texts may be equal: the text of a node is the one with the node's signature.
