@@ -7,9 +7,10 @@ the driver. What a wide encoding cannot hold as columns, `category_long` gives a
 Callers that know their categories pass `vocab=` and skip the job. Label codes and target
 means need no driver list: they are distributed tables, attached by `lookup_join`.
 
-`lookup_join` never shuffles the fact side onto a category. It reads at most
-`BROADCAST_ROWS` rows of the lookup table; a table within that size is broadcast, a larger
-one is joined with salted keys, so a category holding a third of all rows is spread.
+`lookup_join` never shuffles the fact side onto a category. It runs a job when called, to read
+at most `BROADCAST_ROWS` rows of the lookup table; a table within that size is broadcast, a
+larger one is computed again in the plan and joined with salted keys, so a category holding
+a third of all rows is spread.
 """
 
 from __future__ import annotations
