@@ -322,23 +322,25 @@ def cross_groups(members: DataFrame, components: DataFrame, nodes: DataFrame, ru
 # -- verification ----------------------------------------------------------
 
 def verified(seats: DataFrame, nodes: DataFrame, docs: DataFrame, rule: Rule, id_col: str, text_col: str,
-             slots: int = 1 << 18) -> DataFrame:
+             repeated: bool, slots: int = 1 << 18) -> DataFrame:
     """(a, b): links between nodes of different components that share a cell, enough of them
-    to connect whatever the links of the cell connect. `seats` is a stored table."""
+    to connect whatever the links of the cell connect. `seats` is a stored table; `repeated`
+    tells whether an id stands with the same text in several rows."""
     guests = stored(seats.join(nodes.select("node", "n", "set_a", "set_b", "key", F.col("first.text_hash").alias("text_hash"), "registers"), "node"),
                     "near-guests")
 
     # Texts of the nodes in question, one for each id and text: rows that share an id, or have
-    # none, are told apart by the text's hash, and copies of a row are reduced before the
-    # shuffle. The slots of both (at most `slots` numbers, however large the tables) thin the
+    # none, are told apart by the text's hash; copies of a whole row, if the table has any, are
+    # reduced before the shuffle. The slots of both (at most `slots` numbers, however large the tables) thin the
     # documents out first; the join decides.
     slot = F.pmod(F.xxhash64("key", "text_hash"), F.lit(slots))
     asked = guests.select(slot.alias("slot")).distinct()
     texts = (only(docs, id_col, text_col)
              .select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), text_or_empty(text_col).alias("text"))
              .withColumn("text_hash", F.xxhash64("text"))
-             .withColumn("slot", slot).join(F.broadcast(asked), "slot", "left_semi")
-             .groupBy("key", "text_hash").agg(F.max("text").alias("text")))
+             .withColumn("slot", slot).join(F.broadcast(asked), "slot", "left_semi").select("key", "text_hash", "text"))
+    if repeated:
+        texts = texts.groupBy("key", "text_hash").agg(F.max("text").alias("text"))
     seated = (guests.join(texts, ["key", "text_hash"])
               .select(*_CELL, "node", "component", "major", "block", "n", "set_a", "set_b", "registers", "text")
               .repartition(_tasks(guests), *_CELL))
@@ -406,14 +408,16 @@ def near_dedup(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id",
         F.coalesce(F.col("first.id").cast("long"), F.lit(NO_ID)).alias("key"), "registers"), "near-nodes")
     members = stored(memberships(nodes, rule), "near-members")
 
+    same = rows.filter("n > 0").groupBy("id", "text_hash").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    repeated = not same.isEmpty()
     seats = stored(star_seats(members, nodes, rule), "near-seats")
-    links = stored(verified(seats, nodes, docs, rule, id_col, text_col), "near-links")
+    links = stored(verified(seats, nodes, docs, rule, id_col, text_col, repeated), "near-links")
     components = connected(links)
     groups = stored(cross_groups(members, components, nodes, rule), "near-groups")
     if not groups.isEmpty():
         teams = connected(groups).select(F.col("component").alias("team"), "node")
         seats = stored(cross_seats(teams, components, nodes), "near-seats")
-        more = stored(verified(seats, nodes, docs, rule, id_col, text_col), "near-links")
+        more = stored(verified(seats, nodes, docs, rule, id_col, text_col, repeated), "near-links")
         components = connected(links.unionByName(more))
 
     joined = nodes.select("node", "set_a", "set_b", "first", "copies").join(components, "node", "left")

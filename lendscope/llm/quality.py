@@ -198,8 +198,8 @@ def classify(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: st
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
                 rows = np.stack([term_weights(term_counts(t.encode())) for t in part["_text"].to_pylist()])
                 score = fitted.value.score(rows)
                 yield pa.RecordBatch.from_arrays(
