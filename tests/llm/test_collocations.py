@@ -68,13 +68,13 @@ def test_against_counting_every_phrase(spark, top, least, chunk):
     """Small chunks and buckets; few wanted phrases settle early, many need every wave."""
     rows = documents(top + least)
     options = {"top": top, "least": least}
-    got = run(spark, rows, chunk_bytes=chunk, bucket_bytes=1500, shares=(0.02, 0.2, 0.5, 1.0), **options)
+    got = run(spark, rows, chunk_bytes=chunk, bucket_bytes=1500, shares=(0.02, 0.3, 1.0), **options)
     assert got == brute(rows, **options)
 
 
 def test_other_lengths(spark):
     rows = documents(77, 30)
-    for longest in (2, 3, 4):
+    for longest in (2, 4):
         assert run(spark, rows, top=25, least=3, longest=longest, chunk_bytes=1200) == brute(rows, top=25, least=3, longest=longest)
 
 
