@@ -29,6 +29,7 @@ Growth over chunks of documents, with exact counts:
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import zlib
@@ -135,14 +136,38 @@ def chunks_of(docs: DataFrame, chunk_bytes: int, text_col: str, lang_col: str) -
     return map_batches(src, gather, "chunk long, langs array<string>, sizes array<long>, lang_of binary, words binary, numbers binary")
 
 
+def _distinct(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first place of each distinct code, number of its code for each place, counts), by
+    ascending code. Code and place are sorted as one number where they fit."""
+    n = len(code)
+    if not n:
+        return (np.zeros(0, np.int64),) * 3
+    least, bits = int(code.min()), n.bit_length()
+    if (int(code.max()) - least).bit_length() + bits < 64:
+        both = ((code - least) << bits) | np.arange(n)
+        both.sort()
+        order, ascending = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(code, kind="stable")
+        ascending = code[order]
+    begins = np.append(True, ascending[1:] != ascending[:-1])
+    number = np.empty(n, np.int64)
+    number[order] = np.cumsum(begins) - 1
+    return order[begins], number, np.diff(np.append(np.flatnonzero(begins), n))
+
+
 class Chunk:
     """The words of a chunk, and per level which phrase begins at a place and its count."""
 
     def __init__(self, row: dict):
-        self.number, self.langs = row["chunk"], row["langs"]
-        self.lang_of, self.words = unpack(row["lang_of"], "<i4"), unpack_words(row["words"])
+        self.number, self.langs, self.packed_words = row["chunk"], row["langs"], row.get("words")
+        self.lang_of = unpack(row["lang_of"], "<i4")
         self.at = unpack(row["numbers"], "<i4").astype(np.int64) - 1           # NONE at breaks
 
+    @functools.cached_property
+    def words(self) -> list[bytes]:
+        return unpack_words(self.packed_words)
+
     def place(self, answers: pa.Table, limits: pa.Table, levels: int) -> None:
         """Tables of levels 1 to `levels` from what the buckets answered."""
         most = np.zeros(len(self.langs), np.int64)
@@ -151,54 +176,70 @@ class Chunk:
         for row in limits.select(["lang", "n", "most", "floor"]).to_pylist():
             i = number[row["lang"]]
             most[i], self.n[i], self.floor[i] = row["most"], row["n"], row["floor"]
-        self.cur, self.node, self.count, self.owned, self.first = [self.at], [None], [None], [None], [None]
+        self.cur, self.node, self.count, self.owned, self.first, self.held = [self.at], [None], [None], [None], [None], [None]
         of_level = {}
         for row in answers.to_pylist():
             of_level.setdefault(row["level"], []).append(row)
-        self._take(self.at, len(self.words), of_level.get(1, []))
+        kept = self._take(len(self.lang_of), of_level.get(1, []))
+        self.cur.append(kept[self.at])
+        self.frequent = self.cur[1] >= 0                                       # whether a word of `least` stands there
         count = self.count[1]
         self.frontier = (count > 0) & (count <= most[self.lang_of])
+        self.held.append(np.flatnonzero(np.append(self.frontier, False)[self.cur[1]]))
         for level in range(2, levels + 1):
-            self._take(*self.keys(level)[:2], of_level.get(level, []))
-
-    def _take(self, cur: np.ndarray, size: int, rows: list[dict]) -> None:
+            taken, inverse, place, _, _ = self._grown(level)
+            kept = self._take(len(place), of_level.get(level, []))[inverse]
+            cur = np.full(len(self.at), NONE, np.int64)
+            cur[taken] = kept
+            self.cur.append(cur)
+            self.held.append(taken[kept >= 0])
+            self.first.append(place)
+
+    def _take(self, size: int, rows: list[dict]) -> np.ndarray:
+        """The number of each of `size` phrases, NONE for those that no answer holds; last, NONE for NONE."""
         node, count, owned = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, bool)
         for row in rows:
             at = unpack_sorted(row["places"]).astype(np.int64)
             node[at], count[at], owned[at] = unpack(row["nodes"], "<i8"), unpack(row["counts"], "<i8"), unpack(row["owned"], "?")
-        self.cur.append(np.where((cur >= 0) & (np.append(count, 0)[cur] > 0), cur, NONE))
         self.node.append(node)
         self.count.append(count)
         self.owned.append(owned)
-
-    def keys(self, level: int) -> tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]:
-        """(key number per place, number of keys, parts of each key, counts, first places):
-        the distinct phrases of `level` words that could reach `least` and start or end in
-        the frontier. Parts: two nodes, the second marked where it is a suffix."""
-        n = len(self.at) - level + 1
-        out = np.full(len(self.at), NONE, np.int64)
-        if n <= 0:
-            self.first.append(np.zeros(0, np.int64))
-            return out, 0, np.zeros((0, 2), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.append(np.where(count > 0, np.arange(size), NONE), NONE)
+
+    def _grown(self, level: int) -> tuple[np.ndarray, ...]:
+        """(places, number of the phrase at each, and per phrase: first place, whether it is a
+        prefix with a word behind, count) of the distinct phrases of `level` words that could
+        reach `least` and start or end in the frontier. Only places next to what the level
+        before holds are looked at (level 2: next to a frontier word)."""
+        n = max(len(self.at) - level + 1, 0)
+        near = np.zeros(len(self.at) + 1, bool)
+        near[self.held[level - 1]] = True
+        near[self.held[level - 1] - 1] = True                                  # place -1 is the spare last one
         words, parts = self.cur[1], self.cur[level - 1]
-        first, last, prefix, suffix = words[:n], words[level - 1:level - 1 + n], parts[:n], parts[1:1 + n]
+        at = np.flatnonzero(near[:n] & self.frequent[:n] & self.frequent[level - 1:level - 1 + n])
+        first, last, prefix, suffix = words[at], words[at + level - 1], parts[at], parts[at + 1]
         known = np.append(self.frontier, False)                                # NONE is no frontier word
         starts, ends = known[first], known[last]
-        forward = starts & (prefix >= 0) & (last >= 0) & (~ends | (suffix >= 0))
-        backward = ~starts & ends & (first >= 0) & (suffix >= 0)
-        wide, tall = len(self.words), max(len(self.node[level - 1]), 1)
-        taken = np.flatnonzero(forward | backward)
-        code = np.where(forward[taken], prefix[taken] * wide + last[taken], -(first[taken] * tall + suffix[taken]) - 1)
-        _, at, inverse, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        out[taken] = inverse
-        place = taken[at]
-        onward = forward[place]
+        forward = starts & (prefix >= 0) & (~ends | (suffix >= 0))
+        backward = ~starts & ends & (suffix >= 0)
+        wide, tall = len(self.lang_of), max(len(self.node[level - 1]), 1)
+        taken = forward | backward
+        onward = forward[taken]
+        code = np.where(onward, prefix[taken] * wide + last[taken], -(first[taken] * tall + suffix[taken]) - 1)
+        begin, inverse, counts = _distinct(code)
+        at = at[taken]
+        return at, inverse, at[begin], onward[begin], counts
+
+    def keys(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """(parts, counts) of the phrases that `_grown` numbers. Parts: two nodes, the second
+        marked where it is a suffix."""
+        _, _, place, onward, counts = self._grown(level)
+        words, parts = self.cur[1], self.cur[level - 1]
         left, right = self.node[level - 1], self.node[1]
         keys = np.empty((len(place), 2), np.int64)
-        keys[:, 0] = np.where(onward, left[prefix[place]], right[first[place]])
-        keys[:, 1] = np.where(onward, right[last[place]], left[suffix[place]] | np.int64(-(2**63)))
-        self.first.append(place)
-        return out, len(place), keys, counts, place
+        keys[:, 0] = np.where(onward, left[parts[place]], right[words[place]])
+        keys[:, 1] = np.where(onward, right[words[place + level - 1]], left[parts[place + 1]] | np.int64(-(2**63)))
+        return keys, counts
 
     def best(self, top: int) -> dict[str, list]:
         """The best `top` owned phrases of each language that are not dropped, and score at least its floor."""
@@ -411,7 +452,7 @@ def _wave(chunks: DataFrame, words: DataFrame, limits: DataFrame, buckets: int,
             chunk = chunk_of(rows, answers, level - 1)
             if chunk is None:
                 return _dealt(0, np.zeros(0, np.int64), buckets, np.zeros(0, np.int64), None)
-            _, _, keys, counts, _ = chunk.keys(level)
+            keys, counts = chunk.keys(level)
             of = (mixed(mixed(keys[:, 0].view(np.uint64)) + keys[:, 1].view(np.uint64), 1) % np.uint64(buckets)).astype(np.int64) if len(keys) else np.zeros(0, np.int64)
             return _dealt(chunk.number, of, buckets, counts, lambda at: pack(np.ascontiguousarray(keys[at].T).ravel()))
         return ask
@@ -421,13 +462,15 @@ def _wave(chunks: DataFrame, words: DataFrame, limits: DataFrame, buckets: int,
         kinds = [("lang", pa.string()), ("phrase", pa.string()), *[(c, pa.int64()) for c in ("a", "l", "r", "n", "score")]]
         return pa.table(chunk.best(top) if chunk else {c: [] for c, _ in kinds}, schema=pa.schema(kinds))
 
-    def beside(task, schema: str) -> DataFrame:
-        return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(task, schema)
+    numbers = chunks.drop("words")                    # the words themselves are needed in the end only
+
+    def beside(rows: DataFrame, task, schema: str) -> DataFrame:
+        return rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(task, schema)
 
     for level in range(2, longest + 1):
-        answers = stored(phrase_answers(beside(asks_of(level), ASK), least, level), "phrase-answers")
+        answers = stored(phrase_answers(beside(numbers, asks_of(level), ASK), least, level), "phrase-answers")
         known = known.unionByName(answers, allowMissingColumns=True)
-    return beside(finish, FOUND)
+    return beside(chunks, finish, FOUND)
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:

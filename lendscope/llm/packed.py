@@ -36,9 +36,6 @@ def pack_words(words: list[bytes]) -> bytes:
 def unpack_words(data: bytes) -> list[bytes]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     n = int(np.frombuffer(raw, "<u4", 1)[0])
-    ends = (np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64) + 4 * (n + 1)).tolist()
-    out, at = [], 4 * (n + 1)
-    for end in ends:
-        out.append(raw[at:end])
-        at = end
-    return out
+    at = np.cumsum(np.frombuffer(raw, "<u4", n, 4), dtype=np.int64) + 4 * (n + 1)
+    ends = at.tolist()
+    return [raw[a:b] for a, b in zip([4 * (n + 1), *ends[:-1]], ends)]

@@ -117,3 +117,42 @@ def test_products_beyond_64_bits():
     chunk.count, chunk.owned = [None, np.array([10**13, 10**12]), np.array([10**12])], [None, np.zeros(2, bool), np.ones(1, bool)]
     chunk.first, chunk.frontier = [None, np.array([0])], np.ones(2, bool)
     assert chunk.best(5)["score"] == [1000 * 10**12 * 10**15 // 10**25]
+
+
+def test_growing_needs_no_words_and_numbers_phrases_as_sorted():
+    """Chunks are grown by word numbers alone, and each level looks at the places of the one before."""
+    import numpy as np
+
+    from lendscope.llm.packed import pack, pack_sorted
+    rng = np.random.default_rng(3)
+    numbers = rng.integers(0, 5, 300).astype("<i4")                            # 0 ends a piece
+    chunk = co.Chunk({"chunk": 0, "langs": ["en"], "lang_of": pack(np.zeros(4, "<i4")), "numbers": pack(numbers)})
+    rows = [{"level": 1, "places": pack_sorted(np.arange(3)), "nodes": pack(np.arange(1, 4)), "counts": pack(np.array([9, 9, 900])),
+             "owned": pack(np.ones(3, bool))}]                                 # word 4 is too rare, word 3 no frontier word
+    limits = co.pa.table({"lang": ["en"], "n": [300], "most": [9], "floor": [0]})
+    for level in (2, 3, 4):
+        chunk.place(co.pa.Table.from_pylist(rows), limits, level - 1)
+        at, number, place, _, counts = chunk._grown(level)
+        parts, sums = chunk.keys(level)
+        found = {}
+        for i in range(len(numbers) - level + 1):
+            phrase = tuple(numbers[i:i + level].tolist())
+            if all(1 <= x <= 3 for x in phrase) and (phrase[0] < 3 or phrase[-1] < 3):
+                inner = [phrase[:-1]] * (phrase[0] < 3) + [phrase[1:]] * (phrase[-1] < 3)
+                if level == 2 or kept.issuperset(inner):
+                    found.setdefault(phrase, []).append(i)
+        assert sorted(map(tuple, parts.tolist())) == sorted(set(map(tuple, parts.tolist())))
+        assert {tuple(numbers[p:p + level].tolist()): c for p, c in zip(place.tolist(), sums.tolist(), strict=True)} == {k: len(v) for k, v in found.items()}
+        assert sorted(at.tolist()) == sorted(i for v in found.values() for i in v) and (place == [at[number == k][0] for k in range(len(place))]).all()
+        keep = np.flatnonzero(counts >= np.median(counts))                     # the others are answered as too rare
+        kept = {tuple(numbers[p:p + level].tolist()) for p in place[keep].tolist()}
+        rows.append({"level": level, "places": pack_sorted(keep), "nodes": pack(keep + 1000 * level), "counts": pack(counts[keep]), "owned": pack(np.ones(len(keep), bool))})
+
+
+def test_distinct_codes_as_numpy_gives_them():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    for code in (np.zeros(0, np.int64), rng.integers(-40, 40, 999), rng.integers(-(2**62), 2**62, 50).repeat(3)):
+        _, first, inverse, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
+        for got, want in zip(co._distinct(code), (first, inverse, counts), strict=True):
+            assert got.tolist() == want.tolist()
