@@ -45,6 +45,13 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(df: DataFrame, rows: int, size: int = 1 << 17) -> int:
+    """Tasks to write a table of `rows` narrow rows: about `size` rows each, the cores at
+    least. With as many tasks as shuffle partitions, a small table becomes hundreds of files
+    of a few rows, and Hadoop's local file system starts processes for each of them."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // size))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

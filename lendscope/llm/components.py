@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .common import map_batches, stored
+from .common import map_batches, stored, tasks_for
 
 EDGES = 1 << 20       # edges that a task joins at a time
 
@@ -51,10 +51,10 @@ def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in held], pa.int64()), pa.array([b for _, b in held], pa.int64())], ["a", "b"])
 
 
-def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    """The stored edges, and a mark of their set that the writing job takes along."""
+def _written(edges: DataFrame, most: int) -> tuple[DataFrame, tuple]:
+    """The stored edges (`most` rows or fewer), and a mark of their set that the writing job takes along."""
     seen = Observation()
-    marked = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"))
+    marked = edges.coalesce(tasks_for(edges, most)).observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"))
     table = stored(marked, "star")
     return table, (seen.get["n"], seen.get["x"])
 
@@ -65,10 +65,11 @@ def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node of the edges (a, b); the component is its smallest node."""
+    """(node, component) for every node of the edges (a, b); the component is its smallest node.
+    `edges` should be a stored table: its rows are counted first."""
     local = map_batches(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b"),
                         _local_stars, "a long, b long")
-    now, mark = _written(local.distinct())
+    now, mark = _written(local.distinct(), edges.count())
     while mark[0]:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
@@ -77,7 +78,7 @@ def connected(edges: DataFrame) -> DataFrame:
         small = (_with_least(large, least).select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
         before = mark
-        now, mark = _written(small)
+        now, mark = _written(small, 2 * mark[0])
         if mark == before:
             break
     roots = now.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))

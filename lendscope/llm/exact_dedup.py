@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, only, stored, table, text_or_empty
+from .common import ascii_lower, only, stored, table, tasks_for, text_or_empty
 
 
 def md5_bytes(c: Column) -> Column:
@@ -48,7 +48,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .agg(F.sum("n").alias("group_size"), best("best").alias("keep_id"),
                     F.count(F.lit(1)).alias("classes")))
     # Only hashes with more than one row need a look-up; the others are their own group.
-    groups = stored(by_hash.filter("group_size > 1"), "dedup-groups")
+    groups = stored(by_hash.filter("group_size > 1").coalesce(tasks_for(rows, rows.count())), "dedup-groups")
 
     looked = rows.join(groups, "h", "left")
     plain = looked.filter(F.coalesce(F.col("classes"), F.lit(1)) == 1).select(

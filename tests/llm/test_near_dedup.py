@@ -5,6 +5,7 @@ import corpus
 import numpy as np
 import pytest
 
+from lendscope.llm import common, components, exact_dedup
 from lendscope.llm import near_dedup as nd
 from lendscope.llm.components import connected
 
@@ -168,3 +169,33 @@ def test_components(spark, edges):
             if a != b:
                 root[a] = root[b] = min(root[a], root[b])
     assert got == root
+
+
+def test_small_tables_are_written_by_few_tasks(spark, monkeypatch):
+    """As many shuffle partitions as a large session has: a table of some rows is not a file for each of them."""
+    files = {}
+
+    def counted(df, name, **options):
+        table = stored(df, name, **options)
+        files[name] = max(files.get(name, 0), len(table.inputFiles()))
+        return table
+
+    stored = common.stored
+    for module in (nd, components, exact_dedup):
+        monkeypatch.setattr(module, "stored", counted)
+    sets = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in sets}
+    try:
+        for k, v in sets.items():
+            spark.conf.set(k, v)
+        rows = families(3)
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        assert run(df, nd.Rule())[0] == brute(rows, nd.Rule())
+        groups = exact_dedup.exact_dedup(spark.createDataFrame([(i, f"text {i // 2}") for i in range(400)], "doc_id long, text string"))
+        assert groups.agg({"group_size": "sum"}).first()[0] == 800
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    cores = spark.sparkContext.defaultParallelism
+    assert {"star", "near-nodes", "near-seats", "near-links", "dedup-groups"} <= set(files)
+    assert all(n <= cores for n in files.values()), files
