@@ -113,7 +113,9 @@ class Model:
     neighbours: int
 
     def latent(self, rows: np.ndarray) -> np.ndarray:
-        z = (rows * self.weight - self.mean) @ self.axes
+        z = rows * self.weight
+        z -= self.mean
+        z = z @ self.axes
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
 
     def score(self, rows: np.ndarray) -> np.ndarray:
@@ -140,13 +142,16 @@ def fit(rows: np.ndarray, labels: np.ndarray, dims: int, neighbours: int) -> Mod
         zero = np.zeros(TERMS, np.float32)
         return Model(zero, zero, np.zeros((TERMS, dims), np.float32), np.zeros((0, dims), np.float32), labels, neighbours)
     weight = (np.log((len(rows) + 1) / ((rows > 0).sum(axis=0) + 1)) + 1).astype(np.float32)
-    mean = (rows * weight).mean(axis=0)
-    z = rows * weight - mean
-    z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
+    z = rows * weight                          # the only other matrix of this size: the driver's memory is small
+    mean = z.mean(axis=0)
+    z -= mean
+    for at in range(0, len(z), 256):
+        z[at:at + 256] /= np.maximum(np.linalg.norm(z[at:at + 256], axis=1, keepdims=True), 1e-9)
     axes = np.random.default_rng(11).standard_normal((TERMS, dims + 8)).astype(np.float32)
     for _ in range(8):
         axes = np.linalg.qr(z.T @ (z @ axes))[0]
     small = np.linalg.svd(z @ axes, full_matrices=False)[2]
+    del z
     model = Model(weight, mean, (axes @ small.T)[:, :dims], np.zeros((0, dims), np.float32), labels, neighbours)
     model.vectors = model.latent(rows)
     return model
@@ -181,7 +186,9 @@ def fit_on_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample: in
     rows = np.zeros((len(got), TERMS), np.float32)
     for i, r in enumerate(got):
         rows[i, np.frombuffer(r["at"], "<u2")] = np.frombuffer(r["value"], np.float32)
-    return fit(rows, np.array([r["label"] for r in got]), dims, neighbours)
+    marks = np.array([r["label"] for r in got])
+    del got
+    return fit(rows, marks, dims, neighbours)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import corpus
@@ -104,3 +105,19 @@ def test_words_tell_texts_of_one_style_apart():
     assert (quality.term_counts(b"Word wORD") == quality.term_counts(b"Word wORD")).all()
     assert (quality.term_counts(b"no")[quality.STYLE:] == quality.term_counts(b"No")[quality.STYLE:]).all()
     assert (quality.term_counts(b"on")[quality.STYLE:] != quality.term_counts(b"no")[quality.STYLE:]).any()
+
+
+def test_fitting_holds_two_matrices_of_the_sample_at_most():
+    rows = np.random.default_rng(1).random((1500, quality.TERMS), np.float32) * (np.random.default_rng(2).random((1500, quality.TERMS)) < 0.1)
+    rows = rows.astype(np.float32)
+    tracemalloc.start()
+    try:
+        model = quality.fit(rows, np.arange(1500) % 2, 32, 7)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1.6 * rows.nbytes                 # besides `rows`: one matrix, marks of a byte, axes
+    z = rows * model.weight - model.mean            # the plain forms
+    assert np.array_equal(model.mean, (rows * model.weight).mean(axis=0))
+    want = z @ model.axes
+    assert np.array_equal(model.vectors, want / np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9))
